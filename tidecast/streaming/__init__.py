@@ -1,0 +1 @@
+"""Left empty on purpose: every feature of the engine works on bounded tables (see README)."""
