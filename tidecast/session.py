@@ -5,11 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the session options the engine relies on; safe to call more than once."""
+    """Set the session options the engine relies on; safe to call more than once.
+
+    Functions that run inside tasks travel with the job, so executors need no copy of the package.
+    """
+    import tidecast
+
+    cloudpickle.register_pickle_by_value(tidecast)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
