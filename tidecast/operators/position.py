@@ -167,9 +167,9 @@ def _cut_at(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
 
     splits = [-math.inf, *edges, math.inf]
-    cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_piece")
-    out = cut.transform(df.withColumn("_value", F.col(value).cast("double")))
-    return out.withColumn("_piece", F.col("_piece").cast("int")).drop("_value")
+    cut = Bucketizer(splits=splits, inputCol="_cut", outputCol="_piece")
+    out = cut.transform(df.withColumn("_cut", F.col(value).cast("double")))
+    return out.withColumn("_piece", F.col("_piece").cast("int")).drop("_cut")
 
 
 def rank_by_hash(df: DataFrame, order: Order, seed: int, name: str = "rank", bits: int = 12) -> DataFrame:

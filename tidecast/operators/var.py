@@ -89,7 +89,7 @@ def _lag_sums(keys: Sequence[str], sort: Sequence[str], p: int):
             x, y = np.zeros((0, 1 + k * p)), np.zeros((0, k))
         else:
             x, y = np.hstack(lagged)[home], z[p:][home]
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "_block": pdf["_block"].iloc[0], "k": k, "n": len(x),
+        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "_block": pdf["_block"].iloc[0], "n_vars": k, "n": len(x),
                               "xx": (x.T @ x).ravel(), "xy": (x.T @ y).ravel()}])
     return partial
 
@@ -105,12 +105,12 @@ def companion_radius(coefs: np.ndarray, k: int, p: int) -> float:
 
 def _solve_var(keys: Sequence[str], p: int):
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = int(pdf["k"].iloc[0])
+        k = int(pdf["n_vars"].iloc[0])
         m = 1 + k * p
         xx, xy = stack(pdf["xx"]).sum(axis=0).reshape(m, m), stack(pdf["xy"]).sum(axis=0).reshape(m, k)
         size = np.sqrt(np.maximum(np.diag(xx), 1e-300))
         coefs = (np.linalg.lstsq(xx / np.outer(size, size), xy / size[:, None], rcond=1e-13)[0] / size[:, None]).T
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "k": k, "p": p, "n": int(pdf["n"].sum()),
+        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "n_vars": k, "n_lags": p, "n": int(pdf["n"].sum()),
                               "coefs": [list(r) for r in coefs], "radius": companion_radius(coefs, k, p)}])
     return solve
 
@@ -124,9 +124,9 @@ def fit_var(df: DataFrame, z: str, order: Order, p: int = 1, block_rows: int | N
     rows = df.select(*order.key_columns(), *order.columns(), col_of(z).alias("_z"))
     sort = [order.time, *order.ties]
     parts = blocked_sums(rows, order, p, _lag_sums(order.keys, sort, p),
-                         "k int, n long, xx array<double>, xy array<double>", block_rows)
+                         "n_vars int, n long, xx array<double>, xy array<double>", block_rows)
     summed = add_up(parts, order.keys, "_block", ("n", "xx", "xy"))
-    schema = key_schema(df, order.keys) + "k int, p int, n long, coefs array<array<double>>, radius double"
+    schema = key_schema(df, order.keys) + "n_vars int, n_lags int, n long, coefs array<array<double>>, radius double"
     fitted = summed.groupBy(*order.keys).applyInPandas(_solve_var(order.keys, p), schema)
     return attach(fitted, last_rows(rows, "_z", order, p), order.keys)
 
@@ -151,7 +151,7 @@ def forecast_var(models: DataFrame, keys: Sequence[str], steps: int | str) -> Da
 
     ``steps`` is a number or a column of the model table.  Works on model rows alone, without a shuffle.
     """
-    rows = models.select(*keys, "k", "p", "coefs", "context",
+    rows = models.select(*keys, "n_lags", "coefs", "context",
                          (F.lit(steps) if isinstance(steps, int) else col_of(steps)).cast("int").alias("_steps"))
 
     def run(batches):
@@ -161,8 +161,8 @@ def forecast_var(models: DataFrame, keys: Sequence[str], steps: int | str) -> Da
                 state = [np.asarray(v, dtype=float) for v in m["context"]]
                 out = np.empty(m["_steps"])
                 for t in range(m["_steps"]):
-                    new = coefs[:, 0] + coefs[:, 1:] @ np.concatenate(state[:m["p"]])
-                    state = [new, *state[:m["p"] - 1]]
+                    new = coefs[:, 0] + coefs[:, 1:] @ np.concatenate(state[:m["n_lags"]])
+                    state = [new, *state[:m["n_lags"] - 1]]
                     out[t] = new[0]
                 yield pd.DataFrame({**{k: m[k] for k in keys}, "step": np.arange(1, len(out) + 1, dtype="int32"),
                                     "value": out})
