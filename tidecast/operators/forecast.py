@@ -108,7 +108,7 @@ def forecast_long(model: LongModel, hours_ahead: int | DataFrame, step_seconds:
     """
     keys = model.keys
     if isinstance(hours_ahead, DataFrame):
-        var = model.var.join(hours_ahead, [c for c in hours_ahead.columns if c != "steps"])
+        var = attach(model.var, hours_ahead, [c for c in hours_ahead.columns if c != "steps"], "inner")
     else:
         if isinstance(hours_ahead, bool) or hours_ahead != int(hours_ahead) or hours_ahead <= 0:
             raise ValueError("hours_ahead must be a positive whole number")

@@ -6,13 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidecast.functions.timekeys import HOUR_TEXT, col_of, hour_of, parse_time
+from tidecast.functions.timekeys import HOUR_TEXT, col_of, hour_of, month_key, parse_time
 from tidecast.operators.align import append
 from tidecast.operators.clean import clean_cells, filter_eq, first_per_key
 
 TARGET = "Energy Demand (MWH)"
 PRICE = "Energy Price (cents/KWH)"
 EXTERNAL = "EIA Forecast (MWH)"
+MONTH_FOLDER = "dataset_month"
 
 # The measured columns of the weather files and the codes of the rows to keep.
 WEATHER_VALUES = [
@@ -35,30 +36,36 @@ INDICATOR_NAMES = {
 }
 
 
-def _payload_rows(spark: SparkSession, path: str | Sequence[str], value: str) -> DataFrame:
-    """Rows of ``response.data[]`` in all files, with where each came from."""
+def _payload_rows(spark: SparkSession, path: str | Sequence[str], value: str, multi_line: bool) -> DataFrame:
+    """Rows of ``response.data[]`` in all files, with where each came from.
+
+    Payloads stand one per line, which lets large files be split; ``multi_line`` reads one pretty-printed
+    payload per file.
+    """
     schema = f"response struct<data: array<struct<period: string, `{value}`: string>>>"
-    pages = spark.read.schema(schema).option("multiLine", True).json(path)
+    pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     return pages.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("response.data").alias("_at", "_row")).select(
         "_file", "_at", F.col("_row.period").alias("period"), col_of("_row").getField(value).alias("value"))
 
 
 def _first_by_place(rows: DataFrame, key: str) -> DataFrame:
     """First row per key in file, then place order."""
-    kept = first_per_key(rows, [key], [F.col("_file"), F.col("_at")])
+    kept = first_per_key(rows, [key], [F.col("_file"), F.col("_at"), F.col("value")])
     return kept.drop("_file", "_at")
 
 
-def read_hourly_target(spark: SparkSession, path: str | Sequence[str], name: str = TARGET) -> DataFrame:
+def read_hourly_target(spark: SparkSession, path: str | Sequence[str], name: str = TARGET,
+                       multi_line: bool = False) -> DataFrame:
     """Hourly target ``(time, name)``; the value stays text as landed, the first row of an hour wins."""
-    rows = _payload_rows(spark, path, "value").withColumn("time", parse_time("period", HOUR_TEXT))
+    rows = _payload_rows(spark, path, "value", multi_line).withColumn("time", parse_time("period", HOUR_TEXT))
     first = _first_by_place(rows.drop("period").filter("time is not null"), "time")
     return first.select("time", F.col("value").alias(name))
 
 
-def read_monthly_price(spark: SparkSession, path: str | Sequence[str], name: str = PRICE) -> DataFrame:
+def read_monthly_price(spark: SparkSession, path: str | Sequence[str], name: str = PRICE,
+                       multi_line: bool = False) -> DataFrame:
     """Monthly price ``(month_key, name)`` with months as ``YYYY-MM``."""
-    rows = _payload_rows(spark, path, "price").withColumnRenamed("period", "month_key")
+    rows = _payload_rows(spark, path, "price", multi_line).withColumnRenamed("period", "month_key")
     return _first_by_place(rows, "month_key").select("month_key", F.col("value").alias(name))
 
 
@@ -80,14 +87,14 @@ def read_weather(spark: SparkSession, paths: Sequence[str], start: Column, end:
 
 
 def read_indicators(spark: SparkSession, path: str | Sequence[str],
-                    names: Mapping[str, str] = INDICATOR_NAMES) -> DataFrame:
+                    names: Mapping[str, str] = INDICATOR_NAMES, multi_line: bool = False) -> DataFrame:
     """Monthly indicators, one column per series, from ``Results.series[].data[]``.
 
     One pivot stands for the outer joins of the series by month.
     """
     schema = ("Results struct<series: array<struct<seriesID: string, "
               "data: array<struct<year: string, period: string, value: string>>>>>")
-    pages = spark.read.schema(schema).option("multiLine", True).json(path)
+    pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     series = pages.select(F.explode("Results.series").alias("s"))
     rows = series.select(F.col("s.seriesID").alias("id"), F.explode("s.data").alias("d"))
     label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
@@ -97,18 +104,28 @@ def read_indicators(spark: SparkSession, path: str | Sequence[str],
     return known.groupBy("month_key").pivot("name", list(names.values())).agg(F.min("value"))
 
 
-def read_external_forecast(spark: SparkSession, path: str | Sequence[str], name: str = EXTERNAL) -> DataFrame:
+def read_external_forecast(spark: SparkSession, path: str | Sequence[str], name: str = EXTERNAL,
+                           multi_line: bool = False) -> DataFrame:
     """Third-party day-ahead forecast ``(time, name double)`` in time order."""
-    first = read_hourly_target(spark, path, name)
+    first = read_hourly_target(spark, path, name, multi_line)
     return first.withColumn(name, col_of(name).try_cast("double")).orderBy("time")
 
 
 def read_dataset(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, fmt: str = "parquet",
-                 time: str = "time") -> DataFrame:
-    """A saved dataset; its first column becomes the time."""
+                 time: str = "time", start=None, end=None) -> DataFrame:
+    """A saved dataset; its first column becomes the time.
+
+    With ``start`` or ``end`` (both included) only the month folders of that period are listed.
+    """
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
-    first, rest = df.columns[0], df.columns[1:]
+    first, rest = df.columns[0], [c for c in df.columns[1:] if c != MONTH_FOLDER]
     kind = dict(df.dtypes)[first]
     moment = parse_time(first) if kind == "string" else col_of(first).cast("timestamp_ntz")
+    for bound, keep in ((start, "__ge__"), (end, "__le__")):
+        if bound is not None:
+            limit = F.lit(bound).cast("timestamp_ntz")
+            df = df.filter(getattr(moment, keep)(limit))
+            if MONTH_FOLDER in df.columns:
+                df = df.filter(getattr(col_of(MONTH_FOLDER), keep)(month_key(limit)))
     return df.select(moment.alias(time), *[col_of(c) for c in rest])

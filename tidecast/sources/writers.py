@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidecast.functions.timekeys import month_key
+from tidecast.sources.readers import MONTH_FOLDER
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", time: str | None = "time",
@@ -19,9 +20,9 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", time: str | No
     if fmt == "csv":
         df.write.mode(mode).option("header", True).csv(path)
     elif time and time in df.columns:
-        keyed = df.withColumn("month", month_key(time))
+        keyed = df.withColumn(MONTH_FOLDER, month_key(time))
         salt = F.pmod(F.hash(time), F.lit(8))
-        keyed.repartition(F.col("month"), salt).write.mode(mode).partitionBy("month").parquet(path)
+        keyed.repartition(F.col(MONTH_FOLDER), salt).write.mode(mode).partitionBy(MONTH_FOLDER).parquet(path)
     else:
         df.write.mode(mode).format(fmt).save(path)
 
