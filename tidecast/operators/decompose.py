@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of, epoch_days
 from tidecast.operators.attach import attach
-from tidecast.operators.gram import add_up, blocked_sums, key_schema, ridge, stack
+from tidecast.operators.gram import blocked_sums, key_schema, ridge, stack
 from tidecast.operators.position import Order
 
 # Period in days and number of sine/cosine pairs of each season, and the trend changes.
@@ -50,17 +50,19 @@ def design(days: np.ndarray, scaled: np.ndarray) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def basis(time: str | Column, t0: Column, span: Column) -> Column:
-    """The same basis as an array expression."""
-    days = epoch_days(time)
-    scaled = F.coalesce(F.try_divide(days - t0, span), F.lit(0.0))
-    terms = [F.lit(1.0), scaled]
-    terms += [F.greatest(F.lit(0.0), scaled - F.lit(float(c))) for c in changepoints()]
-    for _, period, pairs in SEASONS:
-        for i in range(1, pairs + 1):
-            angle = F.lit(float(2 * np.pi * i / period)) * days
-            terms += [F.sin(angle), F.cos(angle)]
-    return F.array(*terms)
+def basis(days: str, scaled: str) -> Column:
+    """The same basis as an array expression over two columns."""
+    bends = ", ".join(f"{float(c)!r}D" for c in changepoints())
+    turns = ", ".join(f"{float(2 * np.pi * i / period)!r}D" for _, period, pairs in SEASONS for i in range(1, pairs + 1))
+    return F.expr(f"concat(array(1D, `{scaled}`), transform(array({bends}), c -> greatest(0D, `{scaled}` - c)), "
+                  f"flatten(transform(array({turns}), w -> array(sin(w * `{days}`), cos(w * `{days}`)))))")
+
+
+def with_basis(df: DataFrame, time: str, t0: str, span: str) -> DataFrame:
+    """Add the basis of every row as ``_x``."""
+    df = df.withColumn("_days", epoch_days(time))
+    df = df.withColumn("_scaled", F.coalesce(F.try_divide(F.col("_days") - col_of(t0), col_of(span)), F.lit(0.0)))
+    return df.withColumn("_x", basis("_days", "_scaled")).drop("_days", "_scaled")
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -131,17 +133,13 @@ def fit_decomposition(df: DataFrame, order: Order, values: Sequence[str] | str,
     names = None if isinstance(values, str) else list(values)
     ys = (F.transform(col_of(values), lambda v: F.coalesce(v, F.lit(float("nan")))) if names is None else
           F.array(*[F.coalesce(col_of(c).cast("double"), F.lit(float("nan"))) for c in names]))
-    days = epoch_days(order.time)
-    ends = df.groupBy(*order.key_columns()).agg(F.min(days).alias("_t0"), (F.max(days) - F.min(days)).alias("_span"))
-    rows = attach(df.select(*order.key_columns(), *order.columns(), days.alias("_days"), ys.alias("_ys")), ends,
-                  order.keys)
+    rows = df.select(*order.key_columns(), *order.columns(), epoch_days(order.time).alias("_days"), ys.alias("_ys"))
     scaled = F.coalesce(F.try_divide(F.col("_days") - F.col("_t0"), F.col("_span")), F.lit(0.0))
-    rows = rows.withColumn("_scaled", scaled)
-    parts = blocked_sums(rows, order, 0, _partial_sums(order.keys),
-                         "out int, t0 double, span double, n long, yy double, xy array<double>, xx array<double>, "
-                         "peak double", block_rows)
     keys = [*order.keys, "out"]
-    summed = add_up(parts, keys, "_block", ("n", "yy", "xy", "xx"), ("peak",))
+    summed = blocked_sums(rows, order, 0, _partial_sums(order.keys),
+                          "out int, t0 double, span double, n long, yy double, xy array<double>, xx array<double>, "
+                          "peak double", keys, ("n", "yy", "xy", "xx"), peaks=("peak",), block_rows=block_rows,
+                          prepare=lambda r: r.withColumn("_scaled", scaled))
     schema = key_schema(df, order.keys) + ("params_id int, out int, variable string, t0 double, span double, n long, "
                                            "noise double, beta array<double>")
     return summed.groupBy(*keys).applyInPandas(_solve(order.keys, names, penalties), schema)
@@ -160,7 +158,7 @@ def predict_decomposition(times: DataFrame, models: DataFrame, time: str, keys:
     slices = component_slices()
     rows = times.join(models.select(*keys, "params_id", "variable", "t0", "span", "beta"), list(keys), "inner") \
         if keys else _each_model(times, models)
-    x = rows.withColumn("_x", basis(time, F.col("t0"), F.col("span")))
+    x = with_basis(rows, time, "t0", "span")
     parts = {c: dot(F.slice("_x", a, n), F.slice("beta", a, n)) for c, (a, n) in slices.items()}
     out = x.withColumns(parts).withColumn("yhat", F.col("trend") + F.col("yearly") + F.col("weekly") + F.col("daily"))
     return out.select(*[col_of(c) for c in times.columns], "params_id", "variable", "yhat", *COMPONENTS)
@@ -187,7 +185,7 @@ def fitted_array(df: DataFrame, models: DataFrame, order: Order, name: str = "_f
     else:
         sets = models_row.agg(F.collect_list(F.struct("*")).alias("m"))
         rows = df.withColumn("_m", F.explode(sets.scalar())).select(*[col_of(c) for c in df.columns], "_m.*")
-    rows = rows.withColumn("_x", basis(order.time, F.col("_t0"), F.col("_span")))
+    rows = with_basis(rows, order.time, "_t0", "_span")
     rows = rows.withColumn(name, F.transform("_betas", lambda b: dot(F.col("_x"), b)))
     return rows.drop("_x", "_t0", "_span", "_betas")
 

@@ -13,7 +13,7 @@ from tidecast.operators.attach import attach
 from tidecast.operators.decompose import (
     Penalties, fit_decomposition, fitted_array, predict_decomposition, residuals)
 from tidecast.operators.describe import quantiles, scale_coefficient
-from tidecast.operators.position import Order
+from tidecast.operators.position import Order, with_layout, without_layout
 from tidecast.operators.var import fit_components, fit_var, forecast_var, reduce_features, squared_errors
 from tidecast.operators.windows import trailing_mse, with_lags
 from tidecast.session import write_scratch
@@ -84,6 +84,7 @@ def fit_long(df: DataFrame, order: Order, target: str, predictors: Sequence[str]
     its squared errors get the same treatment.  Each fit is a pass that leaves a model-sized table.
     """
     numeric = [target, *predictors]
+    order = with_layout(df, order)
     point = write_scratch(fit_decomposition(df, order, numeric, penalties), "point")
     left = residuals(df.select(*order.key_columns(), *order.columns(), *[col_of(c) for c in (*numeric, *encoded)]),
                      point, numeric, order, params=True).withColumnRenamed("params_id", SET)
@@ -96,7 +97,7 @@ def fit_long(df: DataFrame, order: Order, target: str, predictors: Sequence[str]
     errors, error_var = fit_error_model(e2, inner, use_error_var)
     floor = write_scratch(error_floor(e2, inner.keys, minimum_error), "floor")
     own = point.filter(F.col("variable") == target).withColumnRenamed("params_id", SET)
-    return LongModel(order, target, own, var, errors.filter("out = 0"), error_var, floor, float(error_trend), components,
+    return LongModel(without_layout(order), target, own, var, errors.filter("out = 0"), error_var, floor, float(error_trend), components,
                      tuple(penalties))
 
 

@@ -28,30 +28,45 @@ def stack(cells: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(c, dtype=float) for c in cells])
 
 
-def add_up(parts: DataFrame, keys: Sequence[str], block: str, sums: Sequence[str], peaks: Sequence[str] = ()
-           ) -> DataFrame:
-    """First level: add array columns (and take maxima of others) over runs of ``FAN_IN`` blocks."""
-    schema = parts.drop(block).schema
-    constant = [c for c in schema.names if c not in (*keys, *sums, *peaks)]
+def add_up(parts: DataFrame, keys: Sequence[str], sums: Sequence[str], latest: Sequence[str] = (),
+           peaks: Sequence[str] = ()) -> DataFrame:
+    """First level: over runs of ``FAN_IN`` blocks add the ``sums`` (numbers or arrays), take the maxima of ``peaks``
+    and keep the ``latest`` columns of the block with the highest first one.
+    """
+    schema = parts.schema
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = {k: pdf[k].iloc[0] for k in (*keys, *constant)}
+        row = pdf.iloc[0].to_dict()
+        row["_block"] = int(row["_block"]) // FAN_IN
         for c in sums:
             first = pdf[c].iloc[0]
             row[c] = stack(pdf[c]).sum(axis=0) if isinstance(first, (np.ndarray, list)) else pdf[c].sum()
         for c in peaks:
             row[c] = pdf[c].max()
+        if latest:
+            newest = pdf[latest[0]].argmax()
+            row.update({c: pdf[c].iloc[newest] for c in latest})
         return pd.DataFrame([row])[schema.names]
 
-    run = F.floor(F.col(block) / FAN_IN)
+    run = F.floor(F.col("_block") / FAN_IN)
     return parts.groupBy(*keys, run.alias("_run")).applyInPandas(add, schema)
 
 
 def blocked_sums(df: DataFrame, order: Order, before: int, partial: Callable[[pd.DataFrame], pd.DataFrame],
-                 schema: str, block_rows: int | None = None) -> DataFrame:
-    """Run ``partial`` on every block (with ``before`` earlier rows) and keep its rows of sums."""
-    blocked, parts = halo_blocks(df, order, before, 0, block_rows or BLOCK_ROWS)
-    return blocked.groupBy(*parts).applyInPandas(partial, key_schema(df, order.keys) + "_block long, " + schema)
+                 schema: str, keys: Sequence[str], sums: Sequence[str], latest: Sequence[str] = (),
+                 peaks: Sequence[str] = (), block_rows: int | None = None,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Run ``partial`` on every block (with ``before`` earlier rows) and return few rows of sums per key.
+
+    The first level of adding is left out where the layout tells that no series has many blocks.
+    """
+    size = block_rows or BLOCK_ROWS
+    blocked, parts = halo_blocks(df, order, before, 0, size, ends=prepare is not None)
+    if prepare:
+        blocked = prepare(blocked)
+    out = blocked.groupBy(*parts).applyInPandas(partial, key_schema(df, order.keys) + "_block long, " + schema)
+    few = order.longest is not None and order.longest <= size * FAN_IN
+    return out if few else add_up(out, keys, sums, latest, peaks)
 
 
 def ridge(xx: np.ndarray, xy: np.ndarray, penalty: np.ndarray) -> np.ndarray:

@@ -19,7 +19,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidecast.functions.timekeys import MICROS_PER_SECOND, micros
+from tidecast.functions.timekeys import MICROS_PER_SECOND, epoch_days, micros
+from tidecast.session import write_scratch
 
 BLOCK_ROWS = 65_536
 RANK_ROWS = 1_000_000
@@ -28,12 +29,19 @@ DAY = 86_400
 
 @dataclass(frozen=True)
 class Order:
-    """How the rows of a table are ordered: by ``time`` (then ``ties``) within each value of ``keys``."""
+    """How the rows of a table are ordered: by ``time`` (then ``ties``) within each value of ``keys``.
+
+    ``layout`` may hold the bucket table of the rows, kept by ``with_layout`` so that several passes over
+    the same rows count them once; further keys may repeat those rows afterwards.
+    """
 
     time: str
     keys: tuple[str, ...] = ()
     ties: tuple[str, ...] = ()
     bucket_seconds: int = 30 * DAY
+    layout: DataFrame | None = None
+    layout_keys: tuple[str, ...] = ()
+    longest: int | None = None
 
     def bucket(self) -> Column:
         width = self.bucket_seconds * MICROS_PER_SECOND
@@ -58,14 +66,32 @@ def fit_bucket(df: DataFrame, order: Order, rows: int = BLOCK_ROWS) -> Order:
 
 
 def bucket_table(df: DataFrame, order: Order) -> DataFrame:
-    """One row per series and bucket: rows in it, first position, position after the last, series total."""
+    """One row per series and bucket: rows in it, first position, position after the last, series total, and
+    the first time and the length of the series in days.
+    """
+    days = epoch_days(order.time)
     counted = (df.groupBy(*order.key_columns(), order.bucket().alias("_bucket"))
-               .agg(F.count(F.lit(1)).alias("_n")))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min(days).alias("_low"), F.max(days).alias("_high")))
     series = Window.partitionBy(*order.keys)
     running = series.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    return (counted.withColumn("_end", F.sum("_n").over(running))
-            .withColumn("_start", F.col("_end") - F.col("_n"))
-            .withColumn("_total", F.sum("_n").over(series)))
+    return counted.select(
+        *order.keys, "_bucket", "_n", F.sum("_n").over(running).alias("_end"), F.sum("_n").over(series).alias("_total"),
+        F.max("_n").over(series).alias("_fullest"), F.min("_low").over(series).alias("_t0"),
+        (F.max("_high").over(series) - F.min("_low").over(series)).alias("_span")
+    ).withColumn("_start", F.col("_end") - F.col("_n"))
+
+
+def with_layout(df: DataFrame, order: Order) -> Order:
+    """Count the buckets once and keep the table, for operators that pass over the same rows repeatedly.
+
+    ``longest`` is then the number of rows of the longest series.
+    """
+    table = write_scratch(bucket_table(df, without_layout(order)), "layout")
+    return replace(order, layout=table, layout_keys=order.keys, longest=table.agg(F.max("_total")).first()[0] or 0)
+
+
+def without_layout(order: Order) -> Order:
+    return replace(order, layout=None, layout_keys=(), longest=None)
 
 
 def with_position(df: DataFrame, order: Order, name: str = "pos", total: str | None = None) -> DataFrame:
@@ -104,30 +130,34 @@ def with_segment(df: DataFrame, order: Order, cuts: Callable[[Column], Sequence[
     return whole.select(*kept).unionByName(split.select(*kept))
 
 
-def halo_blocks(df: DataFrame, order: Order, before: int, after: int,
-                block_rows: int | None = None) -> tuple[DataFrame, list[str]]:
+def halo_blocks(df: DataFrame, order: Order, before: int, after: int, block_rows: int | None = None,
+                ends: bool = False) -> tuple[DataFrame, list[str]]:
     """Copy rows into blocks so that a frame of ``before``/``after`` rows never leaves its block.
 
     Returns the table with ``_block`` and ``_home`` (true in the one block that owns the row) and the
-    columns to partition by.  The copies only concern buckets near the edge of a block.
+    columns to partition by.  The copies only concern buckets near the edge of a block.  With ``ends`` rows
+    also get the first time ``_t0`` and the length ``_span`` of their series in days.
     """
     size = block_rows or max(BLOCK_ROWS, 4 * (before + after))
-    series = Window.partitionBy(*order.keys)
-    table = (bucket_table(df, order)
-             .withColumn("_own", F.floor(F.col("_start") / size).cast("long"))
-             .withColumn("_fullest", F.max("_n").over(series))
-             .withColumn("_last", F.max("_own").over(series)))
-    low = F.col("_own") if after == 0 else F.greatest(
-        F.lit(0).cast("long"), F.floor((F.col("_start") - F.col("_fullest") - after) / size).cast("long"))
-    high = F.col("_own") if before == 0 else F.least(
-        F.col("_last"), F.floor((F.col("_end") + before - 1) / size).cast("long"))
-    table = table.select(*order.keys, "_bucket", "_own",
-                         F.sequence(F.least(low, F.col("_own")), F.greatest(high, F.col("_own"))).alias("_blocks"))
+    table, keys = (bucket_table(df, order), order.keys) if order.layout is None else (order.layout, order.layout_keys)
+    own = F.floor(F.col("_start") / size).cast("long")
+    low, high = own, own
+    if after:
+        low = F.greatest(F.lit(0).cast("long"), F.floor((F.col("_start") - F.col("_fullest") - after) / size).cast("long"))
+    if before:
+        last = F.max(own).over(Window.partitionBy(*keys))
+        high = F.least(last, F.floor((F.col("_end") + before - 1) / size).cast("long"))
+    extra = ["_t0", "_span"] if ends else []
+    kept = [*[F.col(f"`{c}`") for c in df.columns], *extra]
+    if not (before or after):
+        table = table.select(*keys, "_bucket", own.alias("_block"), *extra)
+        out = df.withColumn("_bucket", order.bucket()).join(table, [*keys, "_bucket"])
+        return out.select(*kept, "_block", F.lit(True).alias("_home")), [*order.keys, "_block"]
+    table = table.select(*keys, "_bucket", own.alias("_own"), low.alias("_from"), high.alias("_to"), *extra)
     out = (df.withColumn("_bucket", order.bucket())
-           .join(table, [*order.keys, "_bucket"])
-           .withColumn("_block", F.explode("_blocks"))
+           .join(table, [*keys, "_bucket"])
+           .withColumn("_block", F.explode(F.sequence(F.least("_from", "_own"), F.greatest("_to", "_own"))))
            .withColumn("_home", F.col("_block") == F.col("_own")))
-    kept = [F.col(f"`{c}`") for c in df.columns]
     return out.select(*kept, "_block", "_home"), [*order.keys, "_block"]
 
 

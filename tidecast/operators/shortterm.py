@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach
 from tidecast.operators.decompose import dot
-from tidecast.operators.gram import add_up, blocked_sums, key_schema, ridge, stack
-from tidecast.operators.position import Order, framed, rank_by_hash, with_position
+from tidecast.operators.gram import blocked_sums, key_schema, ridge, stack
+from tidecast.operators.position import Order, framed, rank_by_hash, with_layout, with_position
 from tidecast.operators.windows import _trailing
 from tidecast.session import write_scratch
 
@@ -150,6 +150,7 @@ def fit_short(df: DataFrame, order: Order, target: str, predictors: Sequence[str
         F.array(*[F.min(col_of(c)).cast("double") for c in spec.columns]).alias("lows"),
         F.array(*[(F.max(col_of(c)) - F.min(col_of(c))).cast("double") for c in spec.columns]).alias("spans"))
     base = df.select(*order.key_columns(), *order.columns(), *[col_of(c) for c in spec.columns])
+    order = with_layout(base, order)
     rows = attach(samples(base, spec, order, [spec.columns], block_rows), ranges, order.keys)
     y = F.coalesce(F.try_divide(F.col("actual") - F.col("lows")[0], F.col("spans")[0]), F.lit(0.0))
     nan = F.lit(float("nan"))
@@ -157,10 +158,10 @@ def fit_short(df: DataFrame, order: Order, target: str, predictors: Sequence[str
                        F.transform(_design(spec, "x0"), lambda v: F.coalesce(v, nan)).alias("_x"),
                        F.coalesce(F.when(F.col("actual").isNotNull(), y), nan).alias("_y"),
                        F.xxhash64(F.lit(seed), *order.columns()).alias("_h"))
-    parts = blocked_sums(rows, order, 0, _member_sums(order.keys, n_models),
-                         "member int, n double, xx array<double>, xy array<double>", block_rows)
     keys = [*order.keys, "member"]
-    summed = add_up(parts, keys, "_block", ("n", "xx", "xy"))
+    summed = blocked_sums(rows, order, 0, _member_sums(order.keys, n_models),
+                          "member int, n double, xx array<double>, xy array<double>", keys, ("n", "xx", "xy"),
+                          block_rows=block_rows)
     solved = summed.groupBy(*keys).applyInPandas(_solve_member(order.keys, penalty),
                                                  key_schema(df, order.keys) + "member int, beta array<double>")
     ordered = F.array_sort(F.collect_list(F.struct("member", "beta")))

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach
 from tidecast.operators.decompose import dot
-from tidecast.operators.gram import add_up, blocked_sums, key_schema, stack
+from tidecast.operators.gram import blocked_sums, key_schema, stack
 from tidecast.operators.position import Order, framed
 
 
@@ -55,9 +55,9 @@ def fit_components(df: DataFrame, columns: Sequence[str], order: Order, min_eig:
     x = F.array(*[F.coalesce(col_of(c).cast("double"), F.lit(float("nan"))) for c in columns])
     centre = df.groupBy(*order.key_columns()).agg(F.array(*[F.avg(col_of(c)) for c in columns]).alias("_c"))
     rows = attach(df.select(*order.key_columns(), *order.columns(), x.alias("_x")), centre, order.keys)
-    parts = blocked_sums(rows, order, 0, _moment_sums(order.keys),
-                         "n long, centre array<double>, s array<double>, ss array<double>", block_rows)
-    summed = add_up(parts, order.keys, "_block", ("n", "s", "ss"))
+    summed = blocked_sums(rows, order, 0, _moment_sums(order.keys),
+                          "n long, centre array<double>, s array<double>, ss array<double>", order.keys,
+                          ("n", "s", "ss"), block_rows=block_rows)
     schema = key_schema(df, order.keys) + ("n long, mean array<double>, std array<double>, eigenvalues array<double>, "
                                            "loadings array<array<double>>")
     return summed.groupBy(*order.keys).applyInPandas(_components(order.keys, min_eig), schema)
@@ -83,14 +83,14 @@ def _lag_sums(keys: Sequence[str], sort: Sequence[str], p: int):
         pdf = pdf.sort_values(list(sort))
         z = stack(pdf["_z"])
         n, k = z.shape
-        home = pdf["_home"].to_numpy()[p:]
-        lagged = [np.ones((max(n - p, 0), 1))] + [z[p - i:n - i] for i in range(1, p + 1)] if n > p else None
-        if lagged is None:
-            x, y = np.zeros((0, 1 + k * p)), np.zeros((0, k))
-        else:
-            x, y = np.hstack(lagged)[home], z[p:][home]
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "_block": pdf["_block"].iloc[0], "n_vars": k, "n": len(x),
-                              "xx": (x.T @ x).ravel(), "xy": (x.T @ y).ravel()}])
+        x, y = np.zeros((0, 1 + k * p)), np.zeros((0, k))
+        if n > p:
+            home = pdf["_home"].to_numpy()[p:]
+            x = np.hstack([np.ones((n - p, 1))] + [z[p - i:n - i] for i in range(1, p + 1)])[home]
+            y = z[p:][home]
+        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "_block": pdf["_block"].iloc[0], "n_vars": k,
+                              "n": len(x), "xx": (x.T @ x).ravel(), "xy": (x.T @ y).ravel(),
+                              "last_time": pdf[sort[0]].iloc[-1], "context": [list(v) for v in z[::-1][:p]]}])
     return partial
 
 
@@ -105,13 +105,14 @@ def companion_radius(coefs: np.ndarray, k: int, p: int) -> float:
 
 def _solve_var(keys: Sequence[str], p: int):
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = int(pdf["n_vars"].iloc[0])
+        k, newest = int(pdf["n_vars"].iloc[0]), pdf["last_time"].argmax()
         m = 1 + k * p
         xx, xy = stack(pdf["xx"]).sum(axis=0).reshape(m, m), stack(pdf["xy"]).sum(axis=0).reshape(m, k)
         size = np.sqrt(np.maximum(np.diag(xx), 1e-300))
         coefs = (np.linalg.lstsq(xx / np.outer(size, size), xy / size[:, None], rcond=1e-13)[0] / size[:, None]).T
         return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "n_vars": k, "n_lags": p, "n": int(pdf["n"].sum()),
-                              "coefs": [list(r) for r in coefs], "radius": companion_radius(coefs, k, p)}])
+                              "coefs": [list(r) for r in coefs], "radius": companion_radius(coefs, k, p),
+                              "context": pdf["context"].iloc[newest], "last_time": pdf["last_time"].iloc[newest]}])
     return solve
 
 
@@ -123,27 +124,14 @@ def fit_var(df: DataFrame, z: str, order: Order, p: int = 1, block_rows: int | N
     """
     rows = df.select(*order.key_columns(), *order.columns(), col_of(z).alias("_z"))
     sort = [order.time, *order.ties]
-    parts = blocked_sums(rows, order, p, _lag_sums(order.keys, sort, p),
-                         "n_vars int, n long, xx array<double>, xy array<double>", block_rows)
-    summed = add_up(parts, order.keys, "_block", ("n", "xx", "xy"))
-    schema = key_schema(df, order.keys) + "n_vars int, n_lags int, n long, coefs array<array<double>>, radius double"
-    fitted = summed.groupBy(*order.keys).applyInPandas(_solve_var(order.keys, p), schema)
-    return attach(fitted, last_rows(rows, "_z", order, p), order.keys)
-
-
-def last_rows(df: DataFrame, z: str, order: Order, p: int) -> DataFrame:
-    """Per key the last p vectors, newest first, and the last time."""
-    place = F.struct(*order.columns())
-    if p == 1:
-        return df.groupBy(*order.key_columns()).agg(F.array(F.max_by(z, place)).alias("context"),
-                                                    F.max(col_of(order.time)).alias("last_time"))
-    newest = [c.desc() for c in order.columns()]
-    rank = F.row_number().over(Window.partitionBy(*order.keys).orderBy(*newest)) if order.keys else None
-    top = df.withColumn("_rank", rank).filter(F.col("_rank") <= p) if order.keys else df.orderBy(*newest).limit(p)
-    listed = F.array_sort(F.collect_list(F.struct(*order.columns(), F.col(z).alias("_v"))))
-    return top.groupBy(*order.key_columns()).agg(
-        F.transform(F.reverse(listed), lambda r: r.getField("_v")).alias("context"),
-        F.max(col_of(order.time)).alias("last_time"))
+    moment = dict(df.dtypes)[order.time]
+    summed = blocked_sums(rows, order, p, _lag_sums(order.keys, sort, p),
+                          f"n_vars int, n long, xx array<double>, xy array<double>, last_time {moment}, "
+                          "context array<array<double>>", order.keys, ("n", "xx", "xy"), ("last_time", "context"),
+                          block_rows=block_rows)
+    schema = key_schema(df, order.keys) + ("n_vars int, n_lags int, n long, coefs array<array<double>>, radius double, "
+                                           f"context array<array<double>>, last_time {moment}")
+    return summed.groupBy(*order.keys).applyInPandas(_solve_var(order.keys, p), schema)
 
 
 def forecast_var(models: DataFrame, keys: Sequence[str], steps: int | str) -> DataFrame:
