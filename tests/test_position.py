@@ -166,3 +166,12 @@ def test_fit_bucket_narrows_until_small(spark):
     order = Order("time", ("k",))
     assert position.fit_bucket(frame(spark, pdf), order, 800).bucket_seconds == 30 * 86_400
     assert position.fit_bucket(frame(spark, pdf), order, 30).bucket_seconds == 86_400
+
+
+def test_head_and_tail_per_series(spark):
+    pdf = two_series(200)
+    order = Order("time", ("k",), bucket_seconds=50_000)
+    for fn, pick in ((windows.tail, lambda g: g.tail(70)), (windows.head, lambda g: g.head(70))):
+        out = fn(frame(spark, pdf), 70, order).toPandas().sort_values(["k", "time"])
+        want = pdf.sort_values(["k", "time"]).groupby("k", group_keys=False)[["k", "time"]].apply(pick)
+        assert out.time.tolist() == want.time.tolist()

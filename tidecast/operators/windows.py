@@ -164,20 +164,23 @@ def expanding_folds(df: DataFrame, order: Order, k: int = 5, name: str = "segmen
 
 
 def tail(df: DataFrame, n: int, order: Order) -> DataFrame:
-    """Last n rows of every series (a top-n, so only candidates leave each task)."""
-    newest = [c.desc() for c in order.columns()]
+    """Last n rows of every series.
+
+    Without keys this is a top-n.  With keys a cut by position finds them, so that no task sees the
+    candidates of a long series from everywhere.
+    """
     if not order.keys:
-        return df.orderBy(*newest).limit(n)
-    rank = F.row_number().over(Window.partitionBy(*order.keys).orderBy(*newest))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+        return df.orderBy(*[c.desc() for c in order.columns()]).limit(n)
+    cut = with_segment(df, order, lambda total: [F.greatest(total - n, F.lit(0))], "_part")
+    return cut.filter("_part = 1").drop("_part")
 
 
 def head(df: DataFrame, n: int, order: Order) -> DataFrame:
     """First n rows of every series."""
     if not order.keys:
         return df.orderBy(*order.columns()).limit(n)
-    rank = F.row_number().over(Window.partitionBy(*order.keys).orderBy(*order.columns()))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    cut = with_segment(df, order, lambda total: [F.lit(n)], "_part")
+    return cut.filter("_part = 0").drop("_part")
 
 
 def sort_time(df: DataFrame, order: Order) -> DataFrame:
