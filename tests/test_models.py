@@ -6,7 +6,7 @@ import pytest
 from conftest import frame, hours, seasonal
 from pyspark.sql import functions as F
 
-from tidecast.operators import decompose, describe, evaluate, forecast, shortterm, var, windows
+from tidecast.operators import decompose, describe, evaluate, forecast, gram, shortterm, var
 from tidecast.operators.decompose import Penalties
 from tidecast.operators.position import Order
 
@@ -35,8 +35,10 @@ def direct_fit(g, y, p=Penalties()):
     return x @ beta * scale
 
 
-@pytest.mark.parametrize("partitions,block", [(1, 100_000), (5, 300), (37, 900)])
-def test_decomposition_matches_a_direct_solve(spark, partitions, block):
+@pytest.mark.parametrize("partitions,block,few", [(1, 100_000, 64), (37, 90, 64), (5, 300, 0), (37, 3, 0)])
+def test_decomposition_matches_a_direct_solve(spark, monkeypatch, partitions, block, few):
+    monkeypatch.setattr(gram, "FEW_SERIES", few)
+    monkeypatch.setattr(gram, "FAN_IN", 4)
     pdf = two_series()
     pdf.loc[30:60, "y"] = np.nan
     df = frame(spark, pdf, partitions)

@@ -1,22 +1,28 @@
 """Least-squares fits from sums of cross products.
 
-Rows are grouped into blocks of bounded size; each block yields its cross-product sums, and the sums
-of a series are added up in two levels so that neither level holds more than ``FAN_IN`` of them at once for
-any realistic length.  The data is read once; only matrices of model size move on.
+The data is read once and only matrices of model size move on.  Sums that need no neighbouring rows of few
+series are taken where the rows are, partition by partition, without a shuffle.  For many series, or when
+earlier rows are needed, rows are grouped into blocks of bounded size.  The sums of a series are then added up
+in two levels, so that no task holds more than a few hundred of them for any realistic size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from tidecast.operators.position import Order, halo_blocks
+from tidecast.functions.timekeys import epoch_days
+from tidecast.operators.attach import attach
+from tidecast.operators.position import Order, halo_blocks, with_layout
 
 BLOCK_ROWS = 16_384
 FAN_IN = 256
+FEW_SERIES = 64
 
 
 def key_schema(df: DataFrame, keys: Sequence[str]) -> str:
@@ -28,47 +34,97 @@ def stack(cells: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(c, dtype=float) for c in cells])
 
 
+def _merge(a: dict, b: dict, sums: Sequence[str], latest: Sequence[str], peaks: Sequence[str]) -> dict:
+    """Add the ``sums``, take the larger ``peaks``, keep the ``latest`` columns of the later row."""
+    out = dict(a)
+    out.update({c: np.asarray(a[c]) + np.asarray(b[c]) for c in sums})
+    out.update({c: max(a[c], b[c]) for c in peaks})
+    if latest and b[latest[0]] > a[latest[0]]:
+        out.update({c: b[c] for c in latest})
+    return out
+
+
 def add_up(parts: DataFrame, keys: Sequence[str], sums: Sequence[str], latest: Sequence[str] = (),
            peaks: Sequence[str] = ()) -> DataFrame:
-    """First level: over runs of ``FAN_IN`` blocks add the ``sums`` (numbers or arrays), take the maxima of ``peaks``
-    and keep the ``latest`` columns of the block with the highest first one.
-    """
-    schema = parts.schema
+    """First level: one row per key and run of ``FAN_IN`` blocks; columns that are not added are alike."""
+    names = parts.columns
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0].to_dict()
+        row = reduce(lambda a, b: _merge(a, b, sums, latest, peaks), pdf.to_dict("records"))
         row["_block"] = int(row["_block"]) // FAN_IN
-        for c in sums:
-            first = pdf[c].iloc[0]
-            row[c] = stack(pdf[c]).sum(axis=0) if isinstance(first, (np.ndarray, list)) else pdf[c].sum()
-        for c in peaks:
-            row[c] = pdf[c].max()
-        if latest:
-            newest = pdf[latest[0]].argmax()
-            row.update({c: pdf[c].iloc[newest] for c in latest})
-        return pd.DataFrame([row])[schema.names]
+        return pd.DataFrame([row])[names]
 
     run = F.floor(F.col("_block") / FAN_IN)
-    return parts.groupBy(*keys, run.alias("_run")).applyInPandas(add, schema)
+    return parts.groupBy(*keys, run.alias("_run")).applyInPandas(add, parts.schema)
+
+
+def _where_rows_are(keys: Sequence[str], partial: Callable[[pd.DataFrame], pd.DataFrame], group: Sequence[str],
+                    sums: Sequence[str], peaks: Sequence[str], size: int, names: Sequence[str]):
+    """Running totals per key over the batches of a partition."""
+    def run(batches):
+        from pyspark import TaskContext
+
+        waiting, held, totals = [], 0, {}
+
+        def take():
+            rows = pd.concat(waiting, ignore_index=True)
+            pieces = [rows] if not keys else [g for _, g in rows.groupby(list(keys), dropna=False, sort=False)]
+            for piece in pieces:
+                for row in partial(piece).to_dict("records"):
+                    at = tuple(row[k] for k in group)
+                    totals[at] = _merge(totals[at], row, sums, (), peaks) if at in totals else row
+
+        for pdf in batches:
+            if len(pdf):
+                waiting.append(pdf.assign(_block=0))
+                held += len(pdf)
+            if held >= size:
+                take()
+                waiting, held = [], 0
+        if waiting:
+            take()
+        if totals:
+            place = TaskContext.get().partitionId()
+            yield pd.DataFrame([{**row, "_block": place} for row in totals.values()])[names]
+
+    return run
 
 
 def blocked_sums(df: DataFrame, order: Order, before: int, partial: Callable[[pd.DataFrame], pd.DataFrame],
                  schema: str, keys: Sequence[str], sums: Sequence[str], latest: Sequence[str] = (),
                  peaks: Sequence[str] = (), block_rows: int | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run ``partial`` on every block (with ``before`` earlier rows) and return few rows of sums per key.
+    """Run ``partial`` over the rows of every series and return few rows of sums per key.
 
-    The first level of adding is left out where the layout tells that no series has many blocks.
+    ``partial`` sees at most about ``block_rows`` rows of a series at once, with ``before`` earlier ones.
+    ``prepare`` may use the first time ``_t0`` and the length ``_span`` of the row's series.
     """
     size = block_rows or BLOCK_ROWS
+    full = key_schema(df, order.keys) + "_block long, " + schema
+    if before == 0 and order.keys and order.layout is None:
+        order = with_layout(df, order)
+    if before == 0 and (not order.keys or order.series <= FEW_SERIES):
+        rows = prepare(_with_ends(df, order)) if prepare else df
+        names = [f.name for f in StructType.fromDDL(full).fields]
+        run = _where_rows_are(order.keys, partial, keys, sums, peaks, size, names)
+        return add_up(rows.mapInPandas(run, full), keys, sums, latest, peaks)
     blocked, parts = halo_blocks(df, order, before, 0, size, ends=prepare is not None)
     if prepare:
         blocked = prepare(blocked)
-    out = blocked.groupBy(*parts).applyInPandas(partial, key_schema(df, order.keys) + "_block long, " + schema)
+    out = blocked.groupBy(*parts).applyInPandas(partial, full)
     few = order.longest is not None and order.longest <= size * FAN_IN
     return out if few else add_up(out, keys, sums, latest, peaks)
 
 
+def _with_ends(df: DataFrame, order: Order) -> DataFrame:
+    if order.layout is not None:
+        ends = order.layout.filter("_start = 0").select(*order.layout_keys, "_t0", "_span")
+        return attach(df, ends, order.layout_keys)
+    days = epoch_days(order.time)
+    ends = df.agg(F.min(days).alias("_t0"), (F.max(days) - F.min(days)).alias("_span"))
+    return attach(df, ends)
+
+
 def ridge(xx: np.ndarray, xy: np.ndarray, penalty: np.ndarray) -> np.ndarray:
     a = xx + np.diag(penalty)
     jitter = 1e-12 * max(float(np.trace(a)) / len(a), 1e-12)

@@ -42,6 +42,7 @@ class Order:
     layout: DataFrame | None = None
     layout_keys: tuple[str, ...] = ()
     longest: int | None = None
+    series: int | None = None
 
     def bucket(self) -> Column:
         width = self.bucket_seconds * MICROS_PER_SECOND
@@ -84,14 +85,15 @@ def bucket_table(df: DataFrame, order: Order) -> DataFrame:
 def with_layout(df: DataFrame, order: Order) -> Order:
     """Count the buckets once and keep the table, for operators that pass over the same rows repeatedly.
 
-    ``longest`` is then the number of rows of the longest series.
+    ``longest`` is then the number of rows of the longest series and ``series`` the number of series.
     """
     table = write_scratch(bucket_table(df, without_layout(order)), "layout")
-    return replace(order, layout=table, layout_keys=order.keys, longest=table.agg(F.max("_total")).first()[0] or 0)
+    known = table.filter("_start = 0").agg(F.max("_total"), F.count(F.lit(1))).first()
+    return replace(order, layout=table, layout_keys=order.keys, longest=known[0] or 0, series=known[1])
 
 
 def without_layout(order: Order) -> Order:
-    return replace(order, layout=None, layout_keys=(), longest=None)
+    return replace(order, layout=None, layout_keys=(), longest=None, series=None)
 
 
 def with_position(df: DataFrame, order: Order, name: str = "pos", total: str | None = None) -> DataFrame:

@@ -8,11 +8,11 @@ from tidecast.operators import decompose, evaluate, forecast, shortterm, var, wi
 from tidecast.operators.align import align_forecasts
 from tidecast.operators.clean import complete_rows
 from tidecast.operators.decompose import Penalties
-from tidecast.operators.describe import mode_of
+from tidecast.operators.describe import mode_of, poly_fit
 from tidecast.operators.position import Order
 from tidecast.plans import evaluate as reports, prepare
 from tidecast.plans.registry import (
-    DAILY_SQL, HOURLY_SQL, KEYED_SQL, TYPES, daily, hourly, keyed, query, rounded, table, wide)
+    HOURLY_SQL, KEYED_SQL, TYPES, daily, hourly, keyed, query, rounded, table, wide)
 from tidecast.session import scratch_path, write_scratch
 
 HOUR = Order("time")
@@ -302,3 +302,71 @@ def short_evaluation_report(spark, folder):
 def published_future(spark, folder):
     d = daily(spark, folder)
     return forecast.publish_future(d, DAYS, "y", 730, DAY_SECONDS, penalties=[LOOSE])
+
+
+# One-variable cases of the multivariate models, which SQL can state in closed form.
+AR_SQL = f"""{KEYED_SQL}, l AS (SELECT event_type, time, y, lag(y) OVER (PARTITION BY event_type ORDER BY time) AS x FROM hk),
+c AS (SELECT event_type, regr_intercept(y, x) AS c, regr_slope(y, x) AS a, regr_count(y, x) AS n FROM l GROUP BY 1)"""
+
+
+def _single(spark, folder) -> DataFrame:
+    return write_scratch(keyed(spark, folder).select("event_type", "time", F.array("y").alias("z")), "z")
+
+
+@query("autoregression_per_type", f"WITH {AR_SQL} SELECT event_type, n, round(c, 6) AS intercept, round(a, 8) AS weight, "
+       "round(abs(a), 8) AS radius FROM c")
+def autoregression_per_type(spark, folder):
+    model = var.fit_var(_single(spark, folder), "z", TYPED)
+    row = F.col("coefs")[0]
+    return model.select("event_type", "n", F.round(row[0], 6).alias("intercept"), F.round(row[1], 8).alias("weight"),
+                        F.round("radius", 8).alias("radius"))
+
+
+@query("autoregression_steps_per_type", f"WITH {AR_SQL}, e AS (SELECT event_type, arg_max(y, time) AS y FROM hk GROUP BY 1), "
+       "s AS (SELECT e.event_type, c + a * y AS v1, c + a * (c + a * y) AS v2, c + a * (c + a * (c + a * y)) AS v3 FROM e JOIN c ON e.event_type = c.event_type) "
+       "SELECT event_type, CAST(1 AS INTEGER) AS step, round(v1, 5) AS value FROM s UNION ALL SELECT event_type, 2, round(v2, 5) FROM s "
+       "UNION ALL SELECT event_type, 3, round(v3, 5) FROM s")
+def autoregression_steps_per_type(spark, folder):
+    return rounded(var.forecast_var(var.fit_var(_single(spark, folder), "z", TYPED), ["event_type"], 3), 5)
+
+
+@query("one_step_errors_per_type", f"WITH {AR_SQL} SELECT l.event_type, l.time, round(pow(l.y - (c.c + c.a * l.x), 2), 3) AS e2 "
+       "FROM l JOIN c ON l.event_type = c.event_type WHERE l.x IS NOT NULL")
+def one_step_errors_per_type(spark, folder):
+    z = _single(spark, folder)
+    e2 = var.squared_errors(z, "z", var.fit_var(z, "z", TYPED), TYPED)
+    return e2.select("event_type", "time", F.round(F.col("e2")[0], 3).alias("e2"))
+
+
+@query("variance_floor_per_type", f"WITH {AR_SQL} SELECT l.event_type, round(median(pow(l.y - (c.c + c.a * l.x), 2)), 3) AS floor "
+       "FROM l JOIN c ON l.event_type = c.event_type WHERE l.x IS NOT NULL GROUP BY 1")
+def variance_floor_per_type(spark, folder):
+    z = _single(spark, folder)
+    e2 = var.squared_errors(z, "z", var.fit_var(z, "z", TYPED), TYPED)
+    return rounded(forecast.error_floor(e2, ["event_type"], None), 3)
+
+
+@query("components_of_a_pair", """WITH r AS (SELECT l_returnflag, count(*) AS n, abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem GROUP BY 1)
+SELECT l_returnflag, n, round((1 + r) * n / (n - 1.0), 8) AS larger, round((1 - r) * n / (n - 1.0), 8) AS smaller,
+CAST(CASE WHEN (1 - r) * n / (n - 1.0) >= 0.1 THEN 2 ELSE 1 END AS INTEGER) AS kept FROM r""")
+def components_of_a_pair(spark, folder):
+    items = table(spark, folder, "lineitem")
+    order = Order("l_shipdate", ("l_returnflag",), ("l_orderkey", "l_linenumber"))
+    model = var.fit_components(items, ["l_quantity", "l_extendedprice"], order)
+    eig = F.col("eigenvalues")
+    return model.select("l_returnflag", "n", F.round(eig[0], 8).alias("larger"), F.round(eig[1], 8).alias("smaller"),
+                        F.size("loadings").alias("kept"))
+
+
+@query("linear_fit", "SELECT CAST(0 AS INTEGER) AS power, round(regr_intercept(l_extendedprice, l_quantity), 4) AS coefficient FROM lineitem "
+       "UNION ALL SELECT 1, round(regr_slope(l_extendedprice, l_quantity), 4) FROM lineitem")
+def linear_fit(spark, folder):
+    return rounded(poly_fit(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice", 1), 4)
+
+
+@query("importance_shares", f"WITH {KEYED_SQL}, d AS (SELECT event_type AS variable, round(avg(y), 6) AS delta FROM hk GROUP BY 1), "
+       "s AS (SELECT min(delta) AS low, sum(delta) AS total, count(*) AS n FROM d) "
+       "SELECT variable, delta, round((delta - low) / (total - n * low), 2) AS importance FROM d, s")
+def importance_shares(spark, folder):
+    deltas = keyed(spark, folder).groupBy(F.col("event_type").alias("variable")).agg(F.round(F.avg("y"), 6).alias("delta"))
+    return shortterm.importance_shares(deltas)
