@@ -176,9 +176,11 @@ def running_counts(df: DataFrame, keys: Sequence[str], value: str, count: str,
                    bucket_rows: int = RANK_ROWS) -> DataFrame:
     """Add ``before``: the sum of ``count`` over smaller ``value``s of the same key.
 
-    ``df`` holds distinct values per key.  Up to ``bucket_rows`` rows one window does; beyond, values are cut
-    at measured quantiles so that every window partition stays of bounded size whatever the keys.
+    ``df`` holds distinct values per key and is written once, as it is read several times.  Up to
+    ``bucket_rows`` rows one window does; beyond, values are cut at measured quantiles so that every window
+    partition stays of bounded size whatever the keys.
     """
+    df = write_scratch(df, "counts")
     rows = df.count()
     if rows <= bucket_rows:
         prior = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)

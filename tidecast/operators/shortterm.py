@@ -18,7 +18,7 @@ from tidecast.operators.attach import attach
 from tidecast.operators.decompose import dot
 from tidecast.operators.gram import blocked_sums, key_schema, ridge, stack
 from tidecast.operators.position import Order, framed, rank_by_hash, with_layout, with_position
-from tidecast.operators.windows import _trailing
+from tidecast.operators.windows import trailing_columns
 from tidecast.session import write_scratch
 
 DAY_ROWS = 24
@@ -51,15 +51,11 @@ class ShortModel:
         return len(self.offsets()) + len(self.widths())
 
 
-def calendar_terms(time: str) -> list[Column]:
-    t = col_of(time)
-    turns = [(F.hour(t) / 24.0, 2), (F.weekday(t) / 7.0, 3), (F.dayofyear(t) / 365.25, 2)]
-    out = []
-    for turn, pairs in turns:
-        for i in range(1, pairs + 1):
-            angle = turn * F.lit(float(2 * np.pi * i))
-            out += [F.sin(angle), F.cos(angle)]
-    return out
+def calendar_terms(time: str) -> str:
+    """Sine and cosine pairs of the hour, the weekday and the day of the year, as SQL."""
+    turns = [(f"hour(`{time}`) / 24D", 2), (f"weekday(`{time}`) / 7D", 3), (f"dayofyear(`{time}`) / 365.25D", 2)]
+    return ", ".join(f"{fn}(2 * pi() * {i} * {turn})" for turn, pairs in turns for i in range(1, pairs + 1)
+                     for fn in ("sin", "cos"))
 
 
 def samples(df: DataFrame, spec: ShortModel, order: Order, sets: Sequence[Sequence[str]],
@@ -70,12 +66,11 @@ def samples(df: DataFrame, spec: ShortModel, order: Order, sets: Sequence[Sequen
     names = list(dict.fromkeys(c for s in sets for c in s))
 
     def build(rows: DataFrame, window, block) -> DataFrame:
-        for c in names:
-            for w in spec.widths():
-                rows = _trailing(rows, window, block, c, w, f"_m{w}_{c}")
-        lags = {f"_l{o}_{c}": F.lag(col_of(c), o).over(window) for c in names for o in spec.offsets()}
-        return rows.withColumns({
-            **lags, "_ahead": F.lead(col_of(order.time), spec.horizon).over(window),
+        rows = trailing_columns(rows, order, {f"_m{w}_{c}": (c, w) for c in names for w in spec.widths()}, 32)
+        now = F.expr("array(" + ", ".join(f"cast(`{c}` AS double)" for c in names) + ")")
+        return rows.withColumn("_now", now).withColumns({
+            **{f"_lag{o}": F.lag("_now", o).over(window) for o in spec.offsets()},
+            "_ahead": F.lead(col_of(order.time), spec.horizon).over(window),
             "_actual": F.lead(col_of(spec.target), spec.horizon).over(window),
             "_seen": F.count(F.lit(1)).over(window.rowsBetween(-(spec.length - 1), 0))})
 
@@ -83,9 +78,8 @@ def samples(df: DataFrame, spec: ShortModel, order: Order, sets: Sequence[Sequen
     rows = rows.filter((F.col("_seen") == spec.length) & F.col("_ahead").isNotNull())
 
     def terms(columns: Sequence[str]) -> Column:
-        return F.array(*[F.col(f"`_l{o}_{c}`").cast("double") if kind == "l" else F.col(f"`_m{o}_{c}`").cast("double")
-                         for c in columns for kind, o in
-                         [("l", o) for o in spec.offsets()] + [("m", w) for w in spec.widths()]])
+        return F.expr("array(" + ", ".join(t for c in columns for t in (
+            *[f"_lag{o}[{names.index(c)}]" for o in spec.offsets()], *[f"`_m{w}_{c}`" for w in spec.widths()])) + ")")
 
     return rows.select(*order.key_columns(), *order.columns(), F.col("_ahead").alias("target_time"),
                        F.col("_actual").cast("double").alias("actual"),
@@ -101,7 +95,7 @@ def _scaled_terms(spec: ShortModel, x: str) -> Column:
 
 
 def _design(spec: ShortModel, x: str) -> Column:
-    return F.concat(_scaled_terms(spec, x), F.array(F.lit(1.0), *calendar_terms("target_time")))
+    return F.concat(_scaled_terms(spec, x), F.expr(f"array(1D, {calendar_terms('target_time')})"))
 
 
 def poisson_weights(hashes: np.ndarray, member: int) -> np.ndarray:

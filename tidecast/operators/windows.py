@@ -86,27 +86,40 @@ def remove_outliers(df: DataFrame, columns: Sequence[str], order: Order, n: int
     return joined.select(*cells)
 
 
-def _trailing(rows: DataFrame, window: WindowSpec, block: WindowSpec, y: str, w: int, name: str) -> DataFrame:
-    """Mean of the last w rows, null unless all w are there and known."""
-    value = col_of(y)
-    if w <= SHORT_FRAME:
-        frame = window.rowsBetween(-(w - 1), 0)
-        return rows.withColumn(name, F.when(F.count(value).over(frame) == w, F.avg(value).over(frame)))
+def trailing_columns(rows: DataFrame, order: Order, wanted: dict[str, tuple[str, int]], short: int = SHORT_FRAME
+                     ) -> DataFrame:
+    """Add means of the last w rows, null unless all w are there and known; ``wanted`` maps a name to (column, w).
+
+    ``rows`` are halo blocks of ``order``.  Frames up to ``short`` rows are averaged directly, longer ones come
+    from running sums centred on the block mean, whose cost does not grow with w.
+    """
     names = rows.columns
-    running = window.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_b", F.avg(value).over(block))
-    rows = rows.withColumns({"_s": F.sum(F.coalesce(value - F.col("_b"), F.lit(0.0))).over(running),
-                             "_c": F.count(value).over(running)})
-    rows = rows.withColumns({"_s": F.col("_s") - F.coalesce(F.lag("_s", w).over(window), F.lit(0.0)),
-                             "_c": F.col("_c") - F.coalesce(F.lag("_c", w).over(window), F.lit(0))})
-    mean = F.when(F.col("_c") == w, F.col("_b") + F.col("_s") / w)
-    return rows.withColumn(name, mean).select(*[col_of(c) for c in names], name)
+    block = "PARTITION BY " + ", ".join(f"`{c}`" for c in (*order.keys, "_block"))
+    ordered = block + " ORDER BY " + ", ".join(f"`{c}`" for c in (order.time, *order.ties))
+    running = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    direct = {n: (y, w) for n, (y, w) in wanted.items() if w <= short}
+    long = {n: (y, w) for n, (y, w) in wanted.items() if w > short}
+    if direct:
+        frame = "OVER ({} ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
+        rows = rows.selectExpr("*", *[
+            f"CASE WHEN count(`{y}`) {frame.format(ordered, w - 1)} = {w} THEN avg(`{y}`) {frame.format(ordered, w - 1)} END AS `{n}`"
+            for n, (y, w) in direct.items()])
+    if long:
+        columns = list(dict.fromkeys(y for y, _ in long.values()))
+        rows = rows.selectExpr("*", *[f"avg(`{y}`) OVER ({block}) AS `_base_{y}`" for y in columns])
+        rows = rows.selectExpr("*", *[f"sum(coalesce(`{y}` - `_base_{y}`, 0D)) {running} AS `_sum_{y}`" for y in columns],
+                               *[f"count(`{y}`) {running} AS `_known_{y}`" for y in columns])
+        gone = "`{0}` - coalesce(lag(`{0}`, {1}) OVER ({2}), 0)"
+        rows = rows.selectExpr("*", *[
+            f"CASE WHEN {gone.format(f'_known_{y}', w, ordered)} = {w} THEN `_base_{y}` + ({gone.format(f'_sum_{y}', w, ordered)}) / {w} END AS `{n}`"
+            for n, (y, w) in long.items()])
+    return rows.select(*[f"`{c}`" for c in (*names, *wanted)])
 
 
 def trailing_mean(df: DataFrame, y: str, w: int, order: Order, name: str = "trailing_mean",
                   block_rows: int | None = None) -> DataFrame:
     """Mean of the last ``w`` rows including this one; null until the window is full of known values."""
-    return framed(df, order, w, 0, lambda rows, win, block: _trailing(rows, win, block, y, w, name), block_rows)
+    return framed(df, order, w, 0, lambda rows, win, block: trailing_columns(rows, order, {name: (y, w)}), block_rows)
 
 
 def trailing_mse(df: DataFrame, y: str, w: int, order: Order, block_rows: int | None = None) -> DataFrame:

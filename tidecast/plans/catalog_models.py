@@ -30,6 +30,11 @@ def filled(spark, folder) -> DataFrame:
     return write_scratch(decompose.impute(df, models, TYPES, HOUR), "filled")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The hourly or daily table as a stored dataset, so that the passes of a fit do not rebuild it."""
+    return write_scratch(df, "series")
+
+
 @query("decomposition_fit")
 def decomposition_fit(spark, folder):
     models = decompose.fit_decomposition(keyed(spark, folder), TYPED, ["y"])
@@ -110,13 +115,13 @@ def error_model_fit(spark, folder):
 
 @query("long_forecast")
 def long_forecast(spark, folder):
-    model = forecast.fit_long(keyed(spark, folder), TYPED, "y", penalties=[LOOSE])
+    model = forecast.fit_long(stored(keyed(spark, folder)), TYPED, "y", penalties=[LOOSE])
     return forecast.confidence_bounds(forecast.forecast_long(model, 336))
 
 
 @query("stored_models")
 def stored_models(spark, folder):
-    model = forecast.fit_long(daily(spark, folder), DAYS, "y", penalties=[LOOSE])
+    model = forecast.fit_long(stored(daily(spark, folder)), DAYS, "y", penalties=[LOOSE])
     path = scratch_path(spark, "models")
     model.save(path)
     return forecast.forecast_long(model.load(spark, path), 365, DAY_SECONDS)
@@ -282,7 +287,7 @@ def prepared_holdout(spark, folder):
 
 @query("long_evaluation_report")
 def long_evaluation_report(spark, folder):
-    split = windows.split_holdout(daily(spark, folder), DAYS)
+    split = stored(windows.split_holdout(daily(spark, folder), DAYS))
     results = reports.long_forecast_on_holdout(split.filter("not is_holdout"), split.filter("is_holdout"), DAYS, "y", 365,
                                                DAY_SECONDS, penalties=[LOOSE])
     return reports.long_report(write_scratch(results, "results"))
@@ -291,7 +296,7 @@ def long_evaluation_report(spark, folder):
 @query("short_evaluation_report")
 def short_evaluation_report(spark, folder):
     df = filled(spark, folder)
-    split = windows.split_holdout(df, HOUR)
+    split = stored(windows.split_holdout(df, HOUR))
     external = df.select(F.timestamp_add("HOUR", F.lit(24), F.col("time")).alias("time"), F.col("click").alias("x"))
     results = reports.short_forecast_on_holdout(split.filter("not is_holdout"), split.filter("is_holdout"), HOUR, "click", REST, 72,
                                                 external=external, external_value="x")
@@ -300,7 +305,7 @@ def short_evaluation_report(spark, folder):
 
 @query("published_future")
 def published_future(spark, folder):
-    d = daily(spark, folder)
+    d = stored(daily(spark, folder))
     return forecast.publish_future(d, DAYS, "y", 730, DAY_SECONDS, penalties=[LOOSE])
 
 
