@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of
 
@@ -48,6 +48,12 @@ def dummies(c: str, levels: Sequence[str], drop_first: bool = True) -> list[Colu
     return [F.when(col_of(c) == v, 1).otherwise(0).cast("int").alias(f"{c}_{v}") for v in used]
 
 
+def minmax_fit(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """``low_column`` and ``high_column`` of every column, one row per key."""
+    return df.groupBy(*[col_of(k) for k in keys]).agg(
+        *[f(col_of(c)).alias(f"{side}_{c}") for c in columns for side, f in (("low", F.min), ("high", F.max))])
+
+
 def scale_unit(c: str | Column, low: Column, high: Column) -> Column:
     """(value - low) / (high - low), null when the range is empty."""
     return F.try_divide(col_of(c) - low, high - low)

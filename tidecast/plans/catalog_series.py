@@ -321,17 +321,13 @@ def time_features(spark, folder):
                     timekeys.day_of_year("ts").alias("day_of_year"))
 
 
-def minmax_ranges(df: DataFrame, columns, keys=()) -> DataFrame:
-    return df.groupBy(*keys).agg(*[f(c).alias(f"{p}_{c}") for c in columns for p, f in (("low", F.min), ("high", F.max))])
-
-
 SCALED_SQL = """r AS (SELECT l_returnflag, min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY 1),
 m AS (SELECT l_orderkey, l_linenumber, l_returnflag, low, high, (l_extendedprice - low) / (high - low) AS scaled FROM lineitem JOIN r USING (l_returnflag))"""
 
 
 def _scaled(spark, folder) -> DataFrame:
     items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
-    ranges = minmax_ranges(items, ["l_extendedprice"], ["l_returnflag"])
+    ranges = cells.minmax_fit(items, ["l_extendedprice"], ["l_returnflag"])
     low, high = F.col("low_l_extendedprice"), F.col("high_l_extendedprice")
     return attach(items, ranges, ["l_returnflag"]).withColumn("scaled", cells.scale_unit("l_extendedprice", low, high))
 
