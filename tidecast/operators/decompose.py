@@ -78,22 +78,15 @@ def component_slices() -> dict[str, tuple[int, int]]:
     return out
 
 
-def _partial_sums(keys: Sequence[str]):
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = design(pdf["_days"].to_numpy(), pdf["_scaled"].to_numpy())
-        ys = stack(pdf["_ys"])
-        home = {k: pdf[k].iloc[0] for k in keys}
-        rows = []
-        for i in range(ys.shape[1]):
-            y = ys[:, i]
-            known = ~np.isnan(y)
-            xi, yi = x[known], y[known]
-            rows.append({**home, "_block": pdf["_block"].iloc[0], "out": i, "t0": pdf["_t0"].iloc[0],
-                         "span": pdf["_span"].iloc[0], "n": int(known.sum()), "yy": float(yi @ yi),
-                         "xy": xi.T @ yi, "xx": (xi.T @ xi).ravel(),
-                         "peak": float(np.abs(yi).max()) if len(yi) else 0.0})
-        return pd.DataFrame(rows)
-    return partial
+def _partial_sums(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
+    x, ys, rows = design(cols["_days"], cols["_scaled"]), cols["_ys"], []
+    for i in range(ys.shape[1]):
+        known = ~np.isnan(ys[:, i])
+        xi, yi = x[known], ys[known, i]
+        rows.append({"out": i, "t0": cols["_t0"][0], "span": cols["_span"][0], "n": int(known.sum()),
+                     "yy": float(yi @ yi), "xy": xi.T @ yi, "xx": (xi.T @ xi).ravel(),
+                     "peak": float(np.abs(yi).max()) if len(yi) else 0.0})
+    return rows
 
 
 def _solve(keys: Sequence[str], names: Sequence[str] | None, penalties: Sequence[Penalties]):
@@ -136,7 +129,7 @@ def fit_decomposition(df: DataFrame, order: Order, values: Sequence[str] | str,
     rows = df.select(*order.key_columns(), *order.columns(), epoch_days(order.time).alias("_days"), ys.alias("_ys"))
     scaled = F.coalesce(F.try_divide(F.col("_days") - F.col("_t0"), F.col("_span")), F.lit(0.0))
     keys = [*order.keys, "out"]
-    summed = blocked_sums(rows, order, 0, _partial_sums(order.keys),
+    summed = blocked_sums(rows, order, 0, _partial_sums,
                           "out int, t0 double, span double, n long, yy double, xy array<double>, xx array<double>, "
                           "peak double", keys, ("n", "yy", "xy", "xx"), peaks=("peak",), block_rows=block_rows,
                           prepare=lambda r: r.withColumn("_scaled", scaled))

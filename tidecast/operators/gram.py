@@ -13,7 +13,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tidecast.functions.timekeys import epoch_days
@@ -58,8 +60,29 @@ def add_up(parts: DataFrame, keys: Sequence[str], sums: Sequence[str], latest: S
     return parts.groupBy(*keys, run.alias("_run")).applyInPandas(add, parts.schema)
 
 
-def _where_rows_are(keys: Sequence[str], partial: Callable[[pd.DataFrame], pd.DataFrame], group: Sequence[str],
-                    sums: Sequence[str], peaks: Sequence[str], size: int, names: Sequence[str]):
+Partial = Callable[[dict[str, np.ndarray], dict[str, object]], list[dict]]
+
+
+def as_arrays(table: pa.Table) -> dict[str, np.ndarray]:
+    """Columns as numpy arrays, list columns as matrices, without an object per row."""
+    out = {}
+    for name in table.column_names:
+        column = table.column(name).combine_chunks()
+        if pa.types.is_list(column.type):
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            out[name] = flat.reshape(len(column), -1)
+        else:
+            out[name] = column.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _sum_table(table: pa.Table, keys: Sequence[str], partial: Partial) -> list[dict]:
+    home = {k: table.column(k)[0].as_py() for k in keys}
+    return [{**home, **row} for row in partial(as_arrays(table), home)]
+
+
+def _where_rows_are(keys: Sequence[str], partial: Partial, group: Sequence[str], sums: Sequence[str],
+                    peaks: Sequence[str], size: int, schema: pa.Schema):
     """Running totals per key over the batches of a partition."""
     def run(batches):
         from pyspark import TaskContext
@@ -67,17 +90,20 @@ def _where_rows_are(keys: Sequence[str], partial: Callable[[pd.DataFrame], pd.Da
         waiting, held, totals = [], 0, {}
 
         def take():
-            rows = pd.concat(waiting, ignore_index=True)
-            pieces = [rows] if not keys else [g for _, g in rows.groupby(list(keys), dropna=False, sort=False)]
+            rows = pa.Table.from_batches(waiting)
+            pieces = [rows]
+            if keys:
+                places = rows.select(list(keys)).to_pandas().groupby(list(keys), dropna=False, sort=False).indices
+                pieces = [rows.take(pa.array(i)) for i in places.values()]
             for piece in pieces:
-                for row in partial(piece).to_dict("records"):
+                for row in _sum_table(piece, keys, partial):
                     at = tuple(row[k] for k in group)
                     totals[at] = _merge(totals[at], row, sums, (), peaks) if at in totals else row
 
-        for pdf in batches:
-            if len(pdf):
-                waiting.append(pdf.assign(_block=0))
-                held += len(pdf)
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                held += batch.num_rows
             if held >= size:
                 take()
                 waiting, held = [], 0
@@ -85,33 +111,40 @@ def _where_rows_are(keys: Sequence[str], partial: Callable[[pd.DataFrame], pd.Da
             take()
         if totals:
             place = TaskContext.get().partitionId()
-            yield pd.DataFrame([{**row, "_block": place} for row in totals.values()])[names]
+            yield pa.RecordBatch.from_pylist([{**row, "_block": place} for row in totals.values()], schema)
+
+    return run
+
 
+def _per_block(keys: Sequence[str], partial: Partial, schema: pa.Schema):
+    def run(table: pa.Table) -> pa.Table:
+        place = table.column("_block")[0].as_py()
+        return pa.Table.from_pylist([{**row, "_block": place} for row in _sum_table(table, keys, partial)], schema)
     return run
 
 
-def blocked_sums(df: DataFrame, order: Order, before: int, partial: Callable[[pd.DataFrame], pd.DataFrame],
-                 schema: str, keys: Sequence[str], sums: Sequence[str], latest: Sequence[str] = (),
-                 peaks: Sequence[str] = (), block_rows: int | None = None,
-                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def blocked_sums(df: DataFrame, order: Order, before: int, partial: Partial, schema: str, keys: Sequence[str],
+                 sums: Sequence[str], latest: Sequence[str] = (), peaks: Sequence[str] = (),
+                 block_rows: int | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run ``partial`` over the rows of every series and return few rows of sums per key.
 
-    ``partial`` sees at most about ``block_rows`` rows of a series at once, with ``before`` earlier ones.
-    ``prepare`` may use the first time ``_t0`` and the length ``_span`` of the row's series.
+    ``partial`` gets at most about ``block_rows`` rows of a series at once as arrays, with ``before`` earlier
+    ones (``_home`` tells them apart), and returns rows of sums without the key columns.  ``prepare`` may use
+    the first time ``_t0`` and the length ``_span`` of the row's series.
     """
     size = block_rows or BLOCK_ROWS
-    full = key_schema(df, order.keys) + "_block long, " + schema
+    full = StructType.fromDDL(key_schema(df, order.keys) + "_block long, " + schema)
+    shape = to_arrow_schema(full)
     if before == 0 and order.keys and order.layout is None:
         order = with_layout(df, order)
     if before == 0 and (not order.keys or order.series <= FEW_SERIES):
         rows = prepare(_with_ends(df, order)) if prepare else df
-        names = [f.name for f in StructType.fromDDL(full).fields]
-        run = _where_rows_are(order.keys, partial, keys, sums, peaks, size, names)
-        return add_up(rows.mapInPandas(run, full), keys, sums, latest, peaks)
+        run = _where_rows_are(order.keys, partial, keys, sums, peaks, size, shape)
+        return add_up(rows.mapInArrow(run, full), keys, sums, latest, peaks)
     blocked, parts = halo_blocks(df, order, before, 0, size, ends=prepare is not None)
     if prepare:
         blocked = prepare(blocked)
-    out = blocked.groupBy(*parts).applyInPandas(partial, full)
+    out = blocked.groupBy(*parts).applyInArrow(_per_block(order.keys, partial, shape), full)
     few = order.longest is not None and order.longest <= size * FAN_IN
     return out if few else add_up(out, keys, sums, latest, peaks)
 

@@ -110,19 +110,16 @@ def poisson_weights(hashes: np.ndarray, member: int) -> np.ndarray:
     return np.searchsorted(steps, u, side="right").astype(float)
 
 
-def _member_sums(keys: Sequence[str], members: int):
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = stack(pdf["_x"]), pdf["_y"].to_numpy(dtype=float)
+def _member_sums(members: int):
+    def partial(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
+        x, y = cols["_x"], cols["_y"]
         known = ~(np.isnan(x).any(axis=1) | np.isnan(y))
-        x, y, h = x[known], y[known], pdf["_h"].to_numpy()[known]
-        home = {k: pdf[k].iloc[0] for k in keys}
-        rows = []
+        x, y, h, rows = x[known], y[known], cols["_h"][known], []
         for m in range(members):
             w = poisson_weights(h, m) if members > 1 else np.ones(len(y))
             xw = x * w[:, None]
-            rows.append({**home, "_block": pdf["_block"].iloc[0], "member": m, "n": float(w.sum()),
-                         "xx": (xw.T @ x).ravel(), "xy": xw.T @ y})
-        return pd.DataFrame(rows)
+            rows.append({"member": m, "n": float(w.sum()), "xx": (xw.T @ x).ravel(), "xy": xw.T @ y})
+        return rows
     return partial
 
 
@@ -153,7 +150,7 @@ def fit_short(df: DataFrame, order: Order, target: str, predictors: Sequence[str
                        F.coalesce(F.when(F.col("actual").isNotNull(), y), nan).alias("_y"),
                        F.xxhash64(F.lit(seed), *order.columns()).alias("_h"))
     keys = [*order.keys, "member"]
-    summed = blocked_sums(rows, order, 0, _member_sums(order.keys, n_models),
+    summed = blocked_sums(rows, order, 0, _member_sums(n_models),
                           "member int, n double, xx array<double>, xy array<double>", keys, ("n", "xx", "xy"),
                           block_rows=block_rows)
     solved = summed.groupBy(*keys).applyInPandas(_solve_member(order.keys, penalty),

@@ -15,15 +15,10 @@ from tidecast.operators.gram import blocked_sums, key_schema, stack
 from tidecast.operators.position import Order, framed
 
 
-def _moment_sums(keys: Sequence[str]):
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = stack(pdf["_x"])
-        x = x[~np.isnan(x).any(axis=1)]
-        shift = stack(pdf["_c"].iloc[:1])[0] if x.shape[1] else np.zeros(0)
-        d = x - shift
-        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "_block": pdf["_block"].iloc[0], "n": len(x),
-                              "centre": shift, "s": d.sum(axis=0), "ss": (d.T @ d).ravel()}])
-    return partial
+def _moment_sums(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
+    x, shift = cols["_x"], cols["_c"][0]
+    d = x[~np.isnan(x).any(axis=1)] - shift
+    return [{"n": len(d), "centre": shift, "s": d.sum(axis=0), "ss": (d.T @ d).ravel()}]
 
 
 def _components(keys: Sequence[str], min_eig: float):
@@ -55,7 +50,7 @@ def fit_components(df: DataFrame, columns: Sequence[str], order: Order, min_eig:
     x = F.array(*[F.coalesce(col_of(c).cast("double"), F.lit(float("nan"))) for c in columns])
     centre = df.groupBy(*order.key_columns()).agg(F.array(*[F.avg(col_of(c)) for c in columns]).alias("_c"))
     rows = attach(df.select(*order.key_columns(), *order.columns(), x.alias("_x")), centre, order.keys)
-    summed = blocked_sums(rows, order, 0, _moment_sums(order.keys),
+    summed = blocked_sums(rows, order, 0, _moment_sums,
                           "n long, centre array<double>, s array<double>, ss array<double>", order.keys,
                           ("n", "s", "ss"), block_rows=block_rows)
     schema = key_schema(df, order.keys) + ("n long, mean array<double>, std array<double>, eigenvalues array<double>, "
@@ -78,19 +73,17 @@ def reduce_features(df: DataFrame, keep: Sequence[str], others: Sequence[str], c
     return rows.select(*base, F.concat(kept, F.transform("_loadings", lambda v: dot(v, F.col("_z")))).alias(name))
 
 
-def _lag_sums(keys: Sequence[str], sort: Sequence[str], p: int):
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(sort))
-        z = stack(pdf["_z"])
+def _lag_sums(sort: Sequence[str], p: int):
+    def partial(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
+        at = pd.DataFrame({c: cols[c] for c in sort}).sort_values(list(sort)).index.to_numpy()
+        z, owned = cols["_z"][at], cols["_home"][at].astype(bool)
         n, k = z.shape
         x, y = np.zeros((0, 1 + k * p)), np.zeros((0, k))
         if n > p:
-            home = pdf["_home"].to_numpy()[p:]
-            x = np.hstack([np.ones((n - p, 1))] + [z[p - i:n - i] for i in range(1, p + 1)])[home]
-            y = z[p:][home]
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in keys}, "_block": pdf["_block"].iloc[0], "n_vars": k,
-                              "n": len(x), "xx": (x.T @ x).ravel(), "xy": (x.T @ y).ravel(),
-                              "last_time": pdf[sort[0]].iloc[-1], "context": [list(v) for v in z[::-1][:p]]}])
+            x = np.hstack([np.ones((n - p, 1))] + [z[p - i:n - i] for i in range(1, p + 1)])[owned[p:]]
+            y = z[p:][owned[p:]]
+        return [{"n_vars": k, "n": len(x), "xx": (x.T @ x).ravel(), "xy": (x.T @ y).ravel(),
+                 "last_time": pd.Timestamp(cols[sort[0]][at[-1]]).to_pydatetime(), "context": [list(v) for v in z[::-1][:p]]}]
     return partial
 
 
@@ -125,7 +118,7 @@ def fit_var(df: DataFrame, z: str, order: Order, p: int = 1, block_rows: int | N
     rows = df.select(*order.key_columns(), *order.columns(), col_of(z).alias("_z"))
     sort = [order.time, *order.ties]
     moment = dict(df.dtypes)[order.time]
-    summed = blocked_sums(rows, order, p, _lag_sums(order.keys, sort, p),
+    summed = blocked_sums(rows, order, p, _lag_sums(sort, p),
                           f"n_vars int, n long, xx array<double>, xy array<double>, last_time {moment}, "
                           "context array<array<double>>", order.keys, ("n", "xx", "xy"), ("last_time", "context"),
                           block_rows=block_rows)
