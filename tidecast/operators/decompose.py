@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of, epoch_days
 from tidecast.operators.attach import attach
-from tidecast.operators.gram import blocked_sums, key_schema, ridge, stack
+from tidecast.operators.gram import blocked_sums, by_key, key_schema, ridge, stack
 from tidecast.operators.position import Order
 
 # Period in days and number of sine/cosine pairs of each season, and the trend changes.
@@ -135,7 +135,7 @@ def fit_decomposition(df: DataFrame, order: Order, values: Sequence[str] | str,
                           prepare=lambda r: r.withColumn("_scaled", scaled))
     schema = key_schema(df, order.keys) + ("params_id int, out int, variable string, t0 double, span double, n long, "
                                            "noise double, beta array<double>")
-    return summed.groupBy(*keys).applyInPandas(_solve(order.keys, names, penalties), schema)
+    return by_key(summed, keys, _solve(order.keys, names, penalties), schema)
 
 
 def packed(models: DataFrame, keys: Sequence[str]) -> DataFrame:

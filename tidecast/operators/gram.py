@@ -36,6 +36,17 @@ def stack(cells: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(c, dtype=float) for c in cells])
 
 
+def by_key(df: DataFrame, keys: Sequence[str], run: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
+    """Apply a function to every group of a model-sized table.
+
+    Its rows are few bytes but costly to handle, so the number of tasks is fixed: adaptive execution, which
+    goes by bytes, would put them all into one.
+    """
+    if keys:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.groupBy(*keys).applyInPandas(run, schema)
+
+
 def _merge(a: dict, b: dict, sums: Sequence[str], latest: Sequence[str], peaks: Sequence[str]) -> dict:
     """Add the ``sums``, take the larger ``peaks``, keep the ``latest`` columns of the later row."""
     out = dict(a)
@@ -56,8 +67,8 @@ def add_up(parts: DataFrame, keys: Sequence[str], sums: Sequence[str], latest: S
         row["_block"] = int(row["_block"]) // FAN_IN
         return pd.DataFrame([row])[names]
 
-    run = F.floor(F.col("_block") / FAN_IN)
-    return parts.groupBy(*keys, run.alias("_run")).applyInPandas(add, parts.schema)
+    runs = parts.withColumn("_run", F.floor(F.col("_block") / FAN_IN))
+    return by_key(runs, [*keys, "_run"], lambda pdf: add(pdf[names]), parts.schema)
 
 
 Partial = Callable[[dict[str, np.ndarray], dict[str, object]], list[dict]]
@@ -160,5 +171,12 @@ def _with_ends(df: DataFrame, order: Order) -> DataFrame:
 
 def ridge(xx: np.ndarray, xy: np.ndarray, penalty: np.ndarray) -> np.ndarray:
     a = xx + np.diag(penalty)
-    jitter = 1e-12 * max(float(np.trace(a)) / len(a), 1e-12)
-    return np.linalg.lstsq(a + jitter * np.eye(len(a)), xy, rcond=None)[0]
+    a = a + 1e-12 * max(float(np.trace(a)) / len(a), 1e-12) * np.eye(len(a))
+    size = np.sqrt(np.diag(a))
+    try:
+        beta = np.linalg.solve(a / np.outer(size, size), xy / size) / size
+        if np.isfinite(beta).all():
+            return beta
+    except np.linalg.LinAlgError:
+        pass
+    return np.linalg.lstsq(a, xy, rcond=None)[0]

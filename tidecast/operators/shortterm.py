@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach
 from tidecast.operators.decompose import dot
-from tidecast.operators.gram import blocked_sums, key_schema, ridge, stack
+from tidecast.operators.gram import blocked_sums, by_key, key_schema, ridge, stack
 from tidecast.operators.position import Order, framed, rank_by_hash, with_layout, with_position
 from tidecast.operators.windows import trailing_columns
 from tidecast.session import write_scratch
@@ -153,8 +153,8 @@ def fit_short(df: DataFrame, order: Order, target: str, predictors: Sequence[str
     summed = blocked_sums(rows, order, 0, _member_sums(n_models),
                           "member int, n double, xx array<double>, xy array<double>", keys, ("n", "xx", "xy"),
                           block_rows=block_rows)
-    solved = summed.groupBy(*keys).applyInPandas(_solve_member(order.keys, penalty),
-                                                 key_schema(df, order.keys) + "member int, beta array<double>")
+    solved = by_key(summed, keys, _solve_member(order.keys, penalty),
+                    key_schema(df, order.keys) + "member int, beta array<double>")
     ordered = F.array_sort(F.collect_list(F.struct("member", "beta")))
     betas = solved.groupBy(*order.keys).agg(F.transform(ordered, lambda m: m.getField("beta")).alias("betas"))
     members = write_scratch(attach(betas, ranges, order.keys), "members")

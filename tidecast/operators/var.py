@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach
 from tidecast.operators.decompose import dot
-from tidecast.operators.gram import blocked_sums, key_schema, stack
+from tidecast.operators.gram import blocked_sums, by_key, key_schema, stack
 from tidecast.operators.position import Order, framed
 
 
@@ -55,7 +55,7 @@ def fit_components(df: DataFrame, columns: Sequence[str], order: Order, min_eig:
                           ("n", "s", "ss"), block_rows=block_rows)
     schema = key_schema(df, order.keys) + ("n long, mean array<double>, std array<double>, eigenvalues array<double>, "
                                            "loadings array<array<double>>")
-    return summed.groupBy(*order.keys).applyInPandas(_components(order.keys, min_eig), schema)
+    return by_key(summed, order.keys, _components(order.keys, min_eig), schema)
 
 
 def reduce_features(df: DataFrame, keep: Sequence[str], others: Sequence[str], components: DataFrame | None,
@@ -124,7 +124,7 @@ def fit_var(df: DataFrame, z: str, order: Order, p: int = 1, block_rows: int | N
                           block_rows=block_rows)
     schema = key_schema(df, order.keys) + ("n_vars int, n_lags int, n long, coefs array<array<double>>, radius double, "
                                            f"context array<array<double>>, last_time {moment}")
-    return summed.groupBy(*order.keys).applyInPandas(_solve_var(order.keys, p), schema)
+    return by_key(summed, order.keys, _solve_var(order.keys, p), schema)
 
 
 def forecast_var(models: DataFrame, keys: Sequence[str], steps: int | str) -> DataFrame:
