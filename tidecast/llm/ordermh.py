@@ -9,8 +9,8 @@ TOKEN, KMER, BIN_BITS, KEPT = 8, 3, 6, 2
 #: A packed number holds a hash above and a position in the text below.
 PLACE_BITS = 24
 PLACES = (1 << PLACE_BITS) - 1
-#: Neighbouring doc_ids that share a task.
-NEIGHBOURS = 128
+#: 2 ** NEAR neighbouring doc_ids share a part, 2 ** COARSE parts a coarser one.
+NEAR, COARSE = 7, 12
 TOKENS = rf"[^\x20\x09-\x0D]{{1,{TOKEN}}}"
 
 
@@ -82,11 +82,11 @@ def likeness(a: str, b: str) -> Column:
 def neighbourhoods(ids: DataFrame) -> DataFrame:
     """_part, _first (its smallest doc_id) and _previous (the part before it; the last one's for the first).
 
-    A part holds the ids of one multiple of ``NEIGHBOURS``.  Parts are put in order within coarser parts, and only
+    A part holds the ids that are equal but for the last ``NEAR`` bits.  Parts are put in order within coarser parts, and only
     the ends of those meet in one task.
     """
     parts = ids.groupBy("_part").agg(F.min("doc_id").alias("_first"))
-    parts = parts.withColumn("_coarse", F.floor(F.col("_part") / 4096))
+    parts = parts.withColumn("_coarse", F.shiftright("_part", COARSE))
     inside = Window.partitionBy("_coarse").orderBy("_part")
     ends = parts.groupBy("_coarse").agg(F.max("_part").alias("_end"))
     before = F.lag("_end").over(Window.orderBy("_coarse"))
@@ -105,13 +105,15 @@ def order_minhash(docs: DataFrame) -> DataFrame:
     """
     whole = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     least = F.lit(-(1 << 62))
-    rows = whole.withColumn("_part", F.floor(F.coalesce("doc_id", least) / NEIGHBOURS).cast("long"))
+    rows = whole.withColumn("_part", F.shiftright(F.coalesce("doc_id", least), NEAR))
     parts = neighbourhoods(rows.select("_part", F.coalesce("doc_id", least).alias("doc_id")).repartition("_part"))
     rows = with_fingerprint(rows, "text", "_fp")
     in_order = Window.partitionBy("_part").orderBy(F.col("doc_id").asc_nulls_first(), "text")
+    # both uses of the rows of a part share one exchange, so texts move once
+    heads = rows.withColumn("_lag", F.lag(F.lit(1)).over(in_order)).filter("_lag IS NULL")
+    heads = heads.join(parts.withColumnRenamed("_part", "_own"), F.col("_part") == F.col("_own"))
+    heads = heads.select(F.col("_previous").alias("_before"), F.struct("text", "_fp").alias("_head"))
     local = rows.select("*", F.lead("text").over(in_order).alias("_next"), F.lead("_fp").over(in_order).alias("_next_fp"))
-    heads = rows.join(parts.withColumnRenamed("_part", "_own"), (F.col("_part") == F.col("_own")) & (F.coalesce("doc_id", least) == F.col("_first")))
-    heads = heads.groupBy(F.col("_previous").alias("_before")).agg(F.min(F.struct("text", "_fp")).alias("_head"))
     joined = local.join(heads, local["_part"] == heads["_before"], "left")
     joined = joined.select("doc_id", "text", "_fp", F.coalesce("_next", "_head.text").alias("_next"), F.coalesce("_next_fp", "_head._fp").alias("_next_fp"))
     half = F.floor(F.length("text") / 2).cast("int")
