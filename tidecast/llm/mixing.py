@@ -100,13 +100,13 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: i
                                               (F.col("words") == F.col("size")).alias("__mix_whole"))
     joined = with_row(docs, "__mix_row").join(taken, F.col("__mix_row") == F.col("__mix_of"))
     whole = joined.filter("__mix_whole").select(*docs.columns)
-    where = docs.columns.index("text")
+    names, where = docs.columns, docs.columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_first_words(t.as_py(), w.as_py()) for t, w in zip(batch.column(where), batch.column(len(docs.columns)))]
+            texts = [_first_words(t.as_py(), w.as_py()) for t, w in zip(batch.column(where), batch.column(len(names)))]
             columns = [pa.array(texts, pa.string()) if i == where else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     part = joined.filter("NOT __mix_whole").select(*docs.columns, "__mix_words").mapInArrow(cut, docs.schema)
     return whole.unionByName(part)
