@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 UNKNOWN = "und"
-#: Bytes of context, documents learned from for each language, and bytes scored together.
-ORDER, PER_LANGUAGE, BYTES = 3, 500, 1 << 20
+#: Bytes of context, documents learned from for each language, rows and bytes scored together.
+ORDER, PER_LANGUAGE, ROWS, BYTES = 3, 500, 256, 1 << 19
 #: The score is the posterior of a passage of so many bytes, coded at the text's mean rate.
 PASSAGE = 64
 
@@ -174,26 +174,32 @@ def code_lengths(texts: list[str], model: Model) -> np.ndarray:
     return out
 
 
-def _scored(rows: DataFrame, model: Model | None) -> DataFrame:
-    """The columns of ``rows`` and lang_pred and score, from the last two of them: text and whether it has a letter."""
+def _scored(rows: DataFrame, model: Model | None, text: int, passed: int) -> DataFrame:
+    """The first ``passed`` columns of ``rows`` and lang_pred and score; ``text`` is the text's place, and the last
+    column tells whether it has a letter.
+    """
     handle = rows.sparkSession.sparkContext.broadcast(model) if model else None  # bounded by the sample learned from
 
+    def judge(texts: list[str], names: np.ndarray, scores: np.ndarray, at: np.ndarray) -> None:
+        bits = code_lengths(texts, handle.value)
+        sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for t in texts])
+        rate = bits * (np.minimum(sizes, PASSAGE) / sizes)[:, None]
+        weight, best = np.exp2(rate.min(1)[:, None] - rate), bits.argmin(1)
+        names[at] = [handle.value.languages[i] for i in best]
+        scores[at] = weight[np.arange(len(texts)), best] / weight.sum(1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            letters = np.array(batch.columns[-1].to_pylist(), bool)
-            names, scores = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
-            if handle and letters.any():
-                texts = [t.as_py() for t, has in zip(batch.columns[-2], letters) if has]
-                bits = code_lengths(texts, handle.value)
-                sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for t in texts])
-                rate = bits * (np.minimum(sizes, PASSAGE) / sizes)[:, None]
-                weight = np.exp2(rate.min(1)[:, None] - rate)
-                names[letters] = [handle.value.languages[i] for i in bits.argmin(1)]
-                scores[letters] = weight[np.arange(len(texts)), bits.argmin(1)] / weight.sum(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(names.tolist(), pa.string()), pa.array(scores)],
-                                             [*batch.schema.names[:-2], "__lang_pred", "__score"])
-
-    schema = T.StructType([*rows.schema.fields[:-2], T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType())])
+        for whole in batches:
+            for a in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(a, ROWS)
+                at = np.flatnonzero(np.array(batch.columns[-1].to_pylist(), bool))
+                names, scores = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
+                if handle and len(at):
+                    judge(batch.column(text).take(pa.array(at)).to_pylist(), names, scores, at)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:passed], pa.array(names.tolist(), pa.string()), pa.array(scores)],
+                                                 [*batch.schema.names[:passed], "__lang_pred", "__score"])
+
+    schema = T.StructType([*rows.schema.fields[:passed], T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -208,10 +214,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     letter is ``und`` with score 0, and so is every text when nothing was learned.  Only the text is looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text", _letters())
-    return _scored(rows, model).withColumnsRenamed({"__lang_pred": "lang_pred", "__score": "score"})
+    return _scored(rows, model, 2, 2).withColumnsRenamed({"__lang_pred": "lang_pred", "__score": "score"})
 
 
 def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` that have a language; those that are ``und`` go."""
-    rows = docs.select(*docs.columns, F.col("text").alias("__text"), _letters())
-    return _scored(rows, model).filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
+    rows = docs.select(*docs.columns, _letters())
+    return _scored(rows, model, docs.columns.index("text"), len(docs.columns)).filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
