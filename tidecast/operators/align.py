@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidecast.functions import cells
 from tidecast.functions.timekeys import col_of, month_key
+from tidecast.operators.attach import join_on
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -83,13 +84,13 @@ def calendar(df: DataFrame, time: str, step: str = "1 hour", keys: Sequence[str]
 
 def fill_calendar(df: DataFrame, time: str, step: str = "1 hour", keys: Sequence[str] = ()) -> DataFrame:
     """The rows of a series on its complete calendar, missing times as rows of nulls."""
-    joined = calendar(df, time, step, keys).join(df, [*keys, time], "left")
+    joined = join_on(calendar(df, time, step, keys), df, [*keys, time], "left")
     return joined.select(*[col_of(c) for c in df.columns])
 
 
 def gaps(df: DataFrame, time: str, step: str = "1 hour", keys: Sequence[str] = ()) -> DataFrame:
     """Times of the calendar that have no row."""
-    return calendar(df, time, step, keys).join(df.select(*keys, time), [*keys, time], "left_anti")
+    return join_on(calendar(df, time, step, keys), df.select(*keys, time), [*keys, time], "left_anti")
 
 
 def append(*parts: DataFrame) -> DataFrame:

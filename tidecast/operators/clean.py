@@ -50,18 +50,18 @@ def parse_moment(value: str | date | datetime, what: str) -> datetime:
     raise ValueError(f"the {what} time must be text or a date")
 
 
-def clamp_range(start, end) -> tuple[datetime, datetime]:
+def clamp_range(start, end, bounds: tuple[datetime, datetime] = (EARLIEST, LATEST)) -> tuple[datetime, datetime]:
     """Bring a requested range inside the supported one; a start at or after the end is refused."""
-    low = max(parse_moment(start, "start"), EARLIEST)
-    high = min(parse_moment(end, "end"), LATEST)
+    low = max(parse_moment(start, "start"), bounds[0])
+    high = min(parse_moment(end, "end"), bounds[1])
     if low >= high:
         raise ValueError("the start is not before the end")
     return low, high
 
 
-def time_range(df: DataFrame, time: str, start, end, clamp: bool = True) -> DataFrame:
-    """Rows strictly between two times; the comparison reaches the parquet scan."""
-    low, high = clamp_range(start, end) if clamp else (parse_moment(start, "start"), parse_moment(end, "end"))
+def time_range(df: DataFrame, time: str, start, end, bounds: tuple[datetime, datetime] | None = None) -> DataFrame:
+    """Rows strictly between two times, brought inside ``bounds`` if given; the comparison reaches the parquet scan."""
+    low, high = clamp_range(start, end, bounds) if bounds else (parse_moment(start, "start"), parse_moment(end, "end"))
     if low >= high:
         raise ValueError("the start is not before the end")
     t = col_of(time)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of, epoch_days
-from tidecast.operators.attach import attach
+from tidecast.operators.attach import attach, join_on
 from tidecast.operators.gram import blocked_sums, by_key, key_schema, ridge, stack
 from tidecast.operators.position import Order
 
@@ -149,7 +149,7 @@ def packed(models: DataFrame, keys: Sequence[str]) -> DataFrame:
 def predict_decomposition(times: DataFrame, models: DataFrame, time: str, keys: Sequence[str] = ()) -> DataFrame:
     """``yhat`` and its components at any times, one row per time and variable of the key."""
     slices = component_slices()
-    rows = times.join(models.select(*keys, "params_id", "variable", "t0", "span", "beta"), list(keys), "inner") \
+    rows = join_on(times, models.select(*keys, "params_id", "variable", "t0", "span", "beta"), keys) \
         if keys else _each_model(times, models)
     x = with_basis(rows, time, "t0", "span")
     parts = {c: dot(F.slice("_x", a, n), F.slice("beta", a, n)) for c, (a, n) in slices.items()}
@@ -174,7 +174,7 @@ def fitted_array(df: DataFrame, models: DataFrame, order: Order, name: str = "_f
         models_row = models_row.filter("params_id = 0").drop("params_id")
         rows = attach(df, models_row, order.keys)
     elif order.keys:
-        rows = df.join(models_row, list(order.keys), "inner")
+        rows = join_on(df, models_row, order.keys)
     else:
         sets = models_row.agg(F.collect_list(F.struct("*")).alias("m"))
         rows = df.withColumn("_m", F.explode(sets.scalar())).select(*[col_of(c) for c in df.columns], "_m.*")

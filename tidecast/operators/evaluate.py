@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of
+from tidecast.operators.attach import attach
 from tidecast.operators.decompose import Penalties
 from tidecast.operators.forecast import SET, fit_long, forecast_long
 from tidecast.operators.position import RANK_ROWS, Order, running_counts, with_position
@@ -57,10 +58,10 @@ def exact_p(statistic: float, n: int) -> float:
     return min(1.0, 2 * sum(ways[:int(statistic) + 1]) / 2 ** n)
 
 
-def _p_values(z: pd.Series, statistic: pd.Series, n: pd.Series, ties: pd.Series) -> pd.Series:
+def _p_values(z: pd.Series, statistic: pd.Series, n: pd.Series, ties: pd.Series, zeros: pd.Series) -> pd.Series:
     out = []
-    for zi, s, k, t in zip(z, statistic, n, ties):
-        if k <= EXACT_ROWS and t == 0:
+    for zi, s, k, t, o in zip(z, statistic, n, ties, zeros):
+        if k <= EXACT_ROWS and t == 0 and o == 0:
             out.append(exact_p(s, int(k)))
         else:
             out.append(math.erfc(abs(zi) / math.sqrt(2)) if zi == zi else float("nan"))
@@ -79,6 +80,8 @@ def wilcoxon(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), digits: in
     rows = df.select(*[col_of(k) for k in keys], d.alias("_d")).filter(F.col("_d").isNotNull())
     sizes = rows.groupBy(*keys, F.abs("_d").alias("_abs")).agg(
         F.count(F.lit(1)).alias("_t"), F.count_if(F.col("_d") > 0).alias("_plus"))
+    zeros = sizes.filter(F.col("_abs") == 0).select(*keys, F.col("_t").alias("_zeros"))
+    zeros = zeros if keys else zeros.agg(F.coalesce(F.sum("_zeros"), F.lit(0)).alias("_zeros"))
     ranked = running_counts(sizes.filter(F.col("_abs") > 0), keys, "_abs", "_t", bucket_rows)
     rank = F.col("before") + (F.col("_t") + 1) / F.lit(2.0)
     t = F.col("_t").cast("double")
@@ -86,12 +89,13 @@ def wilcoxon(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), digits: in
         F.sum("_t").alias("n"), F.sum(rank * F.col("_plus")).alias("_up"),
         F.sum(rank * (F.col("_t") - F.col("_plus"))).alias("_down"),
         F.sum(t * t * t - t).alias("_ties"))
+    sums = attach(sums, zeros, keys)
     n = F.col("n").cast("double")
     deviation = F.sqrt((n * (n + 1) * (2 * n + 1) - F.col("_ties") / 2) / 24)
     out = sums.withColumn("statistic", F.least("_up", "_down")).withColumn(
         "z", F.try_divide(F.col("statistic") - n * (n + 1) / 4, deviation))
     p = F.pandas_udf(_p_values, "double")
-    return (out.withColumn("p_value", p(F.coalesce("z", F.lit(float("nan"))), "statistic", "n", "_ties"))
+    return (out.withColumn("p_value", p(F.coalesce("z", F.lit(float("nan"))), "statistic", "n", "_ties", F.coalesce("_zeros", F.lit(0))))
             .withColumn("reject", F.col("p_value") < 0.05)
             .select(*keys, "n", "statistic", "z", "p_value", "reject"))
 

@@ -80,8 +80,12 @@ def as_arrays(table: pa.Table) -> dict[str, np.ndarray]:
     for name in table.column_names:
         column = table.column(name).combine_chunks()
         if pa.types.is_list(column.type):
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            out[name] = flat.reshape(len(column), -1)
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            flat = column.flatten().to_numpy(zero_copy_only=False).reshape(int(there.sum()), -1)
+            out[name] = flat
+            if not there.all():  # an array that is null as a whole is unknown in every place
+                out[name] = np.full((len(column), flat.shape[1]), np.nan)
+                out[name][there] = flat
         else:
             out[name] = column.to_numpy(zero_copy_only=False)
     return out
@@ -170,8 +174,8 @@ def _with_ends(df: DataFrame, order: Order) -> DataFrame:
 
 
 def ridge(xx: np.ndarray, xy: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-    a = xx + np.diag(penalty)
-    a = a + 1e-12 * max(float(np.trace(a)) / len(a), 1e-12) * np.eye(len(a))
+    own = np.diag(xx)  # the jitter follows each term's own size, not the penalties
+    a = xx + np.diag(penalty + 1e-12 * np.maximum(own, 1e-12))
     size = np.sqrt(np.diag(a))
     try:
         beta = np.linalg.solve(a / np.outer(size, size), xy / size) / size

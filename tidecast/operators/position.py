@@ -20,6 +20,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidecast.functions.timekeys import MICROS_PER_SECOND, epoch_days, micros
+from tidecast.operators.attach import join_on
 from tidecast.session import write_scratch
 
 BLOCK_ROWS = 65_536
@@ -100,8 +101,7 @@ def with_position(df: DataFrame, order: Order, name: str = "pos", total: str | N
     """Add the 0-based position of every row in its series, and optionally the number of rows."""
     starts = bucket_table(df, order).select(*order.keys, "_bucket", "_start", "_total")
     inside = Window.partitionBy(*order.keys, "_bucket").orderBy(*order.columns())
-    out = (df.withColumn("_bucket", order.bucket())
-           .join(starts, [*order.keys, "_bucket"])
+    out = (join_on(df.withColumn("_bucket", order.bucket()), starts, [*order.keys, "_bucket"])
            .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1))
     if total:
         out = out.withColumn(total, F.col("_total"))
@@ -122,7 +122,7 @@ def with_segment(df: DataFrame, order: Order, cuts: Callable[[Column], Sequence[
         *order.keys, "_bucket", "_start", "_cuts",
         F.size(F.filter("_cuts", lambda c: c <= F.col("_start"))).alias("_low"),
         F.size(F.filter("_cuts", lambda c: c < F.col("_end"))).alias("_high"))
-    tagged = df.withColumn("_bucket", order.bucket()).join(table, [*order.keys, "_bucket"])
+    tagged = join_on(df.withColumn("_bucket", order.bucket()), table, [*order.keys, "_bucket"])
     whole = tagged.filter(F.col("_low") == F.col("_high")).withColumn(name, F.col("_low"))
     inside = Window.partitionBy(*order.keys, "_bucket").orderBy(*order.columns())
     split = (tagged.filter(F.col("_low") < F.col("_high"))
@@ -153,11 +153,10 @@ def halo_blocks(df: DataFrame, order: Order, before: int, after: int, block_rows
     kept = [*[F.col(f"`{c}`") for c in df.columns], *extra]
     if not (before or after):
         table = table.select(*keys, "_bucket", own.alias("_block"), *extra)
-        out = df.withColumn("_bucket", order.bucket()).join(table, [*keys, "_bucket"])
+        out = join_on(df.withColumn("_bucket", order.bucket()), table, [*keys, "_bucket"])
         return out.select(*kept, "_block", F.lit(True).alias("_home")), [*order.keys, "_block"]
     table = table.select(*keys, "_bucket", own.alias("_own"), low.alias("_from"), high.alias("_to"), *extra)
-    out = (df.withColumn("_bucket", order.bucket())
-           .join(table, [*keys, "_bucket"])
+    out = (join_on(df.withColumn("_bucket", order.bucket()), table, [*keys, "_bucket"])
            .withColumn("_block", F.explode(F.sequence(F.least("_from", "_own"), F.greatest("_to", "_own"))))
            .withColumn("_home", F.col("_block") == F.col("_own")))
     return out.select(*kept, "_block", "_home"), [*order.keys, "_block"]
@@ -192,7 +191,7 @@ def running_counts(df: DataFrame, keys: Sequence[str], value: str, count: str,
     prior = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(prior), F.lit(0))).drop("_sum")
     inside = Window.partitionBy(*keys, "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (bucketed.join(sums, [*keys, "_piece"])
+    return (join_on(bucketed, sums, [*keys, "_piece"])
             .withColumn("before", (F.col("_base") + F.coalesce(F.sum(count).over(inside), F.lit(0))).cast("long"))
             .select(*df.columns, "before"))
 
@@ -217,6 +216,6 @@ def rank_by_hash(df: DataFrame, order: Order, seed: int, name: str = "rank", bit
     prior = Window.partitionBy(*order.keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(prior), F.lit(0))).drop("_n")
     inside = Window.partitionBy(*order.keys, "_piece").orderBy("_hash", *order.columns())
-    return (hashed.join(sizes, [*order.keys, "_piece"])
+    return (join_on(hashed, sizes, [*order.keys, "_piece"])
             .withColumn(name, F.col("_base") + F.row_number().over(inside) - 1)
             .select(*[F.col(f"`{c}`") for c in df.columns], name))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of
-from tidecast.operators.attach import attach
+from tidecast.operators.attach import attach, join_on
 from tidecast.operators.decompose import dot
 from tidecast.operators.gram import blocked_sums, by_key, key_schema, ridge, stack
 from tidecast.operators.position import Order, framed, rank_by_hash, with_layout, with_position
@@ -198,7 +198,7 @@ def permuted(df: DataFrame, columns: Sequence[str], order: Order, seed: int) ->
     placed = with_position(df, order, "_pos")
     drawn = rank_by_hash(df, order, seed, "_pos").select(*order.keys, "_pos",
                                                          *[col_of(c).alias(f"perm_{c}") for c in columns])
-    return placed.join(drawn, [*order.keys, "_pos"]).drop("_pos")
+    return join_on(placed, drawn, [*order.keys, "_pos"]).drop("_pos")
 
 
 def permutation_importance(df: DataFrame, model: ShortModel, order: Order, seed: int = 11,

@@ -82,6 +82,9 @@ def _lag_sums(sort: Sequence[str], p: int):
         if n > p:
             x = np.hstack([np.ones((n - p, 1))] + [z[p - i:n - i] for i in range(1, p + 1)])[owned[p:]]
             y = z[p:][owned[p:]]
+            whole = np.isfinite(x).all(1) & np.isfinite(y).all(1)  # rows with a gap in their lags are left out
+            x, y = x[whole], y[whole]
+        z = pd.DataFrame(z).ffill().fillna(0.0).to_numpy()  # a forecast starts from the last known values
         return [{"n_vars": k, "n": len(x), "xx": (x.T @ x).ravel(), "xy": (x.T @ y).ravel(),
                  "last_time": pd.Timestamp(cols[sort[0]][at[-1]]).to_pydatetime(), "context": [list(v) for v in z[::-1][:p]]}]
     return partial

@@ -8,7 +8,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidecast.functions.timekeys import col_of
-from tidecast.operators.attach import attach
+from tidecast.operators.attach import attach, join_on
 from tidecast.operators.position import Order, framed, with_segment
 
 SHORT_FRAME = 256
@@ -22,31 +22,66 @@ def _outlier_limit(p: float, side: str) -> float:
     raise ValueError("side is 'both' or 'low'")
 
 
-def _flag_frame(rows: DataFrame, window: WindowSpec, block: WindowSpec, y: str, half: int, p: float,
-                side: str) -> DataFrame:
+def known_value(y: str) -> Column:
+    """The value as a double; NaN is unknown, as null is."""
+    return F.nanvl(col_of(y).cast("double"), F.lit(None).cast("double"))
+
+
+def trailing_stats(rows: DataFrame, order: Order, y: str, n: int, name: str) -> DataFrame:
+    """Add count, mean and sum of squared deviations of the known values of the last ``n`` rows of a block.
+
+    Blocks are cut into chunks of n rows.  The last n rows are the tail of a chunk and the head of the next, whose
+    statistics are running sums from the chunk's ends; so no value outside the frame ever enters a sum, and
+    the cost does not grow with n.  Running sums are taken from the first known value of their side.
+    """
+    names = rows.columns
+    ordered = Window.partitionBy(*order.keys, "_block").orderBy(*order.columns())
+    rows = rows.withColumns({"_known": known_value(y), "_at": F.row_number().over(ordered) - 1})
+    rows = rows.withColumn("_chunk", F.floor(F.col("_at") / n))
+    chunk = Window.partitionBy(*order.keys, "_block", "_chunk")
+    for side, at in (("head", F.col("_at")), ("tail", F.col("_at").desc())):
+        running = chunk.orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+        whole = chunk.orderBy(at).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        rows = rows.withColumn(f"_{side}_base", F.first("_known", ignorenulls=True).over(whole))
+        off = F.col("_known") - F.col(f"_{side}_base")
+        rows = rows.withColumns({f"_{side}_n": F.count("_known").over(running), f"_{side}_s": F.sum(off).over(running),
+                                 f"_{side}_q": F.sum(off * off).over(running)})
+    inside = F.pmod(F.col("_at") + 1, F.lit(n)) != 0  # else the frame is a whole chunk
+    rows = rows.withColumns({f"_before_{c}": F.when(inside, F.lag(f"_tail_{c}", n - 1).over(ordered)) for c in ("base", "n", "s", "q")})
+
+    def of(side: str) -> tuple[Column, Column, Column]:
+        count = F.coalesce(F.col(f"_{side}_n"), F.lit(0)).cast("double")
+        some = F.when(count > 0, count)
+        mean = F.coalesce(F.col(f"_{side}_base") + F.col(f"_{side}_s") / some, F.lit(0.0))
+        squares = F.col(f"_{side}_q") - F.col(f"_{side}_s") * F.col(f"_{side}_s") / some
+        return count, mean, F.coalesce(F.greatest(squares, F.lit(0.0)), F.lit(0.0))
+
+    (n1, m1, q1), (n2, m2, q2) = of("before"), of("head")
+    count = F.when(n1 + n2 > 0, n1 + n2)
+    apart = F.when((n1 > 0) & (n2 > 0), m2 - m1).otherwise(0.0)
+    mean = F.when(n1 > 0, m1 + apart * n2 / count).otherwise(m2)
+    rows = rows.withColumns({f"{name}_n": (n1 + n2).cast("long"), f"{name}_mean": F.when(count > 0, mean),
+                             f"{name}_q": F.when(count > 0, q1 + q2 + apart * apart * n1 * n2 / count)})
+    return rows.select(*[col_of(c) for c in names], f"{name}_n", f"{name}_mean", f"{name}_q")
+
+
+def _flag_frame(rows: DataFrame, window: WindowSpec, order: Order, y: str, half: int, p: float, side: str) -> DataFrame:
     """Flag rows against the mean and deviation of the 2*half+1 rows around them.
 
-    Running sums make the cost independent of the frame width.  Values are centred on the block mean
-    first, and a count of value changes tells a constant frame exactly (its deviation is zero).
+    A count of value changes tells a constant frame exactly (its deviation is zero).
     """
     names = rows.columns
     n = 2 * half + 1
-    running = window.rowsBetween(Window.unboundedPreceding, 0)
-    v = F.col("_v")
-    rows = rows.withColumn("_v", col_of(y) - F.avg(col_of(y)).over(block))
+    rows = trailing_stats(rows, order, y, n, "_frame")
+    v = col_of(y).cast("double")
     rows = rows.withColumn("_chg", F.when(v != F.lag(v).over(window), 1).otherwise(0))
-    rows = rows.withColumns({"_s1": F.sum(v).over(running), "_s2": F.sum(v * v).over(running),
-                             "_moves": F.sum("_chg").over(running), "_rn": F.row_number().over(window)})
-
-    def over_frame(c: str) -> Column:
-        return F.lead(c, half).over(window) - F.coalesce(F.lag(c, half + 1).over(window), F.lit(0.0))
-
+    rows = rows.withColumns({"_moves": F.sum("_chg").over(window.rowsBetween(Window.unboundedPreceding, 0)),
+                             "_rn": F.row_number().over(window)})
     rows = rows.withColumns({
-        "_mean": over_frame("_s1") / n, "_sq": over_frame("_s2") / n,
+        "_mean": F.lead("_frame_mean", half).over(window), "_sq": F.lead("_frame_q", half).over(window) / n,
         "_varied": F.lead("_moves", half).over(window) > F.lag("_moves", half).over(window),
         "_full": (F.col("_rn") > half) & F.lead("_rn", half).over(window).isNotNull()})
-    deviation = F.sqrt(F.greatest(F.col("_sq") - F.col("_mean") * F.col("_mean"), F.lit(0.0)))
-    z = F.try_divide(v - F.col("_mean"), deviation)
+    z = F.try_divide(v - F.col("_mean"), F.sqrt("_sq"))
     limit = _outlier_limit(p, side)
     beyond = F.abs(z) >= limit if side == "both" else z <= limit
     flag = F.coalesce(F.col("_full") & F.col("_varied") & beyond, F.lit(False))
@@ -55,15 +90,15 @@ def _flag_frame(rows: DataFrame, window: WindowSpec, block: WindowSpec, y: str,
 
 def detect_outliers(df: DataFrame, y: str, order: Order, n: int = 1000, p: float = 0.001,
                     side: str = "both", block_rows: int | None = None) -> DataFrame:
-    """Flag values that are unlikely under a normal fitted to the n+1 non-null rows around them.
+    """Flag values that are unlikely under a normal fitted to the n+1 known rows around them.
 
-    ``side='both'`` flags either tail beyond p/2; ``side='low'`` flags the low tail beyond p.  The
-    first and last n/2 non-null rows and frames without spread are never flagged, nor are nulls.
+    ``side='both'`` flags either tail beyond p/2; ``side='low'`` flags the low tail beyond p.  The first
+    and last n/2 known rows and frames without spread are never flagged, nor are nulls and NaN.
     """
     half = n // 2
-    known = framed(df.filter(col_of(y).isNotNull()), order, half + 1, half,
-                   lambda rows, w, block: _flag_frame(rows, w, block, y, half, p, side), block_rows)
-    unknown = df.filter(col_of(y).isNull()).withColumn("is_outlier", F.lit(False))
+    known = framed(df.filter(known_value(y).isNotNull()), order, half + 1, half,
+                   lambda rows, w, block: _flag_frame(rows, w, order, y, half, p, side), block_rows)
+    unknown = df.filter(known_value(y).isNull()).withColumn("is_outlier", F.lit(False))
     return known.unionByName(unknown)
 
 
@@ -74,13 +109,13 @@ def remove_outliers(df: DataFrame, columns: Sequence[str], order: Order, n: int
     Only the flagged cells travel back to the wide table.
     """
     ids = [*order.keys, order.time, *order.ties]
-    long = df.unpivot(ids, list(columns), "variable", "_y").filter(F.col("_y").isNotNull())
+    long = df.unpivot(ids, list(columns), "variable", "_y").filter(known_value("_y").isNotNull())
     by_variable = Order(order.time, (*order.keys, "variable"), order.ties, order.bucket_seconds)
     half = n // 2
     flagged = (framed(long, by_variable, half + 1, half,
-                      lambda rows, w, block: _flag_frame(rows, w, block, "_y", half, p, "both"), block_rows)
+                      lambda rows, w, block: _flag_frame(rows, w, by_variable, "_y", half, p, "both"), block_rows)
                .filter("is_outlier").groupBy(*ids).agg(F.collect_set("variable").alias("_flagged")))
-    joined = df.join(flagged, ids, "left")
+    joined = join_on(df, flagged, ids, "left")
     cells = [F.when(~F.coalesce(F.array_contains("_flagged", c), F.lit(False)), col_of(c)).alias(c)
              if c in columns else col_of(c) for c in df.columns]
     return joined.select(*cells)
@@ -90,29 +125,21 @@ def trailing_columns(rows: DataFrame, order: Order, wanted: dict[str, tuple[str,
                      ) -> DataFrame:
     """Add means of the last w rows, null unless all w are there and known; ``wanted`` maps a name to (column, w).
 
-    ``rows`` are halo blocks of ``order``.  Frames up to ``short`` rows are averaged directly, longer ones come
-    from running sums centred on the block mean, whose cost does not grow with w.
+    ``rows`` are halo blocks of ``order``; NaN is unknown.  Frames up to ``short`` rows are averaged directly, longer
+    ones by ``trailing_stats``, whose cost does not grow with w.  Either way only the rows of a frame decide.
     """
     names = rows.columns
-    block = "PARTITION BY " + ", ".join(f"`{c}`" for c in (*order.keys, "_block"))
-    ordered = block + " ORDER BY " + ", ".join(f"`{c}`" for c in (order.time, *order.ties))
-    running = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ordered = "PARTITION BY " + ", ".join(f"`{c}`" for c in (*order.keys, "_block"))
+    ordered += " ORDER BY " + ", ".join(f"`{c}`" for c in (order.time, *order.ties))
     direct = {n: (y, w) for n, (y, w) in wanted.items() if w <= short}
-    long = {n: (y, w) for n, (y, w) in wanted.items() if w > short}
     if direct:
-        frame = "OVER ({} ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
+        known, frame = "nanvl(cast(`{}` AS double), CAST(NULL AS double))", "OVER ({} ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
         rows = rows.selectExpr("*", *[
-            f"CASE WHEN count(`{y}`) {frame.format(ordered, w - 1)} = {w} THEN avg(`{y}`) {frame.format(ordered, w - 1)} END AS `{n}`"
+            f"CASE WHEN count({known.format(y)}) {frame.format(ordered, w - 1)} = {w} THEN avg({known.format(y)}) {frame.format(ordered, w - 1)} END AS `{n}`"
             for n, (y, w) in direct.items()])
-    if long:
-        columns = list(dict.fromkeys(y for y, _ in long.values()))
-        rows = rows.selectExpr("*", *[f"avg(`{y}`) OVER ({block}) AS `_base_{y}`" for y in columns])
-        rows = rows.selectExpr("*", *[f"sum(coalesce(`{y}` - `_base_{y}`, 0D)) {running} AS `_sum_{y}`" for y in columns],
-                               *[f"count(`{y}`) {running} AS `_known_{y}`" for y in columns])
-        gone = "`{0}` - coalesce(lag(`{0}`, {1}) OVER ({2}), 0)"
-        rows = rows.selectExpr("*", *[
-            f"CASE WHEN {gone.format(f'_known_{y}', w, ordered)} = {w} THEN `_base_{y}` + ({gone.format(f'_sum_{y}', w, ordered)}) / {w} END AS `{n}`"
-            for n, (y, w) in long.items()])
+    for i, (n, (y, w)) in enumerate((n, yw) for n, yw in wanted.items() if n not in direct):
+        rows = trailing_stats(rows, order, y, w, f"_long{i}")
+        rows = rows.withColumn(n, F.when(F.col(f"_long{i}_n") == w, F.col(f"_long{i}_mean")))
     return rows.select(*[f"`{c}`" for c in (*names, *wanted)])
 
 
@@ -257,7 +284,7 @@ def backfill(df: DataFrame, columns: Sequence[str], order: Order) -> DataFrame:
              .rowsBetween(Window.unboundedPreceding, 0))
     filled = {c: F.coalesce(F.last(col_of(c), ignorenulls=True).over(ahead), F.col(f"_next_{i}")).alias(c)
               for i, c in enumerate(columns)}
-    joined = df.withColumn("_bucket", order.bucket()).join(table, [*order.keys, "_bucket"])
+    joined = join_on(df.withColumn("_bucket", order.bucket()), table, [*order.keys, "_bucket"])
     return joined.select(*[filled.get(c, col_of(c)) for c in df.columns])
 
 

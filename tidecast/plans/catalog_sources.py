@@ -163,7 +163,8 @@ def filter_by_equality(spark, folder):
 
 @query("time_range_filter", "SELECT event_id, ts, value FROM events WHERE ts > TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2025-01-01'")
 def time_range_filter(spark, folder):
-    return clean.time_range(table(spark, folder, "events"), "ts", "2024-01-05", "2030-01-01").select("event_id", "ts", "value")
+    return clean.time_range(table(spark, folder, "events"), "ts", "2024-01-05", "2030-01-01",
+                            (clean.EARLIEST, clean.LATEST)).select("event_id", "ts", "value")
 
 
 DIRTY_SQL = ("e AS (SELECT event_id, ts, CASE event_id % 10 WHEN 0 THEN 'T' WHEN 1 THEN '*' "

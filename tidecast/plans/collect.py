@@ -7,20 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidecast.operators.align import combine
-from tidecast.operators.clean import clamp_range
+from tidecast.operators.clean import EARLIEST, LATEST, clamp_range
 from tidecast.sources import readers
 from tidecast.sources.writers import write_dataset
 
 
 def collect_dataset(spark: SparkSession, target_path, price_path, weather_paths: Sequence[str], indicator_path, start, end,
-                    names: Mapping[str, str] = readers.INDICATOR_NAMES, out: str | None = None
+                    names: Mapping[str, str] = readers.INDICATOR_NAMES, out: str | None = None, bounds=(EARLIEST, LATEST)
                     ) -> tuple[DataFrame, DataFrame]:
-    """The hourly dataset of a period (clamped to the supported one) and the counts of values lost by casts.
+    """The hourly dataset of a period (brought inside ``bounds``) and the counts of values lost by casts.
 
     The period is narrowed to what the target covers before the weather is read; every source is joined
     to the rows of the target.
     """
-    low, high = clamp_range(start, end)
+    low, high = clamp_range(start, end, bounds)
     target = readers.read_hourly_target(spark, target_path).filter(
         F.col("time").between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
     first, last = target.agg(F.min("time")).scalar(), target.agg(F.max("time")).scalar()

@@ -16,7 +16,7 @@ from tidecast.operators.position import Order
 from tidecast.operators.shortterm import fit_short, forecast_short
 from tidecast.operators.windows import constant_baseline, tail
 
-PIPELINE = "Forecasting Pipeline"
+PIPELINE = "forecast"
 
 
 def _actuals(df: DataFrame, order: Order, target: str) -> DataFrame:
@@ -41,7 +41,7 @@ def long_forecast_on_holdout(train: DataFrame, holdout: DataFrame, order: Order,
 
 def long_report(results: DataFrame) -> DataFrame:
     return performance_report(results, "actual", {
-        PIPELINE: ("point_forecast", "variance_forecast"), "Baseline Yearly MA": ("baseline_point", None)}, PIPELINE)
+        PIPELINE: ("point_forecast", "variance_forecast"), "constant mean": ("baseline_point", None)}, PIPELINE)
 
 
 def short_forecast_on_holdout(train: DataFrame, holdout: DataFrame, order: Order, target: str, predictors: Sequence[str],
@@ -64,7 +64,7 @@ def short_forecast_on_holdout(train: DataFrame, holdout: DataFrame, order: Order
 def short_report(results: DataFrame) -> DataFrame:
     """Report whose weights are 1/variance, as for day-ahead forecasts."""
     models = {PIPELINE: ("pipeline_point_forecast", "pipeline_variance_forecast"),
-              "Baseline Moving Avg": ("average_point_forecast", None)}
+              "moving average": ("average_point_forecast", None)}
     if "external_point_forecast" in results.columns:
-        models["External Forecasts"] = ("external_point_forecast", None)
+        models["external"] = ("external_point_forecast", None)
     return performance_report(results, "actual", models, PIPELINE, power=1.0)

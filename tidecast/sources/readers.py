@@ -90,18 +90,21 @@ def read_indicators(spark: SparkSession, path: str | Sequence[str],
                     names: Mapping[str, str] = INDICATOR_NAMES, multi_line: bool = False) -> DataFrame:
     """Monthly indicators, one column per series, from ``Results.series[].data[]``.
 
-    One pivot stands for the outer joins of the series by month.
+    One pivot stands for the outer joins of the series by month.  Of several values of a series for a month the
+    first stands, in order of files and of places in them.
     """
     schema = ("Results struct<series: array<struct<seriesID: string, "
               "data: array<struct<year: string, period: string, value: string>>>>>")
     pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    series = pages.select(F.explode("Results.series").alias("s"))
-    rows = series.select(F.col("s.seriesID").alias("id"), F.explode("s.data").alias("d"))
+    series = pages.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                          F.monotonically_increasing_id().alias("line"), F.posexplode("Results.series").alias("i", "s"))
+    rows = series.select(F.struct("file", "block", "line", "i").alias("place"), F.col("s.seriesID").alias("id"), F.posexplode("s.data").alias("j", "d"))
     label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     named = rows.select(F.concat_ws("-", "d.year", F.regexp_replace("d.period", "M", "")).alias("month_key"),
-                        F.try_element_at(label, F.col("id")).alias("name"), F.col("d.value").alias("value"))
+                        F.try_element_at(label, F.col("id")).alias("name"), F.col("d.value").alias("value"),
+                        F.struct("place", "j").alias("place"))
     known = named.filter(F.col("name").isNotNull())
-    return known.groupBy("month_key").pivot("name", list(names.values())).agg(F.min("value"))
+    return known.groupBy("month_key").pivot("name", list(names.values())).agg(F.min_by("value", "place"))
 
 
 def read_external_forecast(spark: SparkSession, path: str | Sequence[str], name: str = EXTERNAL,

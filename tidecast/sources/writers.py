@@ -14,15 +14,14 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", time: str | No
                   mode: str = "error") -> None:
     """Write a table; parquet with a time column is partitioned by month so that ranges prune folders.
 
-    Rows are spread by month and an hourly salt beforehand, which keeps files few without sending a whole
-    month through one task.
+    Rows are brought together by month beforehand; adaptive execution sizes the tasks, so a month takes as many as
+    its bytes need.
     """
     if fmt == "csv":
         df.write.mode(mode).option("header", True).csv(path)
     elif time and time in df.columns:
         keyed = df.withColumn(MONTH_FOLDER, month_key(time))
-        salt = F.pmod(F.hash(time), F.lit(8))
-        keyed.repartition(F.col(MONTH_FOLDER), salt).write.mode(mode).partitionBy(MONTH_FOLDER).parquet(path)
+        keyed.hint("rebalance", MONTH_FOLDER).write.mode(mode).partitionBy(MONTH_FOLDER).parquet(path)
     else:
         df.write.mode(mode).format(fmt).save(path)
 
