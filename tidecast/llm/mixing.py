@@ -74,13 +74,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES)
 
 
 def taken_words(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target and ``taken``, the words the mix takes of it."""
+    """One row per row of ``docs``: doc_id, size, source_size, target, ``taken``, the words the mix takes of it, and
+    first_position, the words of the mix before its first copy (-1 if it is not taken).
+    """
     sizes = write_scratch(sized(docs), "sizes")
     targets = source_targets(sizes, weights, passes)
     given = mix(docs, weights, passes).groupBy("_row").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
     rows = sizes.join(targets, same_keys(sizes, targets, ["source"])).drop(targets["source"]).join(given, "_row", "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
-                       "first_position")
+                       F.coalesce("first_position", F.lit(-1).cast("long")).alias("first_position"))
 
 
 def _first_words(text: str, words: int) -> str:

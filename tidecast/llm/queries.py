@@ -75,4 +75,47 @@ def op10_quote_linking(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_license_scan, op3_url_filter, op4_order_minhash, op5_simhash_near_dedup, op6_mixing, op7_pii_surrogates, op8_top_k,
                                  op9_language_id, op10_quote_linking)}
-ORACLES: dict[str, str] = {}
+
+#: The rules as SQL rows.
+_RULES_SQL = ", ".join(str(rule) for rule in RULES)
+
+ORACLES: dict[str, str] = {
+    "op3_url_filter": rf"""WITH u AS (SELECT row_number() OVER () AS place, page_id,
+  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT place, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS cased FROM u),
+p AS (SELECT place, page_id, translate(cased, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(rest, length(cased) + 1), '^[^?#]*') AS path FROM h),
+r(rule_host, rule_path, verdict) AS (VALUES {_RULES_SQL}),
+fits AS (SELECT place, rule_host || rule_path AS rule, verdict, row_number() OVER (
+    PARTITION BY place ORDER BY length(rule_host) + length(rule_path) DESC, length(rule_host) DESC) AS n
+  FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN (SELECT * FROM fits WHERE n = 1) f USING (place)""",
+    "op6_mixing": rf"""WITH s AS (SELECT row_number() OVER () AS place, doc_id, source,
+  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY 1),
+w AS (SELECT *, {list(mixing.WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight,
+  {mixing.PASSES} * source_size AS cap, sum(source_size) OVER () AS budget FROM t),
+o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+  sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS others FROM w),
+f AS (SELECT *, cap * others <= weight * (budget - given) AS capped FROM o),
+g AS (SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE
+  (weight * (budget - coalesce(sum(cap) FILTER (capped) OVER (), 0)))::DOUBLE / (sum(weight) FILTER (NOT capped) OVER ())::DOUBLE END AS target FROM f),
+b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, place
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM s),
+c AS (SELECT place, b.source, size, target, copy, copy * source_size + before AS start
+  FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source, range({mixing.PASSES}) AS copies(copy)),
+d AS (SELECT place, source, copy, greatest(0, least(size, floor(target)::BIGINT - start)) AS words, (start + size)::DOUBLE / target AS finish FROM c),
+e AS (SELECT place, words, coalesce(sum(words) OVER (ORDER BY finish, source NULLS FIRST, place, copy
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS position FROM d WHERE words > 0),
+m AS (SELECT place, sum(words)::BIGINT AS taken, min(position) AS first_position FROM e GROUP BY 1)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, coalesce(first_position, -1) AS first_position
+FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source LEFT JOIN m USING (place)""",
+    "op8_top_k": """WITH v AS (SELECT row_number() OVER () AS place, vec_id,
+  [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.place, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.place <> c.place WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
