@@ -61,7 +61,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES)
     id are each a document; an empty table gives an empty mix.
     """
     sizes = write_scratch(sized(docs), "sizes")
-    targets = source_targets(sizes, weights, passes)
+    return _served(sizes, source_targets(sizes, weights, passes), passes)
+
+
+def _served(sizes: DataFrame, targets: DataFrame, passes: int) -> DataFrame:
     shuffled = sizes.withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     served = with_running_sum(shuffled, ["_key", "doc_id", "_row"], "size", ["source"])
     joined = served.join(targets, same_keys(served, targets, ["source"])).drop(targets["source"])
@@ -79,7 +82,7 @@ def taken_words(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int =
     """
     sizes = write_scratch(sized(docs), "sizes")
     targets = source_targets(sizes, weights, passes)
-    given = mix(docs, weights, passes).groupBy("_row").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
+    given = _served(sizes, targets, passes).groupBy("_row").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
     rows = sizes.join(targets, same_keys(sizes, targets, ["source"])).drop(targets["source"]).join(given, "_row", "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
                        F.coalesce("first_position", F.lit(-1).cast("long")).alias("first_position"))
