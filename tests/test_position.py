@@ -19,7 +19,7 @@ def two_series(n=900):
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 37])
-@pytest.mark.parametrize("bucket", [3600 * 5, 86_400 * 7])
+@pytest.mark.parametrize("bucket", [3600 * 5, 86_400 * 7, None])
 def test_position_matches_sorted_order(spark, partitions, bucket):
     pdf = two_series()
     df = frame(spark, pdf, partitions)
@@ -30,7 +30,7 @@ def test_position_matches_sorted_order(spark, partitions, bucket):
 
 
 @pytest.mark.parametrize("block", [7, 64, 10_000])
-@pytest.mark.parametrize("bucket", [3600, 86_400])
+@pytest.mark.parametrize("bucket", [3600, 86_400, None])
 def test_blocks_keep_every_row_once_and_whole_frames(spark, block, bucket):
     pdf = two_series()
     order = Order("time", ("k",), bucket_seconds=bucket)
@@ -47,6 +47,44 @@ def test_blocks_keep_every_row_once_and_whole_frames(spark, block, bucket):
     assert (out.n.to_numpy() == want.to_numpy()).all()
 
 
+@pytest.fixture
+def small_buckets(monkeypatch):
+    monkeypatch.setattr(position, "BUCKET_BITS", 5)
+
+
+def test_buckets_by_place(spark, small_buckets):
+    """Dense times, ties, null keys and null times: every row once, in order, in buckets of bounded size."""
+    n = 5000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, F.lit("a")).alias("k"), F.col("id").cast("double").alias("y"),
+        F.when(F.col("id") >= 10, F.timestamp_seconds(F.floor(F.col("id") / 4))).alias("time")).repartition(7)
+    order = Order("time", ("k",), ("y",))
+    sizes = position.bucketed(df, order).groupBy("k", "_bucket").count().toPandas()["count"]
+    assert sizes.sum() == n and sizes.max() <= 32
+    out = position.with_position(df, order, "pos", "n").toPandas().sort_values("y")
+    for _, g in out.groupby("k", dropna=False):
+        assert g.pos.tolist() == list(range(len(g))) and (g.n == len(g)).all()
+    assert len(out) == n
+    frames = position.framed(df, order, 3, 2, lambda rows, w, _: rows.withColumn("n", F.sum("y").over(w.rowsBetween(-3, 2))), 64)
+    frames = frames.toPandas().sort_values("y")
+    assert len(frames) == n
+    for _, g in frames.groupby("k", dropna=False):
+        y = np.concatenate([[0] * 3, g.y, [0] * 2])
+        assert g.n.tolist() == [y[i:i + 6].sum() for i in range(len(g))]
+    held = windows.split_holdout(df, order, 0.2).toPandas()
+    assert len(held) == n and held.is_holdout.sum() == sum(int(np.ceil(len(g) * 0.2)) for _, g in out.groupby("k", dropna=False))
+    nulls = df.withColumn("y", F.when(F.col("y") % 50 == 0, F.col("y"))).withColumn("t", F.col("time"))
+    assert windows.backfill(nulls, ["y"], Order("time", ("k",))).count() == n
+
+
+def test_one_dense_series_makes_bounded_blocks(spark):
+    n = 600_000
+    df = spark.range(n).select(F.timestamp_seconds("id").alias("time"), F.col("id").cast("double").alias("y"))
+    blocks, parts = position.halo_blocks(df, Order("time"), 10, 0)
+    sizes = blocks.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_home").cast("int")).alias("home")).toPandas()
+    assert sizes.home.sum() == n and sizes.n.max() <= position.BLOCK_ROWS + 3 * position.BUCKET_ROWS
+
+
 @pytest.mark.parametrize("fraction", [0.1, 0.37])
 def test_holdout_is_the_last_rows(spark, fraction):
     pdf = two_series(500)
@@ -123,11 +161,12 @@ def test_trailing_mean_small_case(spark):
     assert out.trailing_mean.tolist()[3:] == [3.5, 4.5]
 
 
-def test_backfill_crosses_buckets(spark):
+@pytest.mark.parametrize("bucket", [7 * 3600, None])
+def test_backfill_crosses_buckets(spark, bucket):
     pdf = two_series(400)
     pdf.loc[50:130, "y"] = np.nan
     pdf.loc[395:399, "y"] = np.nan
-    out = windows.backfill(frame(spark, pdf), ["y"], Order("time", ("k",), bucket_seconds=7 * 3600)).toPandas()
+    out = windows.backfill(frame(spark, pdf), ["y"], Order("time", ("k",), bucket_seconds=bucket)).toPandas()
     for name, g in pdf.groupby("k"):
         got = out[out.k == name].sort_values("time").y.to_numpy()
         np.testing.assert_array_equal(got, g.y.bfill().to_numpy())

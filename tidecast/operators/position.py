@@ -1,14 +1,15 @@
 """Order-dependent building blocks that never pull a whole series into one task.
 
-Rows of a series are counted per time bucket.  The counts form a small table whose running sum gives
-the position of the first row of every bucket, so that:
+Rows are sorted by series and time over all tasks and cut into buckets of at most ``BUCKET_ROWS`` rows, whatever
+their density; an order may ask for clock buckets instead, which need no sort.  The counts of the buckets form a
+small table whose running sum gives the position of the first row of every bucket, so that:
 
 * a row's position is its bucket's start plus its rank inside the bucket;
 * a cut at given positions only needs the rank of rows in the buckets the cut falls into;
 * a sliding frame is evaluated in blocks of about ``block_rows`` rows, where a bucket is also copied to
   the neighbouring blocks whose frames reach it.
 
-Times must be unique per series (or be made unique by ``ties``), so the width of a bucket bounds its rows.
+Null keys are a series like any other and null times come first.  Rows of equal time and ties are in any order.
 """
 
 from __future__ import annotations
@@ -26,12 +27,18 @@ from tidecast.session import write_scratch
 BLOCK_ROWS = 65_536
 RANK_ROWS = 1_000_000
 DAY = 86_400
+#: Buckets of a sorted table hold two to this power rows.
+BUCKET_BITS = 14
+BUCKET_ROWS = 1 << BUCKET_BITS
+#: Widths of clock buckets in seconds that are tried in turn.
+WIDTHS = (30 * DAY, DAY, 3_600, 60, 1)
 
 
 @dataclass(frozen=True)
 class Order:
     """How the rows of a table are ordered: by ``time`` (then ``ties``) within each value of ``keys``.
 
+    ``bucket_seconds`` asks for clock buckets of that width; by default rows are cut by their place in the order.
     ``layout`` may hold the bucket table of the rows, kept by ``with_layout`` so that several passes over
     the same rows count them once; further keys may repeat those rows afterwards.
     """
@@ -39,13 +46,14 @@ class Order:
     time: str
     keys: tuple[str, ...] = ()
     ties: tuple[str, ...] = ()
-    bucket_seconds: int = 30 * DAY
+    bucket_seconds: int | None = None
     layout: DataFrame | None = None
     layout_keys: tuple[str, ...] = ()
     longest: int | None = None
     series: int | None = None
 
     def bucket(self) -> Column:
+        """The clock bucket of a row."""
         width = self.bucket_seconds * MICROS_PER_SECOND
         return F.floor(micros(self.time) / F.lit(width)).cast("long")
 
@@ -58,7 +66,7 @@ class Order:
 
 def fit_bucket(df: DataFrame, order: Order, rows: int = BLOCK_ROWS) -> Order:
     """The widest bucket whose fullest instance holds at most ``rows`` rows, found by counting."""
-    for seconds in (30 * DAY, DAY, 3_600, 60, 1):
+    for seconds in WIDTHS:
         candidate = replace(order, bucket_seconds=seconds)
         largest = (df.groupBy(*order.key_columns(), candidate.bucket().alias("_bucket")).count()
                    .agg(F.max("count").alias("n")).first()["n"])
@@ -67,12 +75,25 @@ def fit_bucket(df: DataFrame, order: Order, rows: int = BLOCK_ROWS) -> Order:
     return candidate
 
 
+def bucketed(df: DataFrame, order: Order) -> DataFrame:
+    """Add ``_bucket``, a number that grows with the order of the rows of a series.
+
+    Unless the order asks for clock buckets, the rows are cut into ranges of (series, time, ties), sorted there and
+    numbered; the result is written, since ranges are found by sampling and must be the same for all readers.
+    """
+    if order.bucket_seconds is not None:
+        return df.withColumn("_bucket", order.bucket())
+    place = [*order.key_columns(), *order.columns()]
+    ranged = df.repartitionByRange(*place).sortWithinPartitions(*place)
+    return write_scratch(ranged.withColumn("_bucket", F.shiftright(F.monotonically_increasing_id(), BUCKET_BITS)), "ranged")
+
+
 def bucket_table(df: DataFrame, order: Order) -> DataFrame:
-    """One row per series and bucket: rows in it, first position, position after the last, series total, and
+    """One row per series and ``_bucket``: rows in it, first position, position after the last, series total, and
     the first time and the length of the series in days.
     """
     days = epoch_days(order.time)
-    counted = (df.groupBy(*order.key_columns(), order.bucket().alias("_bucket"))
+    counted = (df.groupBy(*order.key_columns(), "_bucket")
                .agg(F.count(F.lit(1)).alias("_n"), F.min(days).alias("_low"), F.max(days).alias("_high")))
     series = Window.partitionBy(*order.keys)
     running = series.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -84,13 +105,18 @@ def bucket_table(df: DataFrame, order: Order) -> DataFrame:
 
 
 def with_layout(df: DataFrame, order: Order) -> Order:
-    """Count the buckets once and keep the table, for operators that pass over the same rows repeatedly.
+    """Count clock buckets once and keep the table, for operators that pass over the same rows repeatedly.
 
+    Unless the order says how wide they are, buckets are narrowed until ``BLOCK_ROWS`` rows fill none, or one second.
     ``longest`` is then the number of rows of the longest series and ``series`` the number of series.
     """
-    table = write_scratch(bucket_table(df, without_layout(order)), "layout")
-    known = table.filter("_start = 0").agg(F.max("_total"), F.count(F.lit(1))).first()
-    return replace(order, layout=table, layout_keys=order.keys, longest=known[0] or 0, series=known[1])
+    for seconds in WIDTHS if order.bucket_seconds is None else (order.bucket_seconds,):
+        clock = replace(without_layout(order), bucket_seconds=seconds)
+        table = write_scratch(bucket_table(bucketed(df, clock), clock), "layout")
+        longest, series, fullest = table.agg(F.max("_total"), F.count(F.when(F.col("_start") == 0, 1)), F.max("_n")).first()
+        if (fullest or 0) <= BLOCK_ROWS:
+            break
+    return replace(clock, layout=table, layout_keys=order.keys, longest=longest or 0, series=series)
 
 
 def without_layout(order: Order) -> Order:
@@ -99,9 +125,10 @@ def without_layout(order: Order) -> Order:
 
 def with_position(df: DataFrame, order: Order, name: str = "pos", total: str | None = None) -> DataFrame:
     """Add the 0-based position of every row in its series, and optionally the number of rows."""
-    starts = bucket_table(df, order).select(*order.keys, "_bucket", "_start", "_total")
+    placed = bucketed(df, order)
+    starts = bucket_table(placed, order).select(*order.keys, "_bucket", "_start", "_total")
     inside = Window.partitionBy(*order.keys, "_bucket").orderBy(*order.columns())
-    out = (join_on(df.withColumn("_bucket", order.bucket()), starts, [*order.keys, "_bucket"])
+    out = (join_on(placed, starts, [*order.keys, "_bucket"])
            .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1))
     if total:
         out = out.withColumn(total, F.col("_total"))
@@ -116,13 +143,14 @@ def with_segment(df: DataFrame, order: Order, cuts: Callable[[Column], Sequence[
     ``cuts`` maps the length of a series to increasing positions.  Buckets without a cut inside get
     their number from the small table; only rows of the other buckets are ranked.
     """
-    table = bucket_table(df, order)
+    placed = bucketed(df, order)
+    table = bucket_table(placed, order)
     marks = F.array(*[c.cast("long") for c in cuts(F.col("_total"))])
     table = table.withColumn("_cuts", marks).select(
         *order.keys, "_bucket", "_start", "_cuts",
         F.size(F.filter("_cuts", lambda c: c <= F.col("_start"))).alias("_low"),
         F.size(F.filter("_cuts", lambda c: c < F.col("_end"))).alias("_high"))
-    tagged = join_on(df.withColumn("_bucket", order.bucket()), table, [*order.keys, "_bucket"])
+    tagged = join_on(placed, table, [*order.keys, "_bucket"])
     whole = tagged.filter(F.col("_low") == F.col("_high")).withColumn(name, F.col("_low"))
     inside = Window.partitionBy(*order.keys, "_bucket").orderBy(*order.columns())
     split = (tagged.filter(F.col("_low") < F.col("_high"))
@@ -141,7 +169,8 @@ def halo_blocks(df: DataFrame, order: Order, before: int, after: int, block_rows
     also get the first time ``_t0`` and the length ``_span`` of their series in days.
     """
     size = block_rows or max(BLOCK_ROWS, 4 * (before + after))
-    table, keys = (bucket_table(df, order), order.keys) if order.layout is None else (order.layout, order.layout_keys)
+    placed = bucketed(df, order)
+    table, keys = (bucket_table(placed, order), order.keys) if order.layout is None else (order.layout, order.layout_keys)
     own = F.floor(F.col("_start") / size).cast("long")
     low, high = own, own
     if after:
@@ -153,10 +182,10 @@ def halo_blocks(df: DataFrame, order: Order, before: int, after: int, block_rows
     kept = [*[F.col(f"`{c}`") for c in df.columns], *extra]
     if not (before or after):
         table = table.select(*keys, "_bucket", own.alias("_block"), *extra)
-        out = join_on(df.withColumn("_bucket", order.bucket()), table, [*keys, "_bucket"])
+        out = join_on(placed, table, [*keys, "_bucket"])
         return out.select(*kept, "_block", F.lit(True).alias("_home")), [*order.keys, "_block"]
     table = table.select(*keys, "_bucket", own.alias("_own"), low.alias("_from"), high.alias("_to"), *extra)
-    out = (join_on(df.withColumn("_bucket", order.bucket()), table, [*keys, "_bucket"])
+    out = (join_on(placed, table, [*keys, "_bucket"])
            .withColumn("_block", F.explode(F.sequence(F.least("_from", "_own"), F.greatest("_to", "_own"))))
            .withColumn("_home", F.col("_block") == F.col("_own")))
     return out.select(*kept, "_block", "_home"), [*order.keys, "_block"]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach, join_on
-from tidecast.operators.position import Order, framed, with_segment
+from tidecast.operators.position import Order, bucketed, framed, with_segment
 
 SHORT_FRAME = 256
 
@@ -274,7 +274,8 @@ def backfill(df: DataFrame, columns: Sequence[str], order: Order) -> DataFrame:
     Inside a bucket a window finds it; across buckets the first known value of each later bucket does.
     """
     time_key = F.struct(*order.columns())
-    table = df.groupBy(*order.key_columns(), order.bucket().alias("_bucket")).agg(
+    placed = bucketed(df, order)
+    table = placed.groupBy(*order.key_columns(), "_bucket").agg(
         *[F.min_by(col_of(c), F.when(col_of(c).isNotNull(), time_key)).alias(f"_first_{i}")
           for i, c in enumerate(columns)])
     later = Window.partitionBy(*order.keys).orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
@@ -284,7 +285,7 @@ def backfill(df: DataFrame, columns: Sequence[str], order: Order) -> DataFrame:
              .rowsBetween(Window.unboundedPreceding, 0))
     filled = {c: F.coalesce(F.last(col_of(c), ignorenulls=True).over(ahead), F.col(f"_next_{i}")).alias(c)
               for i, c in enumerate(columns)}
-    joined = join_on(df.withColumn("_bucket", order.bucket()), table, [*order.keys, "_bucket"])
+    joined = join_on(placed, table, [*order.keys, "_bucket"])
     return joined.select(*[filled.get(c, col_of(c)) for c in df.columns])
 
 
