@@ -25,7 +25,7 @@ STEP_TOKENS = 1 << 16
 #: Tasks whose rests are packed together.
 MEET = 64
 #: Characters that are encoded together, and words whose ids a worker remembers; others are encoded again.
-CHARS = 1 << 22
+CHARS = 1 << 21
 REMEMBERED = 1 << 20
 
 FIELDS = [("row_id", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
