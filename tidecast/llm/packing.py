@@ -26,7 +26,7 @@ STEP_TOKENS = 1 << 16
 MEET = 64
 #: Characters that are encoded together, and words whose ids a worker remembers; others are encoded again.
 CHARS = 1 << 21
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
 FIELDS = [("row_id", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
           ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
