@@ -28,8 +28,18 @@ def align(left: DataFrame, right: DataFrame, on: Sequence[str], check: bool = Tr
 
 def attach_monthly(hourly: DataFrame, monthly: DataFrame, time: str, month: str = "month_key",
                    how: str = "full_outer") -> DataFrame:
-    """Join monthly values on the month of each row; months without rows are kept by the outer form."""
-    return hourly.withColumn(month, month_key(time)).join(monthly, [month], how)
+    """Join monthly values on the month of each row; months without rows are kept by the outer form.
+
+    The outer form is a left join, whose monthly side may be broadcast when small and whose hot months may be split,
+    and the months that no row has.
+    """
+    rows = hourly.withColumn(month, month_key(time))
+    if how != "full_outer":
+        return rows.join(monthly, [month], how)
+    rest = monthly.join(rows.select(month).distinct(), [month], "left_anti")
+    unknown = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != month]
+    rest = rest.select(month, *unknown, *[col_of(c) for c in monthly.columns if c != month])
+    return rows.join(monthly, [month], "left").union(rest)
 
 
 def combine(target: DataFrame, weather: DataFrame, price: DataFrame, indicators: DataFrame,

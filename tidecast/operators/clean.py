@@ -149,16 +149,17 @@ def inject_anomalies(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
                      deviations: float = 1000.0) -> DataFrame:
     """Spoil cells for tests: a ``share`` of each column becomes mean ± deviations·std, another share null.
 
-    A hash of the row's ids, the column and the seed picks cells and signs, so the choice does not
-    depend on how the rows are spread over tasks.
+    The MD5 of the seed, the column and the row's ids picks cells (by its first eight digits) and signs (by the
+    ninth), so the choice does not depend on how the rows are spread over tasks.
     """
     moments = df.agg(*[F.struct(F.avg(col_of(c)).alias("m"), F.stddev_samp(col_of(c)).alias("s")).alias(c)
                        for c in columns])
     stats = df.withColumn("_stats", moments.select(F.struct("*")).scalar())
     out = {}
     for c in columns:
-        draw = F.pmod(F.xxhash64(F.lit(seed), F.lit(c), *[col_of(i) for i in ids]), F.lit(1_000_000)) / 1e6
-        sign = F.when(F.xxhash64(F.lit(c), F.lit(seed), *[col_of(i) for i in ids]) >= 0, 1.0).otherwise(-1.0)
+        digits = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(c), *[col_of(i).cast("string") for i in ids]))
+        draw = F.conv(F.substring(digits, 1, 8), 16, 10).cast("long") % 1_000_000 / 1e6
+        sign = F.when(F.substring(digits, 9, 1) < "8", 1.0).otherwise(-1.0)
         m = F.col("_stats").getField(c)
         extreme = m.getField("m") + sign * deviations * m.getField("s")
         out[c] = (F.when(draw < share, extreme).when(draw < 2 * share, F.lit(None)).otherwise(col_of(c)))

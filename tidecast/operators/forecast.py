@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,11 +48,25 @@ class LongModel:
         return {k: v for k, v in named.items() if v is not None}
 
     def save(self, path: str) -> None:
-        save_models(self.tables(), path)
+        """Write the tables and, beside them, the settings that ``load_long`` needs."""
+        order = {"time": self.order.time, "keys": self.order.keys, "ties": self.order.ties, "bucket_seconds": self.order.bucket_seconds}
+        settings = json.dumps({"order": order, "target": self.target, "slope": self.slope, "tables": list(self.tables()),
+                               "penalties": [asdict(p) for p in self.penalties]})
+        stored = self.point.sparkSession.createDataFrame([(settings,)], "settings string")
+        save_models({**self.tables(), "settings": stored}, path)
 
     def load(self, spark: SparkSession, path: str) -> "LongModel":
-        """The same model with its tables read back from a folder."""
-        return replace(self, **load_models(spark, path, self.tables()))
+        """The model stored in a folder, see ``load_long``."""
+        return load_long(spark, path)
+
+
+def load_long(spark: SparkSession, path: str) -> LongModel:
+    """A stored model, from its folder alone."""
+    known = json.loads(load_models(spark, path, ["settings"])["settings"].first()["settings"])
+    tables = {"error_var": None, "components": None, **load_models(spark, path, known["tables"])}
+    order = {k: tuple(v) if isinstance(v, list) else v for k, v in known["order"].items()}
+    return LongModel(Order(**order), known["target"], slope=known["slope"],
+                     penalties=tuple(Penalties(**p) for p in known["penalties"]), **tables)
 
 
 def fit_error_model(e2: DataFrame, order: Order, use_var: bool = True, p: int = 1

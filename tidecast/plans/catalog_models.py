@@ -38,7 +38,60 @@ def stored(df: DataFrame) -> DataFrame:
 @query("decomposition_fit")
 def decomposition_fit(spark, folder):
     models = decompose.fit_decomposition(keyed(spark, folder), TYPED, ["y"])
-    return models.select("event_type", "variable", "n", "t0", "span", "noise", F.size("beta").alias("terms"))
+    return models.select("event_type", "variable", "n", "t0", "span", "noise", "beta")
+
+
+#: Penalties so strong that only level and slope are left, which SQL's regression functions give as well.
+STRAIGHT = Penalties(1e-9, 1e-9)
+LINE_SQL = f"""{KEYED_SQL}, hg AS (SELECT event_type, time, CASE WHEN hour(time) % 5 <> 0 THEN y END AS y FROM hk),
+ends AS (SELECT event_type, min(epoch(time)) AS t0, max(epoch(time)) - min(epoch(time)) AS span FROM hk GROUP BY 1),
+hx AS (SELECT event_type, time, y, (epoch(time) - t0) / span AS x FROM hg JOIN ends USING (event_type)),
+line AS (SELECT event_type, count(y) AS n, regr_intercept(y, x) AS a, regr_slope(y, x) AS b,
+  (regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x)) / count(y) AS noise FROM hx GROUP BY 1)"""
+
+
+def gapped(spark, folder) -> DataFrame:
+    """The hourly series per event type, unknown in every fifth hour of a day."""
+    return keyed(spark, folder).withColumn("y", F.when(F.hour("time") % 5 != 0, F.col("y")))
+
+
+def straight_lines(df: DataFrame) -> DataFrame:
+    return decompose.fit_decomposition(df, TYPED, ["y"], [STRAIGHT])
+
+
+@query("straight_line_fit", f"WITH {LINE_SQL} SELECT event_type, n, round(a, 4) AS level, round(b, 4) AS slope, round(noise, 2) AS noise FROM line")
+def straight_line_fit(spark, folder):
+    models = straight_lines(gapped(spark, folder))
+    return models.select("event_type", "n", F.round(F.col("beta")[0], 4).alias("level"), F.round(F.col("beta")[1], 4).alias("slope"),
+                         F.round("noise", 2).alias("noise"))
+
+
+@query("straight_line_prediction", f"WITH {LINE_SQL} SELECT event_type, time + INTERVAL 720 HOUR AS time, "
+       "round(a + b * (epoch(time) + 2592000 - t0) / span, 4) AS yhat FROM hk JOIN line USING (event_type) JOIN ends USING (event_type)")
+def straight_line_prediction(spark, folder):
+    df = gapped(spark, folder)
+    later = df.select("event_type", F.timestamp_add("HOUR", F.lit(720), F.col("time")).alias("time"))
+    out = decompose.predict_decomposition(later, straight_lines(df), "time", ["event_type"])
+    return rounded(out.select("event_type", "time", "yhat"), 4)
+
+
+@query("straight_line_imputed", f"WITH {LINE_SQL} SELECT event_type, time, round(coalesce(y, a + b * x), 4) AS y FROM hx JOIN line USING (event_type)")
+def straight_line_imputed(spark, folder):
+    df = gapped(spark, folder)
+    return rounded(decompose.impute(df, straight_lines(df), ["y"], TYPED), 4)
+
+
+@query("straight_line_residuals", f"WITH {LINE_SQL} SELECT event_type, time, round(y - (a + b * x), 4) AS y FROM hx JOIN line USING (event_type)")
+def straight_line_residuals(spark, folder):
+    df = gapped(spark, folder)
+    return rounded(decompose.residuals(df, straight_lines(df), ["y"], TYPED), 4)
+
+
+@query("straight_line_table", f"WITH {LINE_SQL} SELECT event_type, time, y, round(a + b * x, 4) AS trend, round(y - (a + b * x), 4) AS residual "
+       "FROM hx JOIN line USING (event_type)")
+def straight_line_table(spark, folder):
+    df = gapped(spark, folder)
+    return rounded(decompose.decompose(df, straight_lines(df), "y", TYPED).select("event_type", "time", "y", "trend", "residual"), 4)
 
 
 @query("decomposition_prediction")
@@ -124,7 +177,7 @@ def stored_models(spark, folder):
     model = forecast.fit_long(stored(daily(spark, folder)), DAYS, "y", penalties=[LOOSE])
     path = scratch_path(spark, "models")
     model.save(path)
-    return forecast.forecast_long(model.load(spark, path), 365, DAY_SECONDS)
+    return forecast.forecast_long(forecast.load_long(spark, path), 365, DAY_SECONDS)
 
 
 @query("short_forecast")

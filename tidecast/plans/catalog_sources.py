@@ -243,9 +243,16 @@ def validated_dataset(spark, folder):
     return clean.validate_dataset(wide(spark, folder), spec)
 
 
-@query("injected_anomalies")
+def _injected_sql(c: str) -> str:
+    digits = f"md5('5|{c}|' || time::VARCHAR)"
+    draw = f"(('0x' || substr({digits}, 1, 8))::BIGINT % 1000000) / 1000000.0"
+    extreme = f"avg({c}) OVER () + CASE WHEN substr({digits}, 9, 1) < '8' THEN 1000.0 ELSE -1000.0 END * stddev_samp({c}) OVER ()"
+    return f"CASE WHEN {draw} < 0.02 THEN round({extreme}, 4) WHEN {draw} >= 0.04 THEN {c} END AS {c}"
+
+
+@query("injected_anomalies", f"WITH {WIDE_SQL} SELECT time, {', '.join(map(_injected_sql, TYPES))} FROM hw")
 def injected_anomalies(spark, folder):
-    return clean.inject_anomalies(wide(spark, folder), ["time"], TYPES, 0.02, 5)
+    return rounded(clean.inject_anomalies(wide(spark, folder), ["time"], TYPES, 0.02, 5), 4)
 
 
 @query("aligned_sources", f"""WITH {KEYED_SQL} SELECT coalesce(a.time, b.time) AS time, a.y AS demand, b.y AS weather
