@@ -1,0 +1,69 @@
+"""Near duplicates of the pipeline's stage, against a brute-force Jaccard similarity of five-word shingles."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from helpers import documents, words
+
+import corpus_pipeline
+from tidecast.llm import simhash
+from tidecast.llm.simhash import fingerprint
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_set(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def plain_groups(texts):
+    """The group of every text: the smallest place reachable over pairs at 0.8 or more; empty sets are one group."""
+    sets, label = [plain_set(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def edited(text, seed, n):
+    """``text`` with a run of n words changed."""
+    w, at = text.split(" "), random.Random(seed).randrange(text.count(" ") - n)
+    return " ".join(w[:at] + [f"new{seed}{i}" for i in range(n)] + w[at + n:])
+
+
+def some_texts():
+    out = []
+    for i, (size, run) in enumerate([(60, 1), (60, 2), (200, 5), (200, 12), (200, 15), (200, 17), (200, 20), (200, 40), (2500, 240)]):
+        first = words(i, size)
+        out += [first, edited(first, i, run), edited(edited(first, i, run), 50 + i, run), first.upper()]
+    crowd = words(99, 150)
+    out += [edited(crowd, 100 + i, 6) for i in range(40)] + [edited(crowd, 200 + i, 12) for i in range(20)]
+    return out + ["one two three", "One  TWO three", "one two", "", None]
+
+
+def test_near_duplicates_by_similarity(spark, tmp_path):
+    texts = some_texts()
+    order = random.Random(5).sample(range(len(texts)), len(texts))
+    texts = [texts[i] for i in order]
+    label = plain_groups(texts)
+    far = [i for i, x in enumerate(label) if x != i and all((fingerprint(texts[i]) ^ fingerprint(t)).bit_count() > simhash.DISTANCE
+                                                          for t in texts[:i])]
+    assert len(far) > 10  # groups that fingerprints within three bits leave apart
+    docs = documents(spark, tmp_path, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    got = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert Counter(r.doc_id for r in got.collect()) == Counter(set(label))
+
+
+def test_near_duplicates_of_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None)
+    label = plain_groups([t for _, t in rows])
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect() if r.doc_id is not None}
+    assert got == {rows[i][0] for i in set(label)}

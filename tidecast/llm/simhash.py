@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tidecast.llm import similar
 from tidecast.llm.common import components
 from tidecast.session import write_scratch
 
@@ -171,7 +172,18 @@ def near_duplicates(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The rows of ``docs`` but for those whose component has a smaller doc_id; rows without doc_id stay."""
-    go = near_duplicates(docs, chunk).filter("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but for those whose group of similar texts has a smaller doc_id; rows without doc_id stay.
+
+    Texts are similar if their sets of five-word shingles have a Jaccard similarity of 0.8 or more, which is looked up
+    in ``similar`` and does not use the fingerprints; null and empty texts are one group.
+    """
+    drawn = write_scratch(similar.sketches(docs), "sketches")
+    classes = drawn.groupBy("same").agg(F.min("_row").alias("node"), F.min("doc_id").alias("_id"), F.first("bands").alias("bands"))
+    classes = write_scratch(classes, "classes")
+    roots = similar.similar_roots(classes.select("node", "bands"), docs)
+    grouped = classes.join(roots, "node", "left").select("same", "_id", F.coalesce("root", "node").alias("_root"))
+    lowest = grouped.groupBy("_root").agg(F.min("_id").alias("_lowest"))
+    grouped = grouped.join(lowest, "_root").select(F.col("same").alias("_same"), "_lowest")
+    go = drawn.join(grouped, drawn["same"] == grouped["_same"]).filter("_lowest < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(go, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
