@@ -376,6 +376,25 @@ def test_surrogates(spark, tmp_path, empty):
     assert surrogates.replace_entities(empty, "key").count() == 0
 
 
+def test_surrogates_of_capitals_and_bank_codes(spark, tmp_path):
+    key = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    ibans = ["GB29 NWBK 6016 1331 9268 19", "NL91 ABNA 0417 1643 00", "IE29 AIBK 9311 5212 3456 78", "MT84 MALT 0110 0012 345M TLCA ST00 1S",
+             "GB29NWBK60161331926819", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606", "QQ12 ABCD 1234 5678 9012"]
+    texts = [f'token = "{key}"', f'TOKEN = "{key.upper()}"', f'token = "{key[:20]}{key[20:].upper()}"', "ARTICLE AB12 THAT HAVE FOUR LETTERS IN CAPITALS",
+             "BE68 5390 0754 7034 THIS WORD STAYS", *[f"IBAN {x}, TO BE PAID" for x in ibans], "1234567890" * 4]
+    docs = documents(spark, tmp_path, [(i, t, None, None) for i, t in enumerate(texts)])
+    new = {r.doc_id: r.text for r in surrogates.replace_entities(docs, "key").collect()}
+    lower, upper, mixed = (re.fullmatch(r'(?:token|TOKEN) = "([0-9A-Fa-f]{40})"', new[i])[1] for i in range(3))
+    assert lower != key and lower == lower.lower() == upper.lower() == mixed.lower() and upper == upper.upper()
+    assert new[3] == texts[3] and re.fullmatch(r"BE\d\d \d{4} \d{4} \d{4} THIS WORD STAYS", new[4]) and new[4] != texts[4]
+    for i, x in enumerate(ibans, 5):
+        got = re.fullmatch("IBAN (.*), TO BE PAID", new[i])[1]
+        kinds = lambda t: re.sub("[A-Z]", "A", re.sub("[0-9]", "0", t))
+        assert got != x and got[:2] == x[:2] and kinds(got) == kinds(x), (x, got)
+    assert new[9].split()[1].rstrip(",") == "".join(new[5].split()[1:7]).rstrip(",")
+    assert re.fullmatch("[0-9a-f]{40}", new[14]) and new[14] != texts[14]
+
+
 def test_surrogates_stay_distinct(spark, tmp_path):
     """A format with few forms: 900 of 1,000,000 would meet by chance, and none may be an original."""
     entities = stored(spark, tmp_path, [("id", f"{i:03d}") for i in range(0, 900, 2)] + [("surname", f"n{i}") for i in range(700)], "kind string, entity string")

@@ -4,6 +4,7 @@ named.  Built-in functions only.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -14,16 +15,42 @@ from tidecast.session import write_scratch
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 MALE, FEMALE = r"Mr|Herr|Monsieur|Señor|Sr|господин|г-н", r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа|г-жа"
 NAME = r"\p{Lu}[\p{L}'’-]*+"
+#: What follows the check digits of an IBAN, by country: digits (n), capitals (a) or either (c).
+ACCOUNTS = {
+    "AD": "n8c12", "AE": "n19", "AL": "n8c16", "AT": "n16", "AZ": "a4c20", "BA": "n16", "BE": "n12", "BG": "a4n6c8", "BH": "a4c14", "BR": "n23a1c1",
+    "BY": "c4n4c16", "CH": "n5c12", "CR": "n18", "CY": "n8c16", "CZ": "n20", "DE": "n18", "DJ": "n23", "DK": "n14", "DO": "c4n20", "EE": "n16",
+    "EG": "n25", "ES": "n20", "FI": "n14", "FK": "a2n12", "FO": "n14", "FR": "n10c11n2", "GB": "a4n14", "GE": "a2n16", "GI": "a4c15", "GL": "n14",
+    "GR": "n7c16", "GT": "c24", "HN": "a4n20", "HR": "n17", "HU": "n24", "IE": "a4n14", "IL": "n19", "IQ": "a4n15", "IS": "n22", "IT": "a1n10c12",
+    "JO": "a4n4c18", "KW": "a4c22", "KZ": "n3c13", "LB": "n4c20", "LC": "a4c24", "LI": "n5c12", "LT": "n16", "LU": "n3c13", "LV": "a4c13", "LY": "n21",
+    "MC": "n10c11n2", "MD": "c20", "ME": "n18", "MK": "n3c10n2", "MN": "n16", "MR": "n23", "MT": "a4n5c18", "MU": "a4n19a3", "NI": "a4n20",
+    "NL": "a4n10", "NO": "n11", "OM": "n3c16", "PK": "a4c16", "PL": "n24", "PS": "a4c21", "PT": "n21", "QA": "a4c21", "RO": "a4c16", "RS": "n18",
+    "RU": "n14c15", "SA": "n2c18", "SC": "a4n20a3", "SD": "n14", "SE": "n20", "SI": "n15", "SK": "n20", "SM": "a1n10c12", "SO": "n19", "ST": "n21",
+    "SV": "a4n20", "TL": "n19", "TN": "n20", "TR": "n6c16", "UA": "n6c19", "VA": "n18", "VG": "a4n16", "XK": "n16", "YE": "a4n4c18",
+}
+
+
+def _account(form: str) -> str:
+    """The pattern of what follows the check digits, with a blank or none before every fourth character."""
+    chars = "".join(kind * int(count) for kind, count in re.findall(r"([nac])(\d+)", form))
+    fours = [re.sub(r"(.)\1*", lambda m: {"n": r"\d", "a": "[A-Z]", "c": "[A-Z0-9]"}[m[1]] + f"{{{len(m[0])}}}", chars[i:i + 4])
+             for i in range(0, len(chars), 4)]
+    return "".join(" ?" + four for four in fours)
+
+
+_FORMS = {form: "|".join(c for c in ACCOUNTS if ACCOUNTS[c] == form) for form in dict.fromkeys(ACCOUNTS.values())}
+#: IBANs of the length of their country; of others, groups that have a digit each, but for a bank code at first.
+IBAN = (r"(?<![A-Z0-9])(?=[A-Z]{2}\d{2})(?:" + "|".join(rf"(?:{countries})\d{{2}}{_account(form)}(?![A-Z0-9])" for form, countries in _FORMS.items())
+        + r"|[A-Z]{2}\d{2}(?: ?\d{4}| ?[A-Z0-9]{4}(?= ?[A-Z]{0,3}\d))(?: ?(?=[A-Z]{0,3}\d)[A-Z0-9]{4}){2,6}(?: ?(?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?(?![A-Z0-9]))")
 #: Kinds of entities, tried in this order at every place of a text.  A run is only entered at its start, and what
 #: repeats is possessive, so a long run costs its length once.
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}+(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}+(?![0-9A-Za-z])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
     "card": r"(?<!\d)(?:\d{4}(?:[ -]?\d{4}){3}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)",
     "id": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?<![\d+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
-    "iban": r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?(?![A-Z0-9])",
+    "iban": IBAN,
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|Dr|Prof)\.? {NAME}(?: {NAME}){{0,2}}",
 }
 EVERY = "|".join(KINDS.values())
@@ -79,7 +106,7 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     script = F.when(entity.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(entity.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
     out = (F.when(kind == "email", email).when(kind == "secret", F.substring(stream, F.lit(1), F.length(entity)))
            .when(kind == "ip", octets).when(kind.isin("card", "phone"), _alike(entity, stream, kept=1))
-           .when(kind == "id", _alike(entity, stream)).when(kind == "iban", _alike(entity, stream, kept=2)))
+           .when(kind == "id", _alike(entity, stream)).when(kind == "iban", F.upper(_alike(entity, stream, kept=2))))
     for name in SYLLABLES:  # a later attempt takes longer names, so a free one is always found
         ends = dict(zip(("given m", "given f", "given n"), ENDINGS[name]))
         for what, ending in [*ends.items(), ("surname", "")]:
@@ -122,7 +149,7 @@ def mentions(rows: DataFrame) -> DataFrame:
     names = F.split(F.regexp_replace("mention", TITLE, ""), " ")
     people = F.transform(names, lambda n, i: F.struct(F.when(i == F.size(names) - 1, "surname").otherwise(gender).alias("kind"), F.lower(n).alias("entity")))
     digits = F.regexp_replace("mention", r"[^\p{L}0-9]", "")
-    canonical = F.when(F.col("kind") == "email", F.lower("mention")).when(F.col("kind").isin("secret", "ip", "id"), F.col("mention")).otherwise(digits)
+    canonical = F.when(F.col("kind").isin("email", "secret"), F.lower("mention")).when(F.col("kind").isin("ip", "id"), F.col("mention")).otherwise(digits)
     one = F.array(F.struct(F.col("kind").alias("kind"), canonical.alias("entity")))
     return found.withColumn("atoms", F.when(F.col("kind") == "person", people).otherwise(one))
 
@@ -132,7 +159,10 @@ def _formatted(mention: Column, kind: Column, given: Column) -> Column:
     chars = F.split(mention, "(?<=.)(?=.)")
     before = F.transform(chars, lambda c, i: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i), r"[^\p{L}0-9]", "")))
     filled = F.array_join(F.zip_with(chars, before, lambda c, n: F.when(c.rlike(r"[\p{L}0-9]"), F.substring(given, n + 1, F.lit(1))).otherwise(c)), "")
-    return F.when(kind.isin("card", "phone", "iban"), filled).when((kind == "email") & (mention == F.upper(mention)), F.upper(given)).otherwise(given)
+    capitals = (mention == F.upper(mention)) & (mention != F.lower(mention))
+    cased = F.array_join(F.zip_with(chars, F.split(given, "(?<=.)(?=.)"), lambda c, g: F.when(c.rlike("[A-Z]"), F.upper(g)).otherwise(g)), "")
+    return (F.when(kind.isin("card", "phone", "iban"), filled).when(kind.isin("email", "secret") & capitals, F.upper(given))
+            .when(kind == "secret", cased).otherwise(given))
 
 
 def replacements(found: DataFrame, assigned: DataFrame) -> DataFrame:
