@@ -531,6 +531,21 @@ def test_reply_order(spark, tmp_path):
     assert quotes.reply_ordered(table.limit(0)).count() == 0
 
 
+def test_several_sources_at_one_level(spark, tmp_path):
+    rows = [(1, 0, "user", "Shall we meet?\n\nI suggest Monday at noon."), (1, 1, "user", "Who brings the cake?"), (1, 2, "user", "Where is it?\nAnd when?"),
+            (1, 3, "user", "> I suggest Monday at noon.\nFine.\n> Who brings the cake?\nI do.\n> And when?\nNo idea"),
+            (1, 4, "user", "> Who brings the cake?\nNot me\n> Who brings the cake?\nas I said\n> > Where is it?\n> Not me\n>> Shall we meet?\n?"),
+            (2, 0, "user", "first"), (2, 1, "user", "second"), (2, 2, "user", "> first\na"), (2, 2, "user", "> second\nb")]
+    got = quotes.reply_ordered(stored(spark, tmp_path, rows, "conv_id long, turn long, role string, text string")).collect()
+    links = {(r.conv_id, r.turn): ([(q.level, q.source) for q in r.quoted or []], r.reply_to) for r in got}
+    assert len(got) == len(rows)
+    assert links[1, 3] == ([(1, 0), (1, 1), (1, 2)], 2)  # each block is found as a whole, so the latest message counts
+    assert links[1, 4] == ([(1, 1), (2, 0), (2, 2)], 1)
+    assert links[2, 2] == ([(1, 0), (1, 1)], 1)
+    direct = quotes.quotation_links(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn, r.level, r.source) for r in direct} == {(*key, *q) for key, (found, _) in links.items() for q in found}
+
+
 def test_long_chain_of_replies(spark, tmp_path):
     rows = [(1, i, "user", (f"> line number {i - 1}\n" if i else "") + f"line number {i}") for i in range(70)]
     got = quotes.reply_ordered(stored(spark, tmp_path, rows, "conv_id long, turn long, role string, text string")).collect()

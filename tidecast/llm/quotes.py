@@ -48,21 +48,25 @@ def with_levels(messages: DataFrame) -> DataFrame:
 
 
 def quotation_links(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, level, source: the message that each quoted level of a message comes from.
+    """conv_id, turn, level, source, weight: the messages that the quotes of a message come from, at each level.
 
-    A passage comes from the first message of the conversation that holds it as its own text.  A level takes the
-    heaviest of its passages that have one in an earlier turn (a whole before a paragraph before a line), of equal
-    ones the latest message.  Only conversations that quote are looked at.
+    A passage comes from the first message of the conversation that holds it as its own text.  A block, a run of quoted
+    lines of one level, takes the heaviest of its passages that have one in an earlier turn (a whole before a paragraph
+    before a line), of equal ones the latest message; blocks of one level may come from different messages.  Of blocks
+    from the same message the heaviest weight is kept.  Only conversations that quote are looked at.
     """
     parsed = with_levels(messages)
-    quotes = parsed.select("conv_id", "turn", F.explode("_blocks").alias("_b"))
-    quotes = quotes.select("conv_id", "turn", "_b.level", F.explode(passages(F.col("_b.text"))).alias("_p"))
-    quotes = quotes.select("conv_id", "turn", "level", "_p.weight", "_p.hash")
+    quotes = parsed.select("conv_id", "turn", F.posexplode("_blocks").alias("_place", "_b"))
+    # rows that share conv_id and turn have blocks of their own: equal places are told apart by their text
+    quotes = quotes.select("conv_id", "turn", "_b.level", F.struct("_place", F.md5("_b.text").alias("hash")).alias("_block"),
+                           F.explode(passages(F.col("_b.text"))).alias("_p"))
+    quotes = quotes.select("conv_id", "turn", "level", "_block", "_p.weight", "_p.hash")
     quoting = messages.filter(F.col("text").rlike(QUOTED)).select("conv_id").distinct()
     own = parsed.join(quoting, "conv_id", "left_semi").select("conv_id", "turn", F.explode(passages(F.col("_own"))).alias("_p"))
     sources = own.groupBy("conv_id", F.col("_p.hash").alias("hash")).agg(F.min("turn").alias("source"))
     found = quotes.distinct().join(sources, ["conv_id", "hash"]).filter("source < turn")
-    return found.groupBy("conv_id", "turn", "level").agg(F.max(F.struct("weight", "source")).alias("_best")).select("conv_id", "turn", "level", "_best.source")
+    best = found.groupBy("conv_id", "turn", "level", "_block").agg(F.max(F.struct("weight", "source")).alias("_best"))
+    return best.groupBy("conv_id", "turn", "level", F.col("_best.source").alias("source")).agg(F.max("_best.weight").alias("weight"))
 
 
 def threads(replies: DataFrame) -> DataFrame:
@@ -83,8 +87,8 @@ def threads(replies: DataFrame) -> DataFrame:
 def reply_ordered(conversations: DataFrame) -> DataFrame:
     """One row per message: conv_id, position, turn, role, text without quotes, reply_to, thread, depth, quoted.
 
-    ``reply_to`` is the message that the first level of quotes comes from, ``quoted`` all levels with their
-    messages.  Messages of a conversation are ordered by thread (the message its replies go back to) and turn, so a
+    ``reply_to`` is the message that the first level of quotes comes from (of several the one quoted by the heaviest
+    passage, then the latest), ``quoted`` all levels with all their messages.  Messages of a conversation are ordered by thread (the message its replies go back to) and turn, so a
     reply follows what it answers; ``position`` counts from 0.  A conversation may hold any share of the rows.
 
     A message whose quotes come from nowhere, or without any, begins a thread.  A null text is empty; repeated rows
@@ -93,9 +97,10 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     """
     messages = conversations.select("conv_id", "turn", "role", "text")
     links = write_scratch(quotation_links(messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")), "links")
-    replies = links.filter("level = 1").select("conv_id", "turn", F.col("source").alias("reply_to"))
     quoted = links.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct("level", "source"))).alias("quoted"),
-                                                  F.max(F.when(F.col("level") == 1, F.col("source"))).alias("reply_to"))
+                                                  F.max(F.when(F.col("level") == 1, F.struct("weight", "source")))["source"].alias("reply_to"))
+    quoted = write_scratch(quoted, "quoted")
+    replies = quoted.filter("reply_to IS NOT NULL").select("conv_id", "turn", "reply_to")
     placed = quoted.join(threads(replies), ["conv_id", "turn"], "left")
     placed = placed.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), "quoted", "reply_to", "thread", "depth")
     clean = with_levels(with_row(messages)).select("_row", "conv_id", "turn", "role", F.col("_own").alias("text"))
