@@ -67,3 +67,14 @@ def test_near_duplicates_of_documents(spark):
     label = plain_groups([t for _, t in rows])
     got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect() if r.doc_id is not None}
     assert got == {rows[i][0] for i in set(label)}
+
+
+def test_one_row_of_a_group_stays(spark, tmp_path):
+    long = words(1, 300)
+    texts = [(1, long), (1, long), (2, edited(long, 3, 8)), (None, long), (None, edited(long, 4, 8)), (None, "without any id at all"), (None, "Without any ID at all"),
+             (7, "alone"), (7, "other words"), (8, "twice"), (8, "twice"), (None, None), (None, "")]
+    docs = documents(spark, tmp_path, [(d, t, "en", "s") for d, t in texts])
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    rows = [(r.doc_id, (r.text or "").lower()) for r in got.collect()]
+    assert Counter(rows) == Counter([(1, long), (None, "without any id at all"), (7, "alone"), (7, "other words"), (8, "twice"), (None, "")])

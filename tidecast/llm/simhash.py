@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidecast.llm import similar
-from tidecast.llm.common import components
+from tidecast.llm.common import components, with_row
 from tidecast.session import write_scratch
 
 BITS, SEGMENTS, DISTANCE = 64, 4, 3
@@ -173,17 +173,17 @@ def near_duplicates(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but for those whose group of similar texts has a smaller doc_id; rows without doc_id stay.
+    """One row of every group of similar texts: that with the smallest doc_id, of equal ids, or without any, the first row.
 
     Texts are similar if their sets of five-word shingles have a Jaccard similarity of 0.8 or more, which is looked up
-    in ``similar`` and does not use the fingerprints; null and empty texts are one group.
+    in ``similar`` and does not use the fingerprints; null and empty texts are one group.  ``docs`` must be stored.
     """
     drawn = write_scratch(similar.sketches(docs), "sketches")
-    classes = drawn.groupBy("same").agg(F.min("_row").alias("node"), F.min("doc_id").alias("_id"), F.first("bands").alias("bands"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_row")).alias("_first")
+    classes = drawn.groupBy("same").agg(F.min("_row").alias("node"), first, F.first("bands").alias("bands"))
     classes = write_scratch(classes, "classes")
     roots = similar.similar_roots(classes.select("node", "bands"), docs)
-    grouped = classes.join(roots, "node", "left").select("same", "_id", F.coalesce("root", "node").alias("_root"))
-    lowest = grouped.groupBy("_root").agg(F.min("_id").alias("_lowest"))
-    grouped = grouped.join(lowest, "_root").select(F.col("same").alias("_same"), "_lowest")
-    go = drawn.join(grouped, drawn["same"] == grouped["_same"]).filter("_lowest < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(go, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    firsts = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("_first").alias("_first"))
+    kept = firsts.select(F.col("_first._row").alias("__kept"))
+    numbered = with_row(docs, "__dedup_row")
+    return numbered.join(kept, numbered["__dedup_row"] == kept["__kept"], "left_semi").select(*docs.columns)
