@@ -3,9 +3,9 @@ from datetime import date, datetime
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import frame, hours, seasonal
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
+from series_tables import frame, hours, seasonal
 
 from tidecast.functions import cells
 from tidecast.operators import align, clean, describe, forecast

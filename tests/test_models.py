@@ -3,8 +3,8 @@ from dataclasses import replace
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import frame, hours, seasonal
 from pyspark.sql import functions as F
+from series_tables import frame, hours, seasonal
 
 from tidecast.operators import decompose, describe, evaluate, forecast, gram, shortterm, var
 from tidecast.operators.decompose import Penalties

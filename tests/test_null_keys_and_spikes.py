@@ -3,8 +3,8 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import frame, hours
 from pyspark.sql import functions as F
+from series_tables import frame, hours
 
 from tidecast.operators import evaluate, windows
 from tidecast.operators.position import Order, with_position
