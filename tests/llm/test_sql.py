@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql_counterpart(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     want = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in want.description]

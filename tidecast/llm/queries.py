@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidecast.llm import langid, licenses, mixing, ordermh, packing, quotes, simhash, surrogates, topk, urlfilter
+from tidecast.llm import (kdshards, langid, licenses, mixing, ordermh, packing, phrases, prefixtrie, quotes, simhash, surrogates, topk,
+                          urlfilter)
 from tidecast.session import configure
 
 #: The rules of the url filter: host, path, verdict.
@@ -73,8 +74,20 @@ def op10_quote_linking(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.reply_ordered(read(spark, folder, "conversations"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(read(spark, folder, "conversations"))
+
+
+def op13_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return kdshards.kd_shards(read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_packing, op2_license_scan, op3_url_filter, op4_order_minhash, op5_simhash_near_dedup, op6_mixing, op7_pii_surrogates, op8_top_k,
-                                 op9_language_id, op10_quote_linking)}
+                                 op9_language_id, op10_quote_linking, op11_phrases, op12_prefix_trie, op13_kd_shards)}
 
 #: The rules as SQL rows.
 _RULES_SQL = ", ".join(str(rule) for rule in RULES)
@@ -118,4 +131,45 @@ p AS (SELECT q.place, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.
   FROM v q JOIN v c ON q.place <> c.place WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_phrases": rf"""WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT doc, lang, unnest(range(len(pieces))) AS piece, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS words FROM d),
+w AS (SELECT doc, lang, piece, unnest(range(len(words))) AS place, unnest(words) AS word FROM p),
+s AS (SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4
+  FROM w WINDOW o AS (PARTITION BY doc, piece ORDER BY place)),
+f AS (SELECT lang, w1 AS phrase, 1 AS m, count(*) AS a FROM s GROUP BY ALL
+  UNION ALL SELECT lang, w1 || ' ' || w2, 2, count(*) FROM s WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*) FROM s WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4, count(*) FROM s WHERE w4 IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND a >= {phrases.LEAST}),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:m], ' ') AS rp FROM c, range(1, 4) t(k) WHERE k < m),
+scored AS (SELECT cuts.*, x.a AS l, y.a AS r, (({phrases.SCALE}::HUGEINT * cuts.a) // (x.a + y.a))::BIGINT AS score FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (SELECT lang, array_to_string(ws[i:i + len_ - 1], ' ') AS phrase, max(a) AS longer
+  FROM c, range(2, 4) t(len_), range(1, 4) u(i) WHERE len_ < m AND i + len_ - 1 <= m GROUP BY 1, 2),
+kept AS (SELECT l.* FROM lowest l LEFT JOIN inner_phrases i USING (lang, phrase) WHERE coalesce(100 * longer < {phrases.COVERED} * a, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= {phrases.BEST}""",
+    "op12_prefix_trie": rf"""WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tb),
+t AS (SELECT conv_id, turn, length(coalesce(text, '')) AS n, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'d': d, 'n': n}} ORDER BY turn NULLS FIRST, d) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT o.*, (xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda a, b: xor(tb[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % {prefixtrie.SHARED})::INTEGER AS h FROM o, crc),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h], h.turns[h + 1:]) AS s
+  FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % {prefixtrie.FAMILY}),
+k AS (SELECT conv_id, s, len(s) AS turns, coalesce(array_to_string(list_transform(s, lambda x: x.d), ''), '') AS path FROM r),
+p AS (SELECT conv_id, turns, depth, left(path, 32 * depth) AS id, CASE WHEN depth > 0 THEN s[depth].n ELSE 0 END AS chars
+  FROM k, range((SELECT max(turns) + 1 FROM k)) u(depth) WHERE depth <= turns),
+n AS (SELECT id, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = depth), '')) AS ends_sha256 FROM p GROUP BY ALL),
+c AS (SELECT left(id, 32 * (depth - 1)) AS id, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (id)),
+a AS (SELECT left(m.id, 32 * u.depth) AS id, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+  FROM m, range((SELECT max(depth) + 1 FROM m)) u(depth) WHERE u.depth <= m.depth GROUP BY 1)
+SELECT m.conv_id, m.depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+FROM m JOIN a USING (id) LEFT JOIN m q ON m.depth > 0 AND q.id = left(m.id, 32 * (m.depth - 1))""",
 }
