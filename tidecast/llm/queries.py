@@ -142,10 +142,11 @@ f AS (SELECT lang, w1 AS phrase, 1 AS m, count(*) AS a FROM s GROUP BY ALL
   UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*) FROM s WHERE w3 IS NOT NULL GROUP BY ALL
   UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4, count(*) FROM s WHERE w4 IS NOT NULL GROUP BY ALL),
 n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
-c AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND a >= {phrases.LEAST}),
+g AS MATERIALIZED (SELECT * FROM f WHERE a >= {phrases.LEAST}),
+c AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') AS ws FROM g WHERE m > 1),
 cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:m], ' ') AS rp FROM c, range(1, 4) t(k) WHERE k < m),
 scored AS (SELECT cuts.*, x.a AS l, y.a AS r, (({phrases.SCALE}::HUGEINT * cuts.a) // (x.a + y.a))::BIGINT AS score FROM cuts
-  JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp),
+  JOIN g x ON x.lang = cuts.lang AND x.phrase = lp JOIN g y ON y.lang = cuts.lang AND y.phrase = rp),
 lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inner_phrases AS (SELECT lang, array_to_string(ws[i:i + len_ - 1], ' ') AS phrase, max(a) AS longer
   FROM c, range(2, 4) t(len_), range(1, 4) u(i) WHERE len_ < m AND i + len_ - 1 <= m GROUP BY 1, 2),
