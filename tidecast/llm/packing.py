@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidecast.llm.common import with_row, worker_store
+from tidecast.llm.common import worker_store
 from tidecast.session import write_scratch
 
 TIERS = (256, 512, 1024, 2048)
@@ -27,6 +27,8 @@ MEET = 64
 #: Characters that are encoded together, and words whose ids a worker remembers; others are encoded again.
 CHARS = 1 << 21
 REMEMBERED = 1 << 20
+#: Parts that are encoded as the lines of one text.
+LINES = 256
 
 FIELDS = [("row_id", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
           ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -35,12 +37,17 @@ ARROW = pa.schema(FIELDS)
 SCHEMA = ", ".join(f"{n} {'binary' if t == pa.binary() else 'long'}" for n, t in FIELDS)
 
 
+#: Places where the vocabulary's pattern always begins a new piece: between a letter or digit and one of these marks, and
+#: between a single line feed and a letter or digit.  NUL marks them.
+_MARK, _AFTER_FEED = r"([\pL\pN])([,.;:!?\n])", r"([\pL\pN\pP\x00])\n([\pL\pN])"
+
+
 def encoder(path: str):
     """Texts to their ids, each as a numpy array of the ids of the whole text.
 
-    The vocabulary's pattern always starts a new piece at a blank that precedes a non-blank, so the parts between
-    such blanks can be encoded apart: the distinct ones of some texts are looked up among those seen before.
-    A text with a blank before white space is cut by the same rule, with a pattern.
+    The vocabulary's pattern always starts a new piece at a blank that precedes a non-blank, and where words meet common
+    punctuation, so the parts between such places can be encoded apart: the distinct ones of some texts are looked up
+    among those seen before.  A text with a blank before white space, or with NUL, is cut at its other blanks only.
     """
     from tokenizers import Tokenizer
 
@@ -48,38 +55,68 @@ def encoder(path: str):
     if "model" not in store:
         store["model"] = Tokenizer.from_file(path)
         store["model"].encode_special_tokens = True
-        store["known"] = {}
-    model, known = store["model"], store["known"]
-    blank, cut = re.compile(r" \s").search, re.compile(r" (?=\S)").split
+        store["known"], store["before"] = {}, {}
+    model = store["model"]
+    odd, cut = re.compile(r" \s|\0| $").search, re.compile(r"(?= (?=\S))").split
+
+    feed = model.encode("\n", add_special_tokens=False).ids
+    one_piece = re.compile(r" ?\S+").fullmatch
 
     def coded(texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of each text; those without white space but a first blank are encoded in lines, which costs less per text."""
+        out: list[bytes] = [b""] * len(texts)
+        lined = [i for i, t in enumerate(texts) if len(feed) == 1 and one_piece(t)]
+        lines = [lined[i:i + LINES] for i in range(0, len(lined), LINES)]
+        pages = model.encode_batch_fast(["".join(texts[i] + "\n" for i in page) for page in lines], add_special_tokens=False)
+        for page, found in zip(lines, pages):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(ids == feed[0]).tolist()
+            for i, a, b in zip(page, [0, *[e + 1 for e in ends]], ends, strict=False):
+                out[i] = ids[a:b].tobytes()
+        rest = [i for i, t in enumerate(texts) if len(feed) != 1 or not one_piece(t)]
+        for i, found in zip(rest, model.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(found.ids, "<u4").tobytes()
+        return out
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        if any(map(blank, texts)):
-            parts = pa.array([cut(t) for t in texts], pa.list_(pa.string()))
-        else:
-            parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
-        ends = parts.offsets.to_numpy()
-        words = parts.flatten().dictionary_encode()
-        index, distinct = words.indices.to_numpy().astype(np.int64), words.dictionary.to_pylist()
+    def looked_up(distinct: list[str]) -> list[bytes]:
+        """Ids by part, from two generations of what the worker has seen: when one is full the other goes."""
+        known, before = store["known"], store["before"]
         values = list(map(known.get, distinct))
+        for i, v in enumerate(values):
+            if v is None and (old := before.get(distinct[i])) is not None:
+                values[i] = known[distinct[i]] = old
         new = [w for w, v in zip(distinct, values) if v is None]
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-            ids = dict(zip(new, coded([" " + w for w in new])))
+            ids = dict(zip(new, coded(new)))
             known.update(ids)
             values = [ids[w] if v is None else v for w, v in zip(distinct, values)]
-        firsts = [distinct[i] for i in index[ends[:-1]]]
-        index[ends[:-1]] = len(distinct) + np.arange(len(texts))  # no blank precedes the first part of a text
-        values += coded(firsts)
+        if len(known) > REMEMBERED // 2:
+            store["before"], store["known"] = known, {}
+        return values
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        plain = [i for i, t in enumerate(texts) if not odd(t)]
+        marked = pc.replace_substring(pa.array([texts[i] for i in plain], pa.string()), " ", "\0 ")
+        marked = pc.replace_substring_regex(marked, _MARK, "\\1\0\\2")
+        parts = pc.split_pattern(pc.replace_substring_regex(marked, _AFTER_FEED, "\\1\n\0\\2"), "\0")
+        if len(plain) < len(texts):
+            rest = [i for i, t in enumerate(texts) if odd(t)]
+            parts = pa.concat_arrays([parts, pa.array([cut(texts[i]) for i in rest], pa.list_(pa.string()))])
+            plain += rest
+        ends = parts.offsets.to_numpy()
+        words = parts.flatten().dictionary_encode()
+        index, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
+        values = looked_up(distinct)
         flat = np.frombuffer(b"".join(values), "<u4")
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
         size = sizes[index]
         starts, stops = (np.cumsum(sizes) - sizes)[index], np.cumsum(size)
-        ids = flat[np.repeat(starts - stops + size, size) + np.arange(stops[-1])]
-        return np.split(ids, stops[ends[1:-1] - 1])
+        ids = flat[np.repeat(starts - stops + size, size) + np.arange(stops[-1] if len(stops) else 0)]
+        bounds = np.concatenate([[0], stops])[ends]
+        out: list[np.ndarray] = [ids[:0]] * len(texts)
+        for place, a, b in zip(plain, bounds[:-1], bounds[1:]):
+            out[place] = ids[a:b]
+        return out
 
     return encode
 
@@ -234,7 +271,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, tiers=TIERS, block_tokens:
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, row_id.
     """
-    rows = with_row(docs.select("doc_id", "text")).select("_row", F.col("doc_id").cast("long"), "text")
+    rows = docs.select(F.monotonically_increasing_id(), F.col("doc_id").cast("long"), "text")  # one pass, so its numbers hold
     pieces = write_scratch(rows.mapInArrow(_pack_task(vocabulary, tiers, block_tokens, step_tokens), SCHEMA), "pieces")
     rests = pieces.filter("ids IS NOT NULL").groupBy("meet").applyInArrow(_pack_rests(tiers, step_tokens), SCHEMA)
     done = pieces.filter("ids IS NULL").unionByName(rests)
