@@ -7,6 +7,7 @@ import types
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidecast.session import write_scratch
@@ -21,12 +22,23 @@ def worker_store(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
-def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Number the rows of a stored table, so that rows with equal ids stay apart.
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if its rows are those of files (filtered or projected at most), else a copy in the shared folder."""
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return write_scratch(df, "rows")
+    return df
 
-    Numbers repeat between passes as long as ``df`` is read from files without a shuffle in between.
+
+def with_row(df: DataFrame, name: str = "_row", columns: Sequence[str] | None = None) -> DataFrame:
+    """The columns (all by default) and each row's file (hashed) and place in it, so that rows with equal ids stay apart.
+
+    ``df`` comes from ``stored``.  However the files are split over tasks, every pass gives a row the same identity.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    place = df.metadataColumn("_metadata")
+    row = F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row"))
+    return df.select(*[F.col(f"`{c}`") for c in (columns or df.columns)], row.alias(name))
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

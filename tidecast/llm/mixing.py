@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidecast.llm.common import WORD, same_keys, with_row, with_running_sum
+from tidecast.llm.common import WORD, same_keys, stored, with_row, with_running_sum
 from tidecast.session import write_scratch
 
 #: Weights of the sources in code point order, repeating; how often a source may be read at most.
@@ -15,9 +14,9 @@ WEIGHTS, PASSES = (1, 2, 3), 3
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, source and size in words; a null text has none."""
+    """_row, doc_id, source, size in words (a null text has none) and ``_text``, which orders rows of equal id."""
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return with_row(docs.select("doc_id", "source", "text")).select("_row", "doc_id", "source", words.alias("size"))
+    return with_row(docs, columns=["doc_id", "source", "text"]).select("_row", "doc_id", "source", words.alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("_text"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES) -> DataFrame:
@@ -58,7 +57,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES)
     ranges of the shuffle, so one that holds most rows is spread over tasks.
 
     A null source is a source, the last; null and empty texts have no words and are not taken; rows with equal
-    id are each a document; an empty table gives an empty mix.
+    id are each a document, in the order of their texts' MD5; very long texts count whole; other columns are ignored; an
+    empty table gives an empty mix.  ``docs`` comes from ``stored``.
     """
     sizes = write_scratch(sized(docs), "sizes")
     return _served(sizes, source_targets(sizes, weights, passes), passes)
@@ -66,21 +66,22 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES)
 
 def _served(sizes: DataFrame, targets: DataFrame, passes: int) -> DataFrame:
     shuffled = sizes.withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    served = with_running_sum(shuffled, ["_key", "doc_id", "_row"], "size", ["source"])
+    served = with_running_sum(shuffled, ["_key", "doc_id", "_text", "_row"], "size", ["source"])
     joined = served.join(targets, same_keys(served, targets, ["source"])).drop(targets["source"])
     copies = joined.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(passes - 1).cast("long"))))
     start = F.col("copy") * F.col("source_size") + F.col("_before")
     words = F.greatest(F.lit(0).cast("long"), F.least("size", F.floor("target") - start))
     copies = copies.withColumns({"words": words, "finish": (start + F.col("size")) / F.col("target")}).filter("words > 0")
-    copies = copies.select("_row", "doc_id", "source", "size", "source_size", "target", "copy", "finish", "words")
-    return with_running_sum(copies, ["finish", "source", "_row", "copy"], "words", name="position")
+    copies = copies.select("_row", "doc_id", "source", "size", "source_size", "target", "copy", "finish", "words", "_key", "_text")
+    placed = with_running_sum(copies, ["finish", "source", "_key", "doc_id", "_text", "_row", "copy"], "words", name="position")
+    return placed.drop("_key", "_text")
 
 
 def taken_words(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, ``taken``, the words the mix takes of it, and
     first_position, the words of the mix before its first copy (-1 if it is not taken).
     """
-    sizes = write_scratch(sized(docs), "sizes")
+    sizes = write_scratch(sized(stored(docs)), "sizes")
     targets = source_targets(sizes, weights, passes)
     given = _served(sizes, targets, passes).groupBy("_row").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
     rows = sizes.join(targets, same_keys(sizes, targets, ["source"])).drop(targets["source"]).join(given, "_row", "left")
@@ -88,30 +89,13 @@ def taken_words(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int =
                        F.coalesce("first_position", F.lit(-1).cast("long")).alias("first_position"))
 
 
-def _first_words(text: str, words: int) -> str:
-    import re
-
-    end = 0
-    for i, found in enumerate(re.finditer(r"[^\x20\x09-\x0D]+", text)):
-        if i == words:
-            break
-        end = found.end()
-    return text[:end]
-
-
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES) -> DataFrame:
-    """The rows of ``docs`` as the mix holds them: repeated by copies, cut where the budget ends, others left out."""
-    taken = mix(docs, weights, passes).select(F.col("_row").alias("__mix_of"), F.col("words").alias("__mix_words"),
-                                              (F.col("words") == F.col("size")).alias("__mix_whole"))
-    joined = with_row(docs, "__mix_row").join(taken, F.col("__mix_row") == F.col("__mix_of"))
-    whole = joined.filter("__mix_whole").select(*docs.columns)
-    names, where = docs.columns, docs.columns.index("text")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [_first_words(t.as_py(), w.as_py()) for t, w in zip(batch.column(where), batch.column(len(names)))]
-            columns = [pa.array(texts, pa.string()) if i == where else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    part = joined.filter("NOT __mix_whole").select(*docs.columns, "__mix_words").mapInArrow(cut, docs.schema)
-    return whole.unionByName(part)
+    """The rows of ``docs`` as the mix holds them: repeated by copies or left out, always with their whole texts.
+
+    The document in service when its source's budget ends is taken if at least half of it was to be served, which
+    leaves the source nearer to its target.  Null and empty texts are left out, a null source is the last one, rows of
+    equal id are documents each; all columns pass through, whatever their names; an empty table stays empty.
+    """
+    docs = stored(docs)
+    taken = mix(docs, weights, passes).filter("2 * words >= size").select(F.col("_row").alias("__mix_of"))
+    return with_row(docs, "__mix_row").join(taken, F.col("__mix_row") == F.col("__mix_of")).select(*docs.columns)

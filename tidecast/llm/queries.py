@@ -105,7 +105,8 @@ fits AS (SELECT place, rule_host || rule_path AS rule, verdict, row_number() OVE
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM p LEFT JOIN (SELECT * FROM fits WHERE n = 1) f USING (place)""",
     "op6_mixing": rf"""WITH s AS (SELECT row_number() OVER () AS place, doc_id, source,
-  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+  md5(coalesce(doc_id::VARCHAR, '')) AS key, md5(coalesce(text, '')) AS text_key FROM documents),
 t AS (SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY 1),
 w AS (SELECT *, {list(mixing.WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight,
   {mixing.PASSES} * source_size AS cap, sum(source_size) OVER () AS budget FROM t),
@@ -114,12 +115,12 @@ o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
 f AS (SELECT *, cap * others <= weight * (budget - given) AS capped FROM o),
 g AS (SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE
   (weight * (budget - coalesce(sum(cap) FILTER (capped) OVER (), 0)))::DOUBLE / (sum(weight) FILTER (NOT capped) OVER ())::DOUBLE END AS target FROM f),
-b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, place
+b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, text_key, place
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM s),
-c AS (SELECT place, b.source, size, target, copy, copy * source_size + before AS start
+c AS (SELECT place, doc_id, key, text_key, b.source, size, target, copy, copy * source_size + before AS start
   FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source, range({mixing.PASSES}) AS copies(copy)),
-d AS (SELECT place, source, copy, greatest(0, least(size, floor(target)::BIGINT - start)) AS words, (start + size)::DOUBLE / target AS finish FROM c),
-e AS (SELECT place, words, coalesce(sum(words) OVER (ORDER BY finish, source NULLS FIRST, place, copy
+d AS (SELECT place, doc_id, key, text_key, source, copy, greatest(0, least(size, floor(target)::BIGINT - start)) AS words, (start + size)::DOUBLE / target AS finish FROM c),
+e AS (SELECT place, words, coalesce(sum(words) OVER (ORDER BY finish, source NULLS FIRST, key, doc_id, text_key, place, copy
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS position FROM d WHERE words > 0),
 m AS (SELECT place, sum(words)::BIGINT AS taken, min(position) AS first_position FROM e GROUP BY 1)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, coalesce(first_position, -1) AS first_position

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidecast.llm.common import with_row, with_running_sum
+from tidecast.llm.common import with_running_sum
 from tidecast.session import write_scratch
 
 QUOTED = r"(?m)^[ \t]*>"
@@ -103,7 +103,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     replies = quoted.filter("reply_to IS NOT NULL").select("conv_id", "turn", "reply_to")
     placed = quoted.join(threads(replies), ["conv_id", "turn"], "left")
     placed = placed.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), "quoted", "reply_to", "thread", "depth")
-    clean = with_levels(with_row(messages)).select("_row", "conv_id", "turn", "role", F.col("_own").alias("text"))
+    clean = with_levels(messages.withColumn("_row", F.monotonically_increasing_id())).select("_row", "conv_id", "turn", "role", F.col("_own").alias("text"))
     joined = clean.join(placed, (F.col("conv_id") == F.col("_c")) & (F.col("turn") == F.col("_t")), "left")
     out = joined.select("_row", "conv_id", "turn", "role", "text", "reply_to", F.coalesce("thread", "turn").alias("thread"),
                         F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), "quoted", F.lit(1).alias("_one"))

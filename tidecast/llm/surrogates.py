@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidecast.llm.common import with_row
+from tidecast.llm.common import stored, with_row
 from tidecast.session import write_scratch
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -188,7 +188,8 @@ def replace_entities(docs: DataFrame, key: str, counted: str | None = None) -> D
     table.  A null text stays null, an empty one empty; rows are kept one for one, whatever their ids; other
     columns pass through.
     """
-    found = with_row(docs.select("text")).select("_row", F.regexp_extract_all("text", F.lit(EVERY), F.lit(0)).alias("_found"))
+    docs = stored(docs)
+    found = with_row(docs, columns=["text"]).select("_row", F.regexp_extract_all("text", F.lit(EVERY), F.lit(0)).alias("_found"))
     found = write_scratch(mentions(found), "mentions")
     entities = found.select(F.explode("atoms").alias("_atom")).select("_atom.kind", "_atom.entity").distinct()
     new = replacements(found, assign(entities, key)).select(F.col("_row").alias("__pii_of"), F.col("_new").alias("__pii_new"))

@@ -6,7 +6,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidecast.llm.common import with_row
 from tidecast.session import write_scratch
 
 #: Rows and queries that one task holds.
@@ -22,7 +21,7 @@ def usable(vector: str = "embedding") -> Column:
 
 def quantised(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
     """_row, vec_id and ``_v``: floor(256 * x) of every component x as a double."""
-    kept = with_row(vectors.select(F.col("vec_id").cast("long"), vector)).filter(usable(vector) & F.col("vec_id").isNotNull())
+    kept = vectors.select(F.monotonically_increasing_id().alias("_row"), F.col("vec_id").cast("long"), vector).filter(usable(vector) & F.col("vec_id").isNotNull())
     return kept.select("_row", "vec_id", F.transform(
         vector, lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long")).alias("_v"))
 
