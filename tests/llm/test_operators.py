@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +17,7 @@ from helpers import AWKWARD, DOCS, awkward_documents, documents, stored, words
 from pyspark.sql import functions as F
 
 from tidecast.llm import langid, licenses, mixing, ordermh, packing, quotes, simhash, surrogates, topk, urlfilter
-from tidecast.llm.common import components
+from tidecast.llm.common import components, stored as stored_rows
 from tidecast.llm.queries import RULES, vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -43,7 +45,9 @@ def token_ids(text):
 
 def test_encoder_equals_whole_texts():
     odd = ["a  b", " a", "a ", "\n\n x  \n y", "tab\t x", " \x1c x", "it's  'll <|endoftext|> don't", "", "   ",
-           "é　 　x", " \u200bx 1 2  3", "日本 語", words(1, 500)]
+           "é　 　x", " \u200bx 1 2  3", "日本 語", words(1, 500), "one,two;3.4:x!y?z", "a.\nB\n\nC\r\nD ,e", "it's, 's,x ''s.", ",.;\n!a1b2",
+           "x\0y\0 z", "tail ", "a,\u0301b", "é.É\nü ß?", "(a),\"b\"... c", "1,000.50\n2", "\n", ",", "Ⅷ.٣,x"]
+    odd += ["".join(random.Random(i).choices("ab1é ,.\n'(s\r\t!", k=60)) for i in range(300)]
     encode = packing.encoder(vocabulary())
     for texts in (odd, *[[t] for t in odd], odd):
         assert [x.tolist() for x in encode(texts)] == [token_ids(t)[:-1] for t in texts]
@@ -243,21 +247,42 @@ def plain_components(prints):
     return label
 
 
+def plain_classes(rows):
+    """doc_id, fingerprint and component of every row; rows without doc_id link like others."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    label = plain_components(dict(enumerate(prints)))
+    ids = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        ids[label[i]].append(d)
+    least = {k: min((d for d in v if d is not None), default=None) for k, v in ids.items()}
+    return [(d, prints[i], least[label[i]]) for i, (d, _) in enumerate(rows)]
+
+
+def kept_ids(classes):
+    """The ids of the rows that stay; components without any id are told apart by their smallest fingerprint."""
+    label = plain_components({p: p for _, p, _ in classes})
+    return Counter(dict((label[p], c) for _, p, c in classes).values())
+
+
+def test_rows_without_id_connect_others(spark, tmp_path, monkeypatch):
+    prints = {"a": 0, "b": 7, "c": 63, "d": 1 << 40 | 1023}
+    rows = [(1, "a"), (None, "b"), (3, "c"), (4, "d"), (3, "c")]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs: stored(
+        spark, tmp_path, [(d, (0, i), prints[t]) for i, (d, t) in enumerate(rows)], "doc_id long, _row struct<file: long, row: long>, fp long", "prints"))
+    docs = documents(spark, tmp_path, [(d, t, None, None) for d, t in rows])
+    assert sorted((r.component_id, r.doc_id or 0) for r in simhash.near_duplicates(docs).collect()) == [(1, 0), (1, 1), (1, 3), (1, 3), (4, 4)]
+
+
 def test_near_duplicates(awkward, empty):
     docs, rows = awkward
     got = simhash.near_duplicates(docs).collect()
     assert len(got) == len(rows)
-    prints = {d: plain_fingerprint(t) for d, t, *_ in rows if d is not None}
-    want = plain_components(prints)
-    for r in got:
-        if r.doc_id is None:
-            assert r.component_id is None
-        else:
-            assert (r.fingerprint, r.component_id) == (f"{prints[r.doc_id]:016x}", want[r.doc_id])
+    want = plain_classes([(d, t) for d, t, *_ in rows])
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == Counter((d, f"{p:016x}", c) for d, p, c in want)
     assert simhash.near_duplicates(empty).count() == 0
     kept = simhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, *_ in rows if d is None or want[d] == d)
+    assert Counter(r.doc_id for r in kept.collect()) == kept_ids(want)
 
 
 @pytest.mark.parametrize("chunk", [4, 7, 1024])
@@ -271,9 +296,13 @@ def test_links_of_dense_and_random_fingerprints(spark, tmp_path, chunk):
             prints.add(b ^ sum(1 << int(f) for f in flips))
     prints = {i: p for i, p in enumerate(sorted(prints))}
     signed = lambda p: p - (1 << 64) if p >> 63 else p
-    classes = stored(spark, tmp_path, [(signed(p), i) for i, p in prints.items()], "fp long, rep long")
+    classes = stored(spark, tmp_path, [(signed(p), i) for i, p in prints.items()], "fp long, first long")
     roots = dict(map(tuple, components(simhash.near_links(classes, chunk)).collect()))
-    assert {i: roots.get(i, i) for i in prints} == plain_components(prints)
+    groups, want = defaultdict(set), defaultdict(set)
+    for i, label in plain_components(prints).items():
+        groups[roots.get(signed(prints[i]), signed(prints[i]))].add(i)
+        want[label].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
 def test_components_of_chains_and_stars(spark, tmp_path):
@@ -318,14 +347,18 @@ def test_mixing(awkward, empty):
         taken[of[r.doc_id]] += r.taken
     for s in sources:
         assert math.floor(want[s]) - 1 <= taken[s] <= want[s] + 1e-6
-    again = mixing.taken_words(docs.repartition(5).sortWithinPartitions("text").select("text", "source", "doc_id"))
-    assert Counter((r.doc_id, r.taken) for r in again.collect() if r.doc_id not in (8, 7)) == Counter((r.doc_id, r.taken) for r in got if r.doc_id not in (8, 7))
-    order = mixing.mix(docs).orderBy("position").collect()
+    path = tempfile.mkdtemp()
+    docs.repartition(5).sortWithinPartitions("text").write.mode("overwrite").parquet(path)
+    again = mixing.taken_words(docs.sparkSession.read.parquet(path).select("text", "source", "doc_id"))
+    assert Counter((r.doc_id, r.taken) for r in again.collect()) == Counter((r.doc_id, r.taken) for r in got)
+    order = mixing.mix(stored_rows(docs)).orderBy("position").collect()
     assert [r.finish for r in order] == sorted(r.finish for r in order)
     assert [r.position for r in order] == list(np.cumsum([0] + [r.words for r in order[:-1]]))
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
-    assert sum(size(r.text) for r in mixed.collect()) == sum(taken.values())
+    copies = Counter((r._row["file"], r._row["row"]) for r in order if 2 * r.words >= r.size)
+    assert mixed.count() == sum(copies.values()) and max(copies.values()) <= 3
+    assert {(r.doc_id, r.text) for r in mixed.collect()} <= {(d, t) for d, t, *_ in rows}
     assert mixing.taken_words(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
@@ -550,3 +583,46 @@ def test_long_chain_of_replies(spark, tmp_path):
     rows = [(1, i, "user", (f"> line number {i - 1}\n" if i else "") + f"line number {i}") for i in range(70)]
     got = quotes.reply_ordered(stored(spark, tmp_path, rows, "conv_id long, turn long, role string, text string")).collect()
     assert {r.turn: (r.thread, r.depth, r.position) for r in got} == {i: (0, i, i) for i in range(70)}
+
+
+# rows keep their identity
+
+@pytest.fixture
+def changing_splits(spark):
+    """Calls ``change`` between the passes over a table, as when executors come and go."""
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes")
+    before = {n: spark.conf.get(n, None) for n in names}
+    turn = [0]
+
+    def change():
+        turn[0] += 1
+        spark.conf.set(names[0], ["4m", "1", "100k"][turn[0] % 3])
+        spark.conf.set(names[1], [8, 1, 3][turn[0] % 3])
+        spark.conf.set(names[2], ["128m", "700", "20k"][turn[0] % 3])
+    yield change
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_rows_keep_their_identity(spark, tmp_path, monkeypatch, changing_splits):
+    from tidecast import session
+
+    texts = [f"{words(i, 40)} write to user{i}@example.com" for i in range(80)]
+    rows = [(i % 60 if i % 7 else None, t, "en", f"s{i % 3}") for i, t in enumerate(texts)]
+    path = str(tmp_path / "many")
+    spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(8).write.parquet(path)
+    docs = spark.read.parquet(path)
+    calm = {"pii": Counter(surrogates.replace_entities(docs, "key").collect()), "dedup": Counter(simhash.without_near_duplicates(docs).collect()),
+            "mix": Counter(mixing.mixed_documents(docs).collect()), "taken": Counter(mixing.taken_words(docs).collect())}
+    write = session.write_scratch
+
+    def writing(df, name="table"):
+        changing_splits()
+        return write(df, name)
+
+    for module in (surrogates, simhash, mixing):
+        monkeypatch.setattr(module, "write_scratch", writing)
+    out = Counter(surrogates.replace_entities(docs, "key").collect())
+    assert out == calm["pii"] and not any(re.search(r"user\d+@example", r.text) for r in out)
+    assert Counter(simhash.without_near_duplicates(docs).collect()) == calm["dedup"] and sum(calm["dedup"].values()) == 80
+    assert Counter(mixing.mixed_documents(docs).collect()) == calm["mix"] and Counter(mixing.taken_words(docs).collect()) == calm["taken"]

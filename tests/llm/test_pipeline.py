@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 from helpers import DOCS, awkward_documents, stored
-from test_operators import check_packing, plain_components, plain_fingerprint
+from test_operators import check_packing, kept_ids, plain_classes
 
 import corpus_pipeline
 
@@ -23,9 +23,7 @@ def test_stages(spark, tmp_path):
         kept[name] = docs.collect()
     languages, dedup, private, mixed, pieces = kept.values()
     assert Counter(r.doc_id for r in languages) == Counter(d for d, t, *_ in rows if t and any(c.isalpha() for c in t))
-    prints = {r.doc_id: plain_fingerprint(r.text) for r in languages if r.doc_id is not None}
-    label = plain_components(prints)
-    assert Counter(r.doc_id for r in dedup) == Counter(r.doc_id for r in languages if r.doc_id is None or label[r.doc_id] == r.doc_id)
+    assert Counter(r.doc_id for r in dedup) == kept_ids(plain_classes([(r.doc_id, r.text) for r in languages]))
     assert Counter(private) == Counter(dedup)
     assert {r.doc_id for r in mixed} <= {r.doc_id for r in private} and all(r.n_chars == len(r.text) for r in mixed)
     check_packing([(r.doc_id, r.text) for r in mixed], pieces)

@@ -9,8 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidecast.llm import similar
-from tidecast.llm.common import components, with_row
+from tidecast.llm.common import components, stored, with_row
 from tidecast.session import write_scratch
 
 BITS, SEGMENTS, DISTANCE = 64, 4, 3
@@ -43,13 +42,14 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint's 64 bits as a signed long."""
+    """doc_id and ``fp``, the fingerprint's 64 bits as a signed long, and the row's ``_row``; written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64())], ["doc_id", "fp"])
+            bits = np.array([fingerprint(t.as_py()) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.int64())], ["doc_id", "_row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = with_row(docs, columns=["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), "_row", "text")
+    return write_scratch(rows.mapInArrow(run, "doc_id long, _row struct<file: long, row: long>, fp long"), "fingerprints")
 
 
 def near(a: np.ndarray, b: np.ndarray, start) -> np.ndarray:
@@ -127,8 +127,7 @@ def _link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_links(classes: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Links ``u``, ``v`` between representatives ``rep`` of distinct fingerprints ``fp``, enough to connect all
-    that differ in at most ``DISTANCE`` bits.
+    """Links ``u``, ``v`` between distinct fingerprints ``fp``, enough to connect all that differ in at most ``DISTANCE`` bits.
 
     Two such fingerprints have a segment from which every chain on the ring is within its budget: it is equal
     and the next differs in one bit at most, so one half of that is equal too.  Segment and half make a bucket.
@@ -141,7 +140,7 @@ def near_links(classes: DataFrame, chunk: int = CHUNK) -> DataFrame:
         for half, shift in enumerate((0, WIDTH // 2)):
             part = F.shiftrightunsigned(after, shift).bitwiseAND(F.lit((1 << WIDTH // 2) - 1))
             keys.append(F.shiftleft(own, 16) + F.shiftleft(part, 8) + F.lit(i * 2 + half))
-    rows = classes.select("fp", "rep", F.explode(F.array(*keys)).alias("bucket"))
+    rows = classes.select("fp", F.explode(F.array(*keys)).alias("bucket"))
     sizes = rows.groupBy("bucket").count().filter("count > 1").select("bucket", F.ceil(F.col("count") / chunk).alias("_chunks"))
     rows = rows.join(sizes, "bucket").withColumn("_own", F.pmod(F.xxhash64("fp"), F.col("_chunks")))
     other = F.when(F.col("_chunks") == 1, F.array(F.lit(0).cast("long"))).when(
@@ -151,39 +150,46 @@ def near_links(classes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     paired = rows.withColumn("_other", F.explode(other)).withColumn("_pair", F.when(
         F.col("_chunks") <= 2, F.lit(0).cast("long")).otherwise(
         F.least("_own", "_other") * F.col("_chunks") + F.greatest("_own", "_other")))
-    dealt = paired.select("bucket", "fp", "rep", F.pmod(F.col("bucket"), F.lit(256)).alias("_i"), "_pair")
+    dealt = paired.select("bucket", "fp", F.col("fp").alias("rep"), F.pmod(F.col("bucket"), F.lit(256)).alias("_i"), "_pair")
     dealt = dealt.withColumn("_i", F.shiftright("_i", 1)).repartition("bucket", "_pair").sortWithinPartitions("bucket", "_pair", "rep")
     return dealt.mapInArrow(_link_rows, "u long, v long").distinct()
 
 
+def linked(prints: DataFrame, first, chunk: int = CHUNK) -> DataFrame:
+    """Per distinct fingerprint ``fp``: ``first``, the least value of that column over all rows its links reach.
+
+    Equal fingerprints are one class before candidates are searched, so copies cost a partial aggregation.  Links run
+    between fingerprints, so classes without a doc_id connect others like any.
+    """
+    classes = write_scratch(prints.groupBy("fp").agg(F.min(first).alias("first")), "classes")
+    roots = components(near_links(classes, chunk))
+    placed = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = write_scratch(placed, "placed")
+    least = placed.groupBy("root").agg(F.min("first").alias("first"))
+    return placed.select("fp", "root").join(least, "root").select("fp", "first")
+
+
 def near_duplicates(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable; one row per row.
 
-    Equal fingerprints are one class, represented by the smallest doc_id, before candidates are searched; so
-    copies cost a partial aggregation.  Null and empty texts have fingerprint zero and are linked like any other.
-    A class without any doc_id links nothing and has a null component.  An empty table gives an empty result.
+    Null and empty texts have fingerprint zero and are linked like any other, and so are rows without doc_id; a component
+    that has none at all is null.  Repeated rows and very long texts are rows like others; other columns are ignored.  An
+    empty table gives an empty result.
     """
-    prints = write_scratch(fingerprints(docs), "fingerprints")
-    classes = write_scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    roots = components(near_links(classes.filter("rep IS NOT NULL"), chunk))
-    members = classes.join(roots, classes["rep"] == roots["node"], "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("root", "rep").alias("component_id"))
+    prints = fingerprints(stored(docs))
+    members = linked(prints, F.col("doc_id"), chunk).select(F.col("fp").alias("_fp"), F.col("first").alias("component_id"))
     return prints.join(members, prints["fp"] == members["_fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of every group of similar texts: that with the smallest doc_id, of equal ids, or without any, the first row.
+    """One row of every component: that with the smallest doc_id, of equal ids, or without any, the first row in file order.
 
-    Texts are similar if their sets of five-word shingles have a Jaccard similarity of 0.8 or more, which is looked up
-    in ``similar`` and does not use the fingerprints; null and empty texts are one group.  ``docs`` must be stored.
+    Null and empty texts are one fingerprint and so at most one row; rows without doc_id come after those with one; repeated
+    rows are copies; very long texts are compared whole; an empty table stays empty and all columns pass through.
     """
-    drawn = write_scratch(similar.sketches(docs), "sketches")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_row")).alias("_first")
-    classes = drawn.groupBy("same").agg(F.min("_row").alias("node"), first, F.first("bands").alias("bands"))
-    classes = write_scratch(classes, "classes")
-    roots = similar.similar_roots(classes.select("node", "bands"), docs)
-    firsts = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("_first").alias("_first"))
-    kept = firsts.select(F.col("_first._row").alias("__kept"))
+    docs = stored(docs)
+    first = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_row")
+    kept = linked(fingerprints(docs), first).select(F.col("first._row").alias("__kept")).distinct()
     numbered = with_row(docs, "__dedup_row")
     return numbered.join(kept, numbered["__dedup_row"] == kept["__kept"], "left_semi").select(*docs.columns)
