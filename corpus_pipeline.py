@@ -28,9 +28,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates (five-word Jaccard of 0.8 or more) one row stays: that with the smallest doc_id.
+    """Of every component of near duplicates one row stays: that with the smallest doc_id, see ``simhash``.
 
-    Rows without a doc_id are grouped like others and come after those with one; of rows that repeat it the first stays.
+    Fingerprints of three-word shingles link at three or fewer differing bits.  Rows without a doc_id are grouped like
+    others and come after those with one; of rows that repeat it the first stays.
     """
     configure(spark)
     return simhash.without_near_duplicates(docs)
@@ -44,7 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated, kept, cut or left out so that sources have their shares of the words."""
+    """Documents are repeated, kept or left out, always whole, so that sources come near their shares of the words."""
     configure(spark)
     return with_length(mixing.mixed_documents(docs))
 
