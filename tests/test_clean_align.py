@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime
 
 import numpy as np
@@ -197,3 +198,19 @@ def test_one_hot_puts_dummies_last(spark):
     out = prepare.one_hot(df, "c", ["a", "b", "z"])
     assert out.columns == ["n", "c_b", "c_z"]
     assert [tuple(r) for r in out.orderBy("n").collect()] == [(1, 0, 0), (2, 1, 0), (3, 0, 0)]
+
+
+@pytest.mark.parametrize("span", [1, 7, 100_000])
+def test_long_calendars_are_laid_out_in_spans(spark, monkeypatch, span):
+    monkeypatch.setattr(align, "SPAN_STEPS", span)
+    pdf = pd.DataFrame({"time": [hours(1)[0], hours(50)[49], hours(3)[2]], "k": ["a", "a", "b"]})
+    got = align.calendar(frame(spark, pdf), "time", "1 hour", ["k"]).orderBy("k", "time").toPandas()
+    assert got.time.tolist() == [*hours(50), hours(3)[2]] and got.k.tolist() == ["a"] * 50 + ["b"]
+
+
+def test_first_row_of_several_pages_in_a_file(spark, tmp_path):
+    pages = [[("2020-01-01T00", "9"), ("2020-01-01T01", "5")], [("2020-01-01T00", "1"), ("2020-01-01T02", "7")]]
+    lines = [json.dumps({"response": {"data": [{"period": p, "value": v} for p, v in page]}}) for page in pages]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    got = readers.read_hourly_target(spark, str(tmp_path / "a.json"), "y").orderBy("time").toPandas()
+    assert got.y.tolist() == ["9", "5", "7"]  # the first page counts, not the smaller text

@@ -9,6 +9,8 @@ from series_tables import frame, hours, seasonal
 from tidecast.operators import decompose, describe, evaluate, forecast, gram, shortterm, var
 from tidecast.operators.decompose import Penalties
 from tidecast.operators.position import Order
+from tidecast.plans import prepare
+from tidecast.sources import store
 
 ORDER = Order("time", ("k",))
 
@@ -161,6 +163,69 @@ def test_models_survive_saving(spark, tmp_path):
     pd.testing.assert_frame_equal(a, b)
 
 
+def test_store_publishes_whole_versions(spark, tmp_path):
+    from pathlib import Path
+
+    path = str(tmp_path / "store")
+    first, second = (spark.createDataFrame([(i, [float(i), None])], "k long, beta array<double>") for i in (1, 2))
+    assert store.publish("a", {"t": first, "u": second}, {"x": [1, "b"]}, path, spark) == 1
+    assert store.publish("a", {"t": second}, {"x": 2}, path, spark) == 2
+    tables, settings = store.fetch("a", path, spark)
+    assert settings == {"x": 2} and list(tables) == ["t"] and tables["t"].first().k == 2
+    tables, settings = store.fetch("a", path, spark, version=1)
+    assert settings == {"x": [1, "b"]} and tables["t"].first().k == 1 and tables["u"].count() == 1
+    first.write.parquet(f"{path}/tables/000003-half/t")  # a version whose manifest line was never written
+    assert store.fetch("a", path, spark)[1] == {"x": 2}
+    for kind, version in (("b", None), ("a", 9)):
+        with pytest.raises(ValueError):
+            store.fetch(kind, path, spark, version)
+    folder = next(p for p in Path(path, "tables").iterdir() if p.name.startswith("000002"))
+    second.write.mode("append").parquet(str(folder / "t"))
+    with pytest.raises(ValueError, match="not as it was published"):
+        store.fetch("a", path, spark)
+
+
+def test_short_models_and_preparation_survive_saving(spark, tmp_path):
+    pdf = pd.DataFrame({"time": hours(500), "y": seasonal(500, 1), "x": seasonal(500, 2)})
+    order, df = Order("time"), frame(spark, pdf)
+    model = shortterm.fit_short(df, order, "y", ["x"], 48, 24, n_models=3)
+    model.save(str(tmp_path / "short"))
+    again = shortterm.load_short(spark, str(tmp_path / "short"))
+    a, b = (shortterm.forecast_short(df, m, order).orderBy("time").toPandas() for m in (model, again))
+    pd.testing.assert_frame_equal(a, b)
+
+    def with_levels(common: str):
+        return df.withColumn("level", F.when(F.hour("time") == 0, None).when(F.hour("time") < 20, common).otherwise("b"))
+
+    trained = prepare.process_dataset(with_levels("a"), order, split=True, n=50)
+    trained.save(str(tmp_path / "prepared"))
+    trained.write(str(tmp_path / "tables"))
+    known = prepare.load_prepared(spark, str(tmp_path / "prepared"))
+    assert known.clean is None and known.columns == trained.columns
+    unseen = prepare.process_dataset(with_levels("c"), order, train=False, trained=known, n=50).clean
+    assert {r.level for r in unseen.filter(F.hour("time") == 0).collect()} == {"a"}  # the training data's, not the unseen data's
+    assert spark.read.parquet(str(tmp_path / "tables" / "holdout")).count() == 50
+    from_path = prepare.process_dataset(str(tmp_path / "tables" / "clean"), order, n=50)
+    assert from_path.clean.count() == 450
+
+
+def test_recursions_of_one_shape_together(spark):
+    rng = np.random.default_rng(0)
+    rows, want = [], {}
+    for i in range(700):
+        k, p, steps = [(1, 1), (2, 1), (2, 3)][i % 3] + (int(rng.integers(0, 30)),)
+        coefs, context = rng.normal(0, 0.3, (k, 1 + k * p)), rng.normal(0, 1, (p, k))
+        rows.append((i, p, coefs.tolist(), context.tolist(), steps))
+        state = list(context)
+        for t in range(1, steps + 1):
+            new = coefs[:, 0] + coefs[:, 1:] @ np.concatenate(state[:p])
+            state = [new, *state[:p - 1]]
+            want[i, t] = new[0]
+    models = spark.createDataFrame(rows, "k long, n_lags int, coefs array<array<double>>, context array<array<double>>, steps int").coalesce(1)
+    got = {(r.k, r.step): r.value for r in var.forecast_var(models, ["k"], "steps").collect()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+
+
 def test_cross_validation_equals_fitting_each_fold(spark):
     n, k = 610, 3
     pdf = pd.DataFrame({"time": hours(n), "y": seasonal(n, 8), "x": seasonal(n, 9)})

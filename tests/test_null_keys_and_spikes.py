@@ -71,3 +71,43 @@ def test_autoregression_leaves_gaps_out(spark):
     ok = ~np.isnan(x) & ~np.isnan(y)
     want = np.linalg.lstsq(np.c_[np.ones(ok.sum()), x[ok]], y[ok], rcond=None)[0]
     assert np.allclose(np.ravel(model.get("coefs") or model.get("beta")), want, atol=1e-6)
+
+
+@pytest.mark.parametrize("w", [20, 250, 256, 257, 300])
+def test_infinite_values_enter_no_frame(spark, w):
+    y = np.random.default_rng(8).normal(0, 1, 1500)
+    y[400], y[900], y[901] = np.inf, -np.inf, np.nan
+    known = np.where(np.isfinite(y), y, np.nan)
+    df = spark.createDataFrame([(t.to_pydatetime(), float(v)) for t, v in zip(hours(1500), y)], "time timestamp_ntz, y double").repartition(4)
+    order = Order("time")
+    means = windows.trailing_mean(df, "y", w, order, block_rows=400).orderBy("time").toPandas().trailing_mean.to_numpy()
+    want = pd.Series(known).rolling(w, min_periods=w).apply(np.mean, raw=True).to_numpy()
+    assert np.allclose(means, want, rtol=1e-9, atol=1e-9, equal_nan=True)
+    for side, infinite in (("both", [400, 900]), ("low", [900])):
+        flags = windows.detect_outliers(df, "y", order, n=200, side=side, block_rows=400).orderBy("time").toPandas().is_outlier.to_numpy()
+        assert flags[infinite].all() and not flags[901]
+        if side == "both":
+            rest = np.delete(np.arange(1500), [400, 900])
+            assert (flags[rest] == plain_flags(known, 200)[rest]).all()
+    kept = windows.remove_outliers(df, ["y"], order, n=200, block_rows=400).filter("y IS NULL").count()
+    assert kept == (plain_flags(known, 200).sum() + 2)
+
+
+def test_one_infinite_value_does_not_spoil_a_fit(spark):
+    from tidecast.operators import decompose
+
+    y = [10 + 0.01 * i for i in range(600)]
+    rows = [(t.to_pydatetime(), v, float("inf") if i == 300 else v) for i, (t, v) in enumerate(zip(hours(600), y))]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, y double, z double")
+    fits = {r.variable: r for r in decompose.fit_decomposition(df, Order("time"), ["y", "z"]).collect()}
+    assert fits["z"].n == 599 and np.allclose(fits["y"].beta, fits["z"].beta, atol=1e-3)
+
+
+def test_quantiles_and_signed_ranks_leave_nan_out(spark):
+    from tidecast.operators import describe
+
+    v = np.random.default_rng(3).normal(0, 1, 40_001)
+    df = spark.createDataFrame(pd.DataFrame({"v": [*v, np.nan, np.nan]})).union(spark.createDataFrame([(None,)], "v double"))
+    assert describe.quantiles(df, "v", (0.5, 0.9)).first()[:] == pytest.approx(tuple(np.quantile(v, [0.5, 0.9])))
+    pairs = spark.createDataFrame([(float(i), 0.5) for i in range(20)] + [(float("nan"), 1.0), (None, 1.0)], "a double, b double")
+    assert evaluate.wilcoxon(pairs, "a", "b").first().n == 20

@@ -182,22 +182,53 @@ def test_sequence_windows_count_and_content(spark):
         assert r.target == i + 10 + 4 - 1
 
 
-@pytest.mark.parametrize("bucket_rows", [10, 1_000_000])
-def test_running_counts_by_measured_quantiles(spark, bucket_rows):
+@pytest.mark.parametrize("bits", [3, 14])
+def test_running_counts(spark, monkeypatch, bits):
+    monkeypatch.setattr(position, "BUCKET_BITS", bits)
     rng = np.random.default_rng(2)
     v = np.unique(rng.lognormal(0, 3, 500))
     pdf = pd.DataFrame({"k": np.where(np.arange(len(v)) % 3 == 0, "a", "b"), "v": v, "n": rng.integers(1, 9, len(v))})
-    out = position.running_counts(frame(spark, pdf), ["k"], "v", "n", bucket_rows).toPandas().sort_values("v")
+    out = position.running_counts(frame(spark, pdf), ["k"], "v", "n").toPandas().sort_values("v")
     want = out.groupby("k").n.cumsum() - out.n
     assert (out.before == want).all()
 
 
-def test_hash_rank_is_a_permutation(spark):
+@pytest.mark.parametrize("total", [1, 2, 3, 97, 1000, 1024])
+def test_partner_is_a_shuffle(spark, total):
+    rows = spark.range(total).select(F.col("id"), position.partner(F.col("id"), F.lit(total), 5).alias("to"),
+                                     position.partner(F.col("id"), F.lit(total), 6).alias("other")).toPandas()
+    assert sorted(rows.to) == sorted(rows.other) == list(range(total))
+    if total > 90:
+        away = np.abs(rows.to - rows.id)
+        assert (away == 0).mean() < 0.05 and 0.28 < away.mean() / total < 0.39  # a third of the length for a random shuffle
+        assert abs(np.corrcoef(rows.to, rows.id)[0, 1]) < 0.25 and abs(np.corrcoef(rows.to[1:], rows.to[:-1])[0, 1]) < 0.25
+        assert (rows.to != rows.other).mean() > 0.9
+
+
+def test_one_index_for_a_chain(spark, monkeypatch):
+    """Operators on the rows of an index give what they give alone, and sort and store nothing themselves."""
+    monkeypatch.setattr(position, "BUCKET_BITS", 4)
     pdf = two_series(300)
-    out = position.rank_by_hash(frame(spark, pdf), Order("time", ("k",)), 3).toPandas()
-    for _, g in out.groupby("k"):
-        assert sorted(g["rank"]) == list(range(len(g)))
-        assert g.sort_values("time")["rank"].tolist() != list(range(len(g)))
+    df, order = frame(spark, pdf), Order("time", ("k",))
+    column = [c for c in pdf.columns if c not in ("time", "k")][0]
+    steps = [lambda d, o: position.with_position(d, o, "pos", "total"), lambda d, o: windows.split_holdout(d, o, 0.25),
+             lambda d, o: windows.trailing_mean(d, column, 20, o, "mean", block_rows=60), lambda d, o: windows.with_lags(d, [column], 2, o, block_rows=60),
+             lambda d, o: windows.expanding_folds(d, o, 3), lambda d, o: windows.backfill(d, [column], o),
+             lambda d, o: windows.detect_outliers(d, column, o, n=30, block_rows=60)]
+    alone = df
+    for step in steps:
+        alone = step(alone, order)
+    stored, indexed = position.order_index(df, order)
+    written = []
+    monkeypatch.setattr(position, "write_scratch", lambda *a: written.append(a) or pytest.fail("an operator stored rows"))
+    for step in steps:
+        stored = step(stored, indexed)
+    got, want = (d.orderBy("k", "time").toPandas() for d in (stored.drop("_bucket"), alone))
+    pd.testing.assert_frame_equal(got[want.columns], want)
+    some = position.with_position(stored.filter("pos % 3 = 0").drop("pos", "total"), position.filtered(indexed)).toPandas()
+    assert sorted(some[some.k == some.k[0]].pos) == list(range((some.k == some.k[0]).sum()))
+    with pytest.raises(ValueError):
+        position.with_position(stored.drop("_bucket"), indexed)
 
 
 def test_fit_bucket_narrows_until_small(spark):

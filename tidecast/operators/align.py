@@ -12,6 +12,10 @@ from tidecast.functions.timekeys import col_of, month_key
 from tidecast.operators.attach import join_on
 
 
+#: Steps of a calendar that are one array.
+SPAN_STEPS = 100_000
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     repeated = df.groupBy(*[col_of(k) for k in keys]).count().filter("count > 1")
     if not repeated.isEmpty():
@@ -86,10 +90,15 @@ def exclude_times(df: DataFrame, times: DataFrame, on: Sequence[str] = ("time",)
 
 
 def calendar(df: DataFrame, time: str, step: str = "1 hour", keys: Sequence[str] = ()) -> DataFrame:
-    """Every time from a series' first to its last; its size depends on the period only."""
+    """Every time from a series' first to its last; its size depends on the period only.
+
+    Spans of ``SPAN_STEPS`` steps are laid out first, then the steps of each, so no long series is one array in one row.
+    """
     ends = df.groupBy(*[col_of(k) for k in keys]).agg(F.min(col_of(time)).alias("_a"), F.max(col_of(time)).alias("_b"))
-    grid = F.explode(F.expr(f"sequence(_a, _b, interval {step})")).alias(time)
-    return ends.select(*[col_of(k) for k in keys], grid)
+    own = [col_of(k) for k in keys]
+    spans = ends.select(*own, "_b", F.explode(F.expr(f"sequence(_a, _b, (interval {step}) * {SPAN_STEPS})")).alias("_s"))
+    last = f"least(_b, _s + (interval {step}) * {SPAN_STEPS - 1})"
+    return spans.select(*own, F.explode(F.expr(f"sequence(_s, {last}, interval {step})")).alias(time))
 
 
 def fill_calendar(df: DataFrame, time: str, step: str = "1 hour", keys: Sequence[str] = ()) -> DataFrame:

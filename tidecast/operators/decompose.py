@@ -81,7 +81,7 @@ def component_slices() -> dict[str, tuple[int, int]]:
 def _partial_sums(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
     x, ys, rows = design(cols["_days"], cols["_scaled"]), cols["_ys"], []
     for i in range(ys.shape[1]):
-        known = ~np.isnan(ys[:, i])
+        known = np.isfinite(ys[:, i])  # one infinite value would spoil every sum
         xi, yi = x[known], ys[known, i]
         rows.append({"out": i, "t0": cols["_t0"][0], "span": cols["_span"][0], "n": int(known.sum()),
                      "yy": float(yi @ yi), "xy": xi.T @ yi, "xx": (xi.T @ xi).ravel(),
@@ -120,7 +120,7 @@ def fit_decomposition(df: DataFrame, order: Order, values: Sequence[str] | str,
                       penalties: Sequence[Penalties] = (Penalties(),), block_rows: int | None = None) -> DataFrame:
     """Fit every variable of every series in one pass; one model row per key, penalty set and variable.
 
-    ``values`` names numeric columns, or one array column.  Null values are left out of the fit.  Time is
+    ``values`` names numeric columns, or one array column.  Null, NaN and infinite values are left out of the fit.  Time is
     scaled by the first and last time of the series.
     """
     names = None if isinstance(values, str) else list(values)

@@ -12,20 +12,19 @@ from tidecast.functions.cells import total
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach
 from tidecast.operators.clean import numeric_columns
-from tidecast.operators.position import RANK_ROWS, running_counts
+from tidecast.operators.position import running_counts
 
 
-def quantiles(df: DataFrame, value: str, fractions: Sequence[float], keys: Sequence[str] = (),
-              bucket_rows: int = RANK_ROWS) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per key and columns ``q0``, ``q1``, …
+def quantiles(df: DataFrame, value: str, fractions: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per key and columns ``q0``, ``q1``, …; NaN is unknown, as null is.
 
     Distinct values are counted first, so heavy ties shrink before the shuffle, and the values at the
     two ranks next to each quantile are then picked from running counts; no group is held in memory.
     """
-    known = df.filter(col_of(value).isNotNull())
+    known = df.filter(col_of(value).isNotNull() & ~F.isnan(col_of(value).cast("double")))
     counted = known.groupBy(*[col_of(k) for k in keys], col_of(value).alias("_value")).agg(
         F.count(F.lit(1)).alias("_count"))
-    ranked = running_counts(counted, keys, "_value", "_count", bucket_rows)
+    ranked = running_counts(counted, keys, "_value", "_count")
     sizes = known.groupBy(*[col_of(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
     ranked = attach(ranked, sizes, keys)
     picks = []

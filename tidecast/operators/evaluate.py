@@ -13,7 +13,7 @@ from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach
 from tidecast.operators.decompose import Penalties
 from tidecast.operators.forecast import SET, fit_long, forecast_long
-from tidecast.operators.position import RANK_ROWS, Order, running_counts, with_position
+from tidecast.operators.position import Order, running_counts, with_position
 from tidecast.operators.shortterm import fit_short, forecast_short
 from tidecast.session import write_scratch
 
@@ -68,21 +68,20 @@ def _p_values(z: pd.Series, statistic: pd.Series, n: pd.Series, ties: pd.Series,
     return pd.Series(out, dtype=float)
 
 
-def wilcoxon(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), digits: int = 9,
-             bucket_rows: int = RANK_ROWS) -> DataFrame:
+def wilcoxon(df: DataFrame, a: str, b: str, keys: Sequence[str] = (), digits: int = 9) -> DataFrame:
     """Signed-rank test of paired values: ``(keys, n, statistic, z, p_value, reject)``.
 
-    Zero differences are dropped and tied ones share their average rank.  Differences are rounded so that
+    Unknown differences, null or NaN, and zero ones are dropped, and tied ones share their average rank.  Differences are rounded so that
     float noise does not break ties.  Equal differences are counted first, so only distinct ones are
     ranked, by running counts.  Small samples without ties or zeros get the exact p, others the normal one.
     """
     d = F.round(col_of(a) - col_of(b), digits)
-    rows = df.select(*[col_of(k) for k in keys], d.alias("_d")).filter(F.col("_d").isNotNull())
+    rows = df.select(*[col_of(k) for k in keys], d.alias("_d")).filter(F.col("_d").isNotNull() & ~F.isnan(F.col("_d").cast("double")))
     sizes = rows.groupBy(*keys, F.abs("_d").alias("_abs")).agg(
         F.count(F.lit(1)).alias("_t"), F.count_if(F.col("_d") > 0).alias("_plus"))
     zeros = sizes.filter(F.col("_abs") == 0).select(*keys, F.col("_t").alias("_zeros"))
     zeros = zeros if keys else zeros.agg(F.coalesce(F.sum("_zeros"), F.lit(0)).alias("_zeros"))
-    ranked = running_counts(sizes.filter(F.col("_abs") > 0), keys, "_abs", "_t", bucket_rows)
+    ranked = running_counts(sizes.filter(F.col("_abs") > 0), keys, "_abs", "_t")
     rank = F.col("before") + (F.col("_t") + 1) / F.lit(2.0)
     t = F.col("_t").cast("double")
     sums = ranked.groupBy(*keys).agg(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -18,7 +17,7 @@ from tidecast.operators.position import Order, with_layout, without_layout
 from tidecast.operators.var import fit_components, fit_var, forecast_var, reduce_features, squared_errors
 from tidecast.operators.windows import trailing_mse, with_lags
 from tidecast.session import write_scratch
-from tidecast.sources.writers import load_models, save_models
+from tidecast.sources import store
 
 SET = "penalty_set"
 
@@ -47,26 +46,27 @@ class LongModel:
                  "floor": self.floor, "components": self.components}
         return {k: v for k, v in named.items() if v is not None}
 
-    def save(self, path: str) -> None:
-        """Write the tables and, beside them, the settings that ``load_long`` needs."""
-        order = {"time": self.order.time, "keys": self.order.keys, "ties": self.order.ties, "bucket_seconds": self.order.bucket_seconds}
-        settings = json.dumps({"order": order, "target": self.target, "slope": self.slope, "tables": list(self.tables()),
-                               "penalties": [asdict(p) for p in self.penalties]})
-        stored = self.point.sparkSession.createDataFrame([(settings,)], "settings string")
-        save_models({**self.tables(), "settings": stored}, path)
+    def save(self, path: str) -> int:
+        """Publish the model in a store; returns the version, see ``store.publish``."""
+        settings = {"order": order_settings(self.order), "target": self.target, "slope": self.slope,
+                    "penalties": [asdict(p) for p in self.penalties]}
+        return store.publish("long", self.tables(), settings, path, self.point.sparkSession)
 
     def load(self, spark: SparkSession, path: str) -> "LongModel":
         """The model stored in a folder, see ``load_long``."""
         return load_long(spark, path)
 
 
-def load_long(spark: SparkSession, path: str) -> LongModel:
-    """A stored model, from its folder alone."""
-    known = json.loads(load_models(spark, path, ["settings"])["settings"].first()["settings"])
-    tables = {"error_var": None, "components": None, **load_models(spark, path, known["tables"])}
+def order_settings(order: Order) -> dict:
+    return {"time": order.time, "keys": order.keys, "ties": order.ties, "bucket_seconds": order.bucket_seconds}
+
+
+def load_long(spark: SparkSession, path: str, version: int | None = None) -> LongModel:
+    """A stored model, from its folder alone; by default the newest version."""
+    tables, known = store.fetch("long", path, spark, version)
     order = {k: tuple(v) if isinstance(v, list) else v for k, v in known["order"].items()}
     return LongModel(Order(**order), known["target"], slope=known["slope"],
-                     penalties=tuple(Penalties(**p) for p in known["penalties"]), **tables)
+                     penalties=tuple(Penalties(**p) for p in known["penalties"]), **{"error_var": None, "components": None, **tables})
 
 
 def fit_error_model(e2: DataFrame, order: Order, use_var: bool = True, p: int = 1

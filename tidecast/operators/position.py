@@ -9,23 +9,25 @@ small table whose running sum gives the position of the first row of every bucke
 * a sliding frame is evaluated in blocks of about ``block_rows`` rows, where a bucket is also copied to
   the neighbouring blocks whose frames reach it.
 
+A chain of such operators stores the sorted rows once: ``order_index`` returns them with their bucket and an order that
+holds the bucket table, and every operator given both starts from there.
+
 Null keys are a series like any other and null times come first.  Rows of equal time and ties are in any order.
 """
 
 from __future__ import annotations
 
-import math
+import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidecast.functions.timekeys import MICROS_PER_SECOND, epoch_days, micros
+from tidecast.functions.timekeys import MICROS_PER_SECOND, col_of, epoch_days, micros
 from tidecast.operators.attach import join_on
 from tidecast.session import write_scratch
 
 BLOCK_ROWS = 65_536
-RANK_ROWS = 1_000_000
 DAY = 86_400
 #: Buckets of a sorted table hold two to this power rows.
 BUCKET_BITS = 14
@@ -39,8 +41,9 @@ class Order:
     """How the rows of a table are ordered: by ``time`` (then ``ties``) within each value of ``keys``.
 
     ``bucket_seconds`` asks for clock buckets of that width; by default rows are cut by their place in the order.
-    ``layout`` may hold the bucket table of the rows, kept by ``with_layout`` so that several passes over
-    the same rows count them once; further keys may repeat those rows afterwards.
+    ``layout`` may hold the bucket table of the rows, kept by ``with_layout`` or ``order_index`` so that several passes
+    over the same rows count them once; further keys may repeat those rows afterwards.  Columns may be added to the
+    rows; where rows are taken out, ``filtered`` drops the table and keeps the buckets.
     """
 
     time: str
@@ -83,11 +86,40 @@ def bucketed(df: DataFrame, order: Order) -> DataFrame:
     """
     if order.bucket_seconds is not None:
         return df.withColumn("_bucket", order.bucket())
+    if "_bucket" in df.columns:  # rows of an order index
+        return df
+    if order.layout is not None:
+        raise ValueError("the rows of an order index must keep their _bucket")
     place = [*order.key_columns(), *order.columns()]
     ranged = df.repartitionByRange(*place).sortWithinPartitions(*place)
     return write_scratch(ranged.withColumn("_bucket", F.shiftright(F.monotonically_increasing_id(), BUCKET_BITS)), "ranged")
 
 
+def order_index(df: DataFrame, order: Order) -> tuple[DataFrame, Order]:
+    """Sort and store the rows once for any number of ordered operators.
+
+    Returns the stored rows with ``_bucket``, which the operators hand on, and the order with their bucket table.  The
+    last one's result may drop the column.
+    """
+    if "_bucket" in df.columns:
+        raise ValueError("the rows have a _bucket already")
+    placed = bucketed(df, replace(without_layout(order), bucket_seconds=None))
+    plain = replace(without_layout(order), bucket_seconds=None)
+    table = write_scratch(bucket_table(placed, plain), "layout")
+    longest, series = table.agg(F.max("_total"), F.count(F.when(F.col("_start") == 0, 1))).first()
+    return placed, replace(plain, layout=table, layout_keys=order.keys, longest=longest or 0, series=series)
+
+
+def filtered(order: Order) -> Order:
+    """The order for some of the rows of an index: their buckets hold, their counts don't."""
+    return without_layout(order)
+
+
+def table_of(placed: DataFrame, order: Order) -> DataFrame:
+    """The bucket table, kept or counted."""
+    return bucket_table(placed, order) if order.layout is None else order.layout
+
+
 def bucket_table(df: DataFrame, order: Order) -> DataFrame:
     """One row per series and ``_bucket``: rows in it, first position, position after the last, series total, and
     the first time and the length of the series in days.
@@ -107,9 +139,11 @@ def bucket_table(df: DataFrame, order: Order) -> DataFrame:
 def with_layout(df: DataFrame, order: Order) -> Order:
     """Count clock buckets once and keep the table, for operators that pass over the same rows repeatedly.
 
-    Unless the order says how wide they are, buckets are narrowed until ``BLOCK_ROWS`` rows fill none, or one second.
+    The rows of an order index are counted already.  Unless the order says how wide they are, buckets are narrowed until ``BLOCK_ROWS`` rows fill none, or one second.
     ``longest`` is then the number of rows of the longest series and ``series`` the number of series.
     """
+    if order.layout is not None and "_bucket" in df.columns:
+        return order
     for seconds in WIDTHS if order.bucket_seconds is None else (order.bucket_seconds,):
         clock = replace(without_layout(order), bucket_seconds=seconds)
         table = write_scratch(bucket_table(bucketed(df, clock), clock), "layout")
@@ -126,7 +160,7 @@ def without_layout(order: Order) -> Order:
 def with_position(df: DataFrame, order: Order, name: str = "pos", total: str | None = None) -> DataFrame:
     """Add the 0-based position of every row in its series, and optionally the number of rows."""
     placed = bucketed(df, order)
-    starts = bucket_table(placed, order).select(*order.keys, "_bucket", "_start", "_total")
+    starts = table_of(placed, order).select(*order.keys, "_bucket", "_start", "_total")
     inside = Window.partitionBy(*order.keys, "_bucket").orderBy(*order.columns())
     out = (join_on(placed, starts, [*order.keys, "_bucket"])
            .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1))
@@ -144,7 +178,7 @@ def with_segment(df: DataFrame, order: Order, cuts: Callable[[Column], Sequence[
     their number from the small table; only rows of the other buckets are ranked.
     """
     placed = bucketed(df, order)
-    table = bucket_table(placed, order)
+    table = table_of(placed, order)
     marks = F.array(*[c.cast("long") for c in cuts(F.col("_total"))])
     table = table.withColumn("_cuts", marks).select(
         *order.keys, "_bucket", "_start", "_cuts",
@@ -200,51 +234,45 @@ def framed(df: DataFrame, order: Order, before: int, after: int,
     return build(blocked, block.orderBy(*order.columns()), block).filter("_home").drop("_block", "_home")
 
 
-def running_counts(df: DataFrame, keys: Sequence[str], value: str, count: str,
-                   bucket_rows: int = RANK_ROWS) -> DataFrame:
+def running_counts(df: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
     """Add ``before``: the sum of ``count`` over smaller ``value``s of the same key.
 
-    ``df`` holds distinct values per key and is written once, as it is read several times.  Up to
-    ``bucket_rows`` rows one window does; beyond, values are cut at measured quantiles so that every window
-    partition stays of bounded size whatever the keys.
+    ``df`` holds distinct values per key, null and NaN not among them.  They are ordered like the rows of a series, so a
+    key with any number of values is cut into buckets of bounded size.
     """
-    df = write_scratch(df, "counts")
-    rows = df.count()
-    if rows <= bucket_rows:
-        prior = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn("before", F.coalesce(F.sum(count).over(prior), F.lit(0)).cast("long"))
-    pieces = math.ceil(2 * rows / bucket_rows)
-    edges = sorted(set(df.approxQuantile(value, [i / pieces for i in range(1, pieces)], 0.25 / pieces)))
-    bucketed = _cut_at(df, value, edges)
-    sums = bucketed.groupBy(*keys, "_piece").agg(F.sum(count).alias("_sum"))
-    prior = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    order = Order(value, tuple(keys))
+    placed = bucketed(df, order)
+    sums = placed.groupBy(*order.key_columns(), "_bucket").agg(F.sum(count).alias("_sum"))
+    prior = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(prior), F.lit(0))).drop("_sum")
-    inside = Window.partitionBy(*keys, "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (join_on(bucketed, sums, [*keys, "_piece"])
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(col_of(value)).rowsBetween(Window.unboundedPreceding, -1)
+    return (join_on(placed, sums, [*keys, "_bucket"])
             .withColumn("before", (F.col("_base") + F.coalesce(F.sum(count).over(inside), F.lit(0))).cast("long"))
             .select(*df.columns, "before"))
 
 
-def _cut_at(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
+#: Modulus of the bits that decide an exchange, and rounds of the keyed shuffle.
+SHUFFLE_PRIME, SHUFFLE_ROUNDS = (1 << 31) - 1, 32
 
-    splits = [-math.inf, *edges, math.inf]
-    cut = Bucketizer(splits=splits, inputCol="_cut", outputCol="_piece")
-    out = cut.transform(df.withColumn("_cut", F.col(value).cast("double")))
-    return out.withColumn("_piece", F.col("_piece").cast("int")).drop("_cut")
 
+def shuffle_keys(seed: int, rounds: int = SHUFFLE_ROUNDS) -> list[tuple[int, int, int]]:
+    """Three numbers below the modulus per round."""
+    draw = random.Random(seed)
+    return [(draw.randrange(SHUFFLE_PRIME), draw.randrange(1, SHUFFLE_PRIME), draw.randrange(SHUFFLE_PRIME)) for _ in range(rounds)]
 
-def rank_by_hash(df: DataFrame, order: Order, seed: int, name: str = "rank", bits: int = 12) -> DataFrame:
-    """A reproducible shuffle: positions in the order of a hash of the row's time and ties.
 
-    The leading bits of the hash cut the series into pieces of nearly equal size.
+def partner(position: Column, total: Column, seed: int) -> Column:
+    """A keyed shuffle of 0 … total-1 whose every value is computed by itself: no hash ranks, no sort.
+
+    In each round x and (key - x) mod total are exchanged or not, as a bit of the greater of the two says; both get the
+    same bit, so every round, and the whole, is a bijection whatever the total.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *order.columns()))
-    hashed = hashed.withColumn("_piece", F.shiftright("_hash", 64 - bits))
-    sizes = hashed.groupBy(*order.keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    prior = Window.partitionBy(*order.keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(prior), F.lit(0))).drop("_n")
-    inside = Window.partitionBy(*order.keys, "_piece").orderBy("_hash", *order.columns())
-    return (join_on(hashed, sizes, [*order.keys, "_piece"])
-            .withColumn(name, F.col("_base") + F.row_number().over(inside) - 1)
-            .select(*[F.col(f"`{c}`") for c in df.columns], name))
+    keys = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip("kms", key)]) for key in shuffle_keys(seed)])
+
+    def turn(x: Column, key: Column) -> Column:
+        other = F.pmod(key["k"] - x, total)
+        top = F.greatest(x, other) % SHUFFLE_PRIME
+        mixed = (top * key["m"] + key["s"]) % SHUFFLE_PRIME
+        return F.when((mixed * mixed) % SHUFFLE_PRIME % 2 == 1, other).otherwise(x)
+
+    return F.aggregate(keys, position.cast("long"), turn)

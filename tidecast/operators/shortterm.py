@@ -17,9 +17,10 @@ from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach, join_on
 from tidecast.operators.decompose import dot
 from tidecast.operators.gram import blocked_sums, by_key, key_schema, ridge, stack
-from tidecast.operators.position import Order, framed, rank_by_hash, with_layout, with_position
+from tidecast.operators.position import Order, framed, order_index, partner, with_position
 from tidecast.operators.windows import trailing_columns
 from tidecast.session import write_scratch
+from tidecast.sources import store
 
 DAY_ROWS = 24
 OFFSETS = (0, 1, 2, 24, 144)
@@ -50,6 +51,17 @@ class ShortModel:
         """Terms a variable contributes."""
         return len(self.offsets()) + len(self.widths())
 
+    def save(self, path: str) -> int:
+        """Publish the model in a store; returns the version, see ``store.publish``."""
+        settings = {n: getattr(self, n) for n in ("target", "predictors", "length", "horizon", "day_rows")}
+        return store.publish("short", {"members": self.members}, settings, path, self.members.sparkSession)
+
+
+def load_short(spark: SparkSession, path: str, version: int | None = None) -> ShortModel:
+    """A stored model, from its folder alone; by default the newest version."""
+    tables, known = store.fetch("short", path, spark, version)
+    return ShortModel(tables["members"], **{**known, "predictors": tuple(known["predictors"])})
+
 
 def calendar_terms(time: str) -> str:
     """Sine and cosine pairs of the hour, the weekday and the day of the year, as SQL."""
@@ -81,7 +93,8 @@ def samples(df: DataFrame, spec: ShortModel, order: Order, sets: Sequence[Sequen
         return F.expr("array(" + ", ".join(t for c in columns for t in (
             *[f"_lag{o}[{names.index(c)}]" for o in spec.offsets()], *[f"`_m{w}_{c}`" for w in spec.widths()])) + ")")
 
-    return rows.select(*order.key_columns(), *order.columns(), F.col("_ahead").alias("target_time"),
+    bucket = ["_bucket"] if "_bucket" in df.columns else []
+    return rows.select(*order.key_columns(), *order.columns(), *bucket, F.col("_ahead").alias("target_time"),
                        F.col("_actual").cast("double").alias("actual"),
                        *[terms(s).alias(f"x{i}") for i, s in enumerate(sets)])
 
@@ -141,11 +154,11 @@ def fit_short(df: DataFrame, order: Order, target: str, predictors: Sequence[str
         F.array(*[F.min(col_of(c)).cast("double") for c in spec.columns]).alias("lows"),
         F.array(*[(F.max(col_of(c)) - F.min(col_of(c))).cast("double") for c in spec.columns]).alias("spans"))
     base = df.select(*order.key_columns(), *order.columns(), *[col_of(c) for c in spec.columns])
-    order = with_layout(base, order)
+    base, order = order_index(base, order)
     rows = attach(samples(base, spec, order, [spec.columns], block_rows), ranges, order.keys)
     y = F.coalesce(F.try_divide(F.col("actual") - F.col("lows")[0], F.col("spans")[0]), F.lit(0.0))
     nan = F.lit(float("nan"))
-    rows = rows.select(*order.key_columns(), *order.columns(),
+    rows = rows.select(*order.key_columns(), *order.columns(), "_bucket",
                        F.transform(_design(spec, "x0"), lambda v: F.coalesce(v, nan)).alias("_x"),
                        F.coalesce(F.when(F.col("actual").isNotNull(), y), nan).alias("_y"),
                        F.xxhash64(F.lit(seed), *order.columns()).alias("_h"))
@@ -194,11 +207,11 @@ def forecast_short(df: DataFrame, model: ShortModel, order: Order, expected_rows
 
 
 def permuted(df: DataFrame, columns: Sequence[str], order: Order, seed: int) -> DataFrame:
-    """Add ``perm_column``: the values of another row of the series, a reproducible shuffle."""
-    placed = with_position(df, order, "_pos")
-    drawn = rank_by_hash(df, order, seed, "_pos").select(*order.keys, "_pos",
-                                                         *[col_of(c).alias(f"perm_{c}") for c in columns])
-    return join_on(placed, drawn, [*order.keys, "_pos"]).drop("_pos")
+    """Add ``perm_column``: the values of another row of the series, whose position is computed (``position.partner``)."""
+    placed = with_position(df, order, "_pos", "_rows")
+    placed = placed.withColumn("_other", partner(F.col("_pos"), F.col("_rows"), seed))
+    drawn = placed.select(*order.key_columns(), F.col("_pos").alias("_other"), *[col_of(c).alias(f"perm_{c}") for c in columns])
+    return join_on(placed, drawn, [*order.keys, "_other"]).drop("_pos", "_rows", "_other")
 
 
 def permutation_importance(df: DataFrame, model: ShortModel, order: Order, seed: int = 11,
@@ -209,7 +222,8 @@ def permutation_importance(df: DataFrame, model: ShortModel, order: Order, seed:
     one pass gives the error for every variable.
     """
     check_columns(df, model, order)
-    both = permuted(df, model.columns, order, seed)
+    rows, order = order_index(df, order)  # sorted and stored once, for the positions and the windows
+    both = permuted(rows, model.columns, order, seed)
     shuffled = [f"perm_{c}" for c in model.columns]
     rows = attach(samples(both, model, order, [model.columns, shuffled], block_rows), model.members, order.keys)
     rows = rows.withColumn("_x", _design(model, "x0")).withColumn("_y", _design(model, "x1"))

@@ -15,9 +15,13 @@ from tidecast.operators.gram import blocked_sums, by_key, key_schema, stack
 from tidecast.operators.position import Order, framed
 
 
+#: Models that are advanced together.
+TOGETHER = 256
+
+
 def _moment_sums(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
     x, shift = cols["_x"], cols["_c"][0]
-    d = x[~np.isnan(x).any(axis=1)] - shift
+    d = x[np.isfinite(x).all(axis=1)] - shift
     return [{"n": len(d), "centre": shift, "s": d.sum(axis=0), "ss": (d.T @ d).ravel()}]
 
 
@@ -133,23 +137,34 @@ def fit_var(df: DataFrame, z: str, order: Order, p: int = 1, block_rows: int | N
 def forecast_var(models: DataFrame, keys: Sequence[str], steps: int | str) -> DataFrame:
     """Run the recursion; ``(keys, step, value)`` of the first variable for steps 1, 2, …
 
-    ``steps`` is a number or a column of the model table.  Works on model rows alone, without a shuffle.
+    ``steps`` is a number or a column of the model table.  Works on model rows alone, without a shuffle; models of equal
+    shape are advanced together.
     """
     rows = models.select(*keys, "n_lags", "coefs", "context",
                          (F.lit(steps) if isinstance(steps, int) else col_of(steps)).cast("int").alias("_steps"))
 
     def run(batches):
         for pdf in batches:
-            for _, m in pdf.iterrows():
-                coefs = np.array([np.asarray(r, dtype=float) for r in m["coefs"]])
-                state = [np.asarray(v, dtype=float) for v in m["context"]]
-                out = np.empty(m["_steps"])
-                for t in range(m["_steps"]):
-                    new = coefs[:, 0] + coefs[:, 1:] @ np.concatenate(state[:m["n_lags"]])
-                    state = [new, *state[:m["n_lags"] - 1]]
-                    out[t] = new[0]
-                yield pd.DataFrame({**{k: m[k] for k in keys}, "step": np.arange(1, len(out) + 1, dtype="int32"),
-                                    "value": out})
+            shapes = pdf.groupby([pdf["coefs"].map(len), "n_lags"], sort=False).indices
+            for (k, p), places in shapes.items():
+                for at in np.array_split(places, max(1, len(places) // TOGETHER)):
+                    yield from together(pdf.iloc[at], int(k), int(p))
+
+    def together(models: pd.DataFrame, k: int, p: int):
+        """Models of one shape: one product per step for all of them; longer forecasts go on alone."""
+        models = models.sort_values("_steps", ascending=False, kind="stable")
+        steps = models["_steps"].to_numpy()
+        coefs = np.array([[np.asarray(r, dtype=float) for r in c] for c in models["coefs"]]).reshape(len(models), k, 1 + k * p)
+        state = np.array([np.concatenate([np.asarray(v, dtype=float) for v in c][:p]) for c in models["context"]]).reshape(len(models), k * p)
+        out = np.empty((max(int(steps[0]), 0), len(models)))
+        for t in range(len(out)):
+            live = int(np.searchsorted(-steps, -t, side="left"))  # models that go further than step t
+            new = coefs[:live, :, 0] + np.matmul(coefs[:live, :, 1:], state[:live, :, None])[:, :, 0]
+            state[:live] = np.concatenate([new, state[:live, :k * (p - 1)]], axis=1)
+            out[t, :live] = new[:, 0]
+        for i in range(len(models)):
+            n = max(int(steps[i]), 0)
+            yield pd.DataFrame({**{c: [models[c].iloc[i]] * n for c in keys}, "step": np.arange(1, n + 1, dtype="int32"), "value": out[:n, i]})
 
     return rows.mapInPandas(run, key_schema(models, keys) + "step int, value double")
 

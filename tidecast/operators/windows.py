@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidecast.functions.timekeys import col_of
 from tidecast.operators.attach import attach, join_on
-from tidecast.operators.position import Order, bucketed, framed, with_segment
+from tidecast.operators.position import Order, bucketed, filtered, framed, order_index, with_segment
 
 SHORT_FRAME = 256
 
@@ -23,12 +23,14 @@ def _outlier_limit(p: float, side: str) -> float:
 
 
 def known_value(y: str) -> Column:
-    """The value as a double; NaN is unknown, as null is."""
-    return F.nanvl(col_of(y).cast("double"), F.lit(None).cast("double"))
+    """The value as a double; NaN and the infinities are unknown, as null is."""
+    value = col_of(y).cast("double")
+    return F.when(F.abs(value) < float("inf"), value)  # NaN counts as greater than any number
 
 
-def trailing_stats(rows: DataFrame, order: Order, y: str, n: int, name: str) -> DataFrame:
-    """Add count, mean and sum of squared deviations of the known values of the last ``n`` rows of a block.
+def trailing_stats(rows: DataFrame, order: Order, wanted: dict[str, str], n: int) -> DataFrame:
+    """Add count, mean and sum of squared deviations of the known values of the last ``n`` rows of a block, for all columns
+    of a width in the same windows; ``wanted`` maps a name to a column.
 
     Blocks are cut into chunks of n rows.  The last n rows are the tail of a chunk and the head of the next, whose
     statistics are running sums from the chunk's ends; so no value outside the frame ever enters a sum, and
@@ -36,33 +38,38 @@ def trailing_stats(rows: DataFrame, order: Order, y: str, n: int, name: str) ->
     """
     names = rows.columns
     ordered = Window.partitionBy(*order.keys, "_block").orderBy(*order.columns())
-    rows = rows.withColumns({"_known": known_value(y), "_at": F.row_number().over(ordered) - 1})
+    known = {name: f"_known_{name}" for name in wanted}
+    rows = rows.withColumns({**{known[name]: known_value(y) for name, y in wanted.items()}, "_at": F.row_number().over(ordered) - 1})
     rows = rows.withColumn("_chunk", F.floor(F.col("_at") / n))
     chunk = Window.partitionBy(*order.keys, "_block", "_chunk")
     for side, at in (("head", F.col("_at")), ("tail", F.col("_at").desc())):
         running = chunk.orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
         whole = chunk.orderBy(at).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        rows = rows.withColumn(f"_{side}_base", F.first("_known", ignorenulls=True).over(whole))
-        off = F.col("_known") - F.col(f"_{side}_base")
-        rows = rows.withColumns({f"_{side}_n": F.count("_known").over(running), f"_{side}_s": F.sum(off).over(running),
-                                 f"_{side}_q": F.sum(off * off).over(running)})
+        rows = rows.withColumns({f"_{side}_base_{x}": F.first(k, ignorenulls=True).over(whole) for x, k in known.items()})
+        off = {x: F.col(k) - F.col(f"_{side}_base_{x}") for x, k in known.items()}
+        rows = rows.withColumns({c: v for x, k in known.items() for c, v in (
+            (f"_{side}_n_{x}", F.count(k).over(running)), (f"_{side}_s_{x}", F.sum(off[x]).over(running)),
+            (f"_{side}_q_{x}", F.sum(off[x] * off[x]).over(running)))})
     inside = F.pmod(F.col("_at") + 1, F.lit(n)) != 0  # else the frame is a whole chunk
-    rows = rows.withColumns({f"_before_{c}": F.when(inside, F.lag(f"_tail_{c}", n - 1).over(ordered)) for c in ("base", "n", "s", "q")})
+    rows = rows.withColumns({f"_before_{c}_{x}": F.when(inside, F.lag(f"_tail_{c}_{x}", n - 1).over(ordered))
+                             for x in wanted for c in ("base", "n", "s", "q")})
 
-    def of(side: str) -> tuple[Column, Column, Column]:
-        count = F.coalesce(F.col(f"_{side}_n"), F.lit(0)).cast("double")
+    def of(side: str, x: str) -> tuple[Column, Column, Column]:
+        count = F.coalesce(F.col(f"_{side}_n_{x}"), F.lit(0)).cast("double")
         some = F.when(count > 0, count)
-        mean = F.coalesce(F.col(f"_{side}_base") + F.col(f"_{side}_s") / some, F.lit(0.0))
-        squares = F.col(f"_{side}_q") - F.col(f"_{side}_s") * F.col(f"_{side}_s") / some
+        mean = F.coalesce(F.col(f"_{side}_base_{x}") + F.col(f"_{side}_s_{x}") / some, F.lit(0.0))
+        squares = F.col(f"_{side}_q_{x}") - F.col(f"_{side}_s_{x}") * F.col(f"_{side}_s_{x}") / some
         return count, mean, F.coalesce(F.greatest(squares, F.lit(0.0)), F.lit(0.0))
 
-    (n1, m1, q1), (n2, m2, q2) = of("before"), of("head")
-    count = F.when(n1 + n2 > 0, n1 + n2)
-    apart = F.when((n1 > 0) & (n2 > 0), m2 - m1).otherwise(0.0)
-    mean = F.when(n1 > 0, m1 + apart * n2 / count).otherwise(m2)
-    rows = rows.withColumns({f"{name}_n": (n1 + n2).cast("long"), f"{name}_mean": F.when(count > 0, mean),
-                             f"{name}_q": F.when(count > 0, q1 + q2 + apart * apart * n1 * n2 / count)})
-    return rows.select(*[col_of(c) for c in names], f"{name}_n", f"{name}_mean", f"{name}_q")
+    out = []
+    for x in wanted:
+        (n1, m1, q1), (n2, m2, q2) = of("before", x), of("head", x)
+        count = F.when(n1 + n2 > 0, n1 + n2)
+        apart = F.when((n1 > 0) & (n2 > 0), m2 - m1).otherwise(0.0)
+        mean = F.when(n1 > 0, m1 + apart * n2 / count).otherwise(m2)
+        out += [(n1 + n2).cast("long").alias(f"{x}_n"), F.when(count > 0, mean).alias(f"{x}_mean"),
+                F.when(count > 0, q1 + q2 + apart * apart * n1 * n2 / count).alias(f"{x}_q")]
+    return rows.select(*[col_of(c) for c in names], *out)
 
 
 def _flag_frame(rows: DataFrame, window: WindowSpec, order: Order, y: str, half: int, p: float, side: str) -> DataFrame:
@@ -72,7 +79,7 @@ def _flag_frame(rows: DataFrame, window: WindowSpec, order: Order, y: str, half:
     """
     names = rows.columns
     n = 2 * half + 1
-    rows = trailing_stats(rows, order, y, n, "_frame")
+    rows = trailing_stats(rows, order, {"_frame": y}, n)
     v = col_of(y).cast("double")
     rows = rows.withColumn("_chg", F.when(v != F.lag(v).over(window), 1).otherwise(0))
     rows = rows.withColumns({"_moves": F.sum("_chg").over(window.rowsBetween(Window.unboundedPreceding, 0)),
@@ -93,15 +100,22 @@ def detect_outliers(df: DataFrame, y: str, order: Order, n: int = 1000, p: float
     """Flag values that are unlikely under a normal fitted to the n+1 known rows around them.
 
     ``side='both'`` flags either tail beyond p/2; ``side='low'`` flags the low tail beyond p.  The first
-    and last n/2 known rows and frames without spread are never flagged, nor are nulls and NaN.
+    and last n/2 known rows and frames without spread are never flagged, nor are nulls and NaN.  An infinite value is
+    flagged on its side wherever it stands, and enters no frame.
     """
-    half = n // 2
-    known = framed(df.filter(known_value(y).isNotNull()), order, half + 1, half,
-                   lambda rows, w, block: _flag_frame(rows, w, order, y, half, p, side), block_rows)
-    unknown = df.filter(known_value(y).isNull()).withColumn("is_outlier", F.lit(False))
+    half, plain = n // 2, filtered(order)
+    known = framed(df.filter(known_value(y).isNotNull()), plain, half + 1, half,
+                   lambda rows, w, block: _flag_frame(rows, w, plain, y, half, p, side), block_rows)
+    unknown = df.filter(known_value(y).isNull()).withColumn("is_outlier", _infinite(y, side))
     return known.unionByName(unknown)
 
 
+def _infinite(y: str, side: str) -> Column:
+    """Whether the value is infinite, on the low side or either."""
+    value = col_of(y).cast("double")
+    return F.coalesce(value.isin(float("-inf")) if side == "low" else value.isin(float("-inf"), float("inf")), F.lit(False))
+
+
 def remove_outliers(df: DataFrame, columns: Sequence[str], order: Order, n: int = 1000, p: float = 0.001,
                     block_rows: int | None = None) -> DataFrame:
     """Replace flagged values by null in every given column, all columns in one pass over the long form.
@@ -109,11 +123,9 @@ def remove_outliers(df: DataFrame, columns: Sequence[str], order: Order, n: int
     Only the flagged cells travel back to the wide table.
     """
     ids = [*order.keys, order.time, *order.ties]
-    long = df.unpivot(ids, list(columns), "variable", "_y").filter(known_value("_y").isNotNull())
+    long = df.unpivot(ids, list(columns), "variable", "_y")
     by_variable = Order(order.time, (*order.keys, "variable"), order.ties, order.bucket_seconds)
-    half = n // 2
-    flagged = (framed(long, by_variable, half + 1, half,
-                      lambda rows, w, block: _flag_frame(rows, w, by_variable, "_y", half, p, "both"), block_rows)
+    flagged = (detect_outliers(long, "_y", by_variable, n, p, "both", block_rows)
                .filter("is_outlier").groupBy(*ids).agg(F.collect_set("variable").alias("_flagged")))
     joined = join_on(df, flagged, ids, "left")
     cells = [F.when(~F.coalesce(F.array_contains("_flagged", c), F.lit(False)), col_of(c)).alias(c)
@@ -125,7 +137,7 @@ def trailing_columns(rows: DataFrame, order: Order, wanted: dict[str, tuple[str,
                      ) -> DataFrame:
     """Add means of the last w rows, null unless all w are there and known; ``wanted`` maps a name to (column, w).
 
-    ``rows`` are halo blocks of ``order``; NaN is unknown.  Frames up to ``short`` rows are averaged directly, longer
+    ``rows`` are halo blocks of ``order``; NaN and the infinities are unknown.  Frames up to ``short`` rows are averaged directly, longer
     ones by ``trailing_stats``, whose cost does not grow with w.  Either way only the rows of a frame decide.
     """
     names = rows.columns
@@ -133,13 +145,14 @@ def trailing_columns(rows: DataFrame, order: Order, wanted: dict[str, tuple[str,
     ordered += " ORDER BY " + ", ".join(f"`{c}`" for c in (order.time, *order.ties))
     direct = {n: (y, w) for n, (y, w) in wanted.items() if w <= short}
     if direct:
-        known, frame = "nanvl(cast(`{}` AS double), CAST(NULL AS double))", "OVER ({} ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
+        known, frame = "CASE WHEN abs(cast(`{0}` AS double)) < double('Infinity') THEN cast(`{0}` AS double) END", "OVER ({} ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
         rows = rows.selectExpr("*", *[
             f"CASE WHEN count({known.format(y)}) {frame.format(ordered, w - 1)} = {w} THEN avg({known.format(y)}) {frame.format(ordered, w - 1)} END AS `{n}`"
             for n, (y, w) in direct.items()])
-    for i, (n, (y, w)) in enumerate((n, yw) for n, yw in wanted.items() if n not in direct):
-        rows = trailing_stats(rows, order, y, w, f"_long{i}")
-        rows = rows.withColumn(n, F.when(F.col(f"_long{i}_n") == w, F.col(f"_long{i}_mean")))
+    for w in sorted({w for n, (_, w) in wanted.items() if n not in direct}):  # all columns of a width together
+        wide = {n: y for n, (y, width) in wanted.items() if n not in direct and width == w}
+        rows = trailing_stats(rows, order, {f"_long_{n}": y for n, y in wide.items()}, w)
+        rows = rows.withColumns({n: F.when(F.col(f"_long_{n}_n") == w, F.col(f"_long_{n}_mean")) for n in wide})
     return rows.select(*[f"`{c}`" for c in (*names, *wanted)])
 
 
@@ -151,10 +164,12 @@ def trailing_mean(df: DataFrame, y: str, w: int, order: Order, name: str = "trai
 
 def trailing_mse(df: DataFrame, y: str, w: int, order: Order, block_rows: int | None = None) -> DataFrame:
     """Trailing mean and, over the rows that have one, the trailing mean of its squared error."""
-    smoothed = trailing_mean(df, y, w, order, "trailing_mean", block_rows)
+    rows, indexed = (df, order) if "_bucket" in df.columns else order_index(df, order)  # both means start from one sort
+    smoothed = trailing_mean(rows, y, w, indexed, "trailing_mean", block_rows)
     known = smoothed.filter(F.col("trailing_mean").isNotNull()).withColumn(
         "_sq", F.pow(F.col("trailing_mean") - col_of(y), F.lit(2)))
-    return trailing_mean(known, "_sq", w, order, "trailing_mse", block_rows).drop("_sq")
+    out = trailing_mean(known, "_sq", w, filtered(indexed), "trailing_mse", block_rows).drop("_sq")
+    return out if "_bucket" in df.columns else out.drop("_bucket")
 
 
 def constant_baseline(df: DataFrame, y: str, order: Order, w: int = 8760,

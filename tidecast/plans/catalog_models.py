@@ -14,6 +14,7 @@ from tidecast.plans import evaluate as reports, prepare
 from tidecast.plans.registry import (
     HOURLY_SQL, KEYED_SQL, TYPES, daily, hourly, keyed, query, rounded, table, wide)
 from tidecast.session import scratch_path, write_scratch
+from tidecast.sources import store
 
 HOUR = Order("time")
 TYPED = Order("time", ("event_type",))
@@ -180,6 +181,36 @@ def stored_models(spark, folder):
     return forecast.forecast_long(forecast.load_long(spark, path), 365, DAY_SECONDS)
 
 
+@query("stored_line_models", f"WITH {LINE_SQL} SELECT event_type, time + INTERVAL 720 HOUR AS time, "
+       "round(a + b * (epoch(time) + 2592000 - t0) / span, 4) AS yhat FROM hk JOIN line USING (event_type) JOIN ends USING (event_type)")
+def stored_line_models(spark, folder):
+    """Published, replaced by a newer version, and fetched by number from the path alone."""
+    df, path = gapped(spark, folder), scratch_path(spark, "store")
+    version = store.publish("decomposition", {"models": straight_lines(df)}, {}, path, spark)
+    store.publish("decomposition", {"models": straight_lines(df.withColumn("y", F.col("y") + 1))}, {}, path, spark)
+    models = store.fetch("decomposition", path, spark, version)[0]["models"]
+    later = df.select("event_type", F.timestamp_add("HOUR", F.lit(720), F.col("time")).alias("time"))
+    return rounded(decompose.predict_decomposition(later, models, "time", ["event_type"]).select("event_type", "time", "yhat"), 4)
+
+
+LONG_SQL = f"""{KEYED_SQL}, ends AS (SELECT event_type, min(epoch(time)) AS t0, max(epoch(time)) - min(epoch(time)) AS span, max(time) AS last FROM hk GROUP BY 1),
+line AS (SELECT event_type, regr_intercept(y, (epoch(time) - t0) / span) AS a, regr_slope(y, (epoch(time) - t0) / span) AS b
+  FROM hk JOIN ends USING (event_type) GROUP BY 1),
+res AS (SELECT event_type, time, y - (a + b * (epoch(time) - t0) / span) AS r FROM hk JOIN ends USING (event_type) JOIN line USING (event_type)),
+lagged AS (SELECT event_type, time, r, lag(r) OVER (PARTITION BY event_type ORDER BY time) AS l FROM res),
+ar AS (SELECT event_type, regr_intercept(r, l) AS c, regr_slope(r, l) AS w, arg_max(r, time) AS r FROM lagged GROUP BY 1),
+long AS (SELECT event_type, last + to_hours(h) AS time, h::INTEGER AS step,
+  a + b * (epoch(last) + 3600 * h - t0) / span + pow(w, h) * r + c * (1 - pow(w, h)) / (1 - w) AS p
+  FROM ends JOIN line USING (event_type) JOIN ar USING (event_type), range(1, 337) AS steps(h))"""
+
+
+@query("straight_long_forecast", f"WITH {LONG_SQL} SELECT event_type, time, step, round(p, 2) AS point_forecast FROM long")
+def straight_long_forecast(spark, folder):
+    """A line and an autoregression of what it leaves, for two weeks."""
+    model = forecast.fit_long(stored(keyed(spark, folder)), TYPED, "y", penalties=[STRAIGHT], minimum_error=1.0)
+    return rounded(forecast.forecast_long(model, 336).select("event_type", "time", "step", "point_forecast"), 2)
+
+
 @query("short_forecast")
 def short_forecast(spark, folder):
     df = filled(spark, folder)

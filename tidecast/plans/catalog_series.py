@@ -8,7 +8,8 @@ from tidecast.functions import cells, timekeys
 from tidecast.operators import align, describe, windows
 from tidecast.operators.attach import attach
 from tidecast.operators.evaluate import metrics
-from tidecast.operators.position import Order, fit_bucket, with_position
+from tidecast.operators.position import SHUFFLE_PRIME, Order, fit_bucket, order_index, shuffle_keys, with_position
+from tidecast.operators.shortterm import permuted
 from tidecast.plans.prepare import one_hot
 from tidecast.plans.registry import (
     DAILY_SQL, HOURLY_SQL, KEYED_SQL, TYPES, WIDE_SQL, daily, hourly, keyed, query, rounded, table, wide)
@@ -368,3 +369,55 @@ def time_texts(spark, folder):
     o = table(spark, folder, "orders")
     return o.select("o_orderkey", F.year("o_orderdate").alias("year"), timekeys.hour_key("o_orderdate").alias("hour_text"),
                     timekeys.month_key("o_orderdate").alias("month_text"))
+
+
+@query("ordered_chain", f"""WITH {KEYED_SQL}, p AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY event_type) AS n,
+  lag(y) OVER w AS y_lag1, lag(y, 2) OVER w AS y_lag2, CASE WHEN count(y) OVER m = 24 THEN avg(y) OVER m END AS mean
+  FROM hk WINDOW w AS (PARTITION BY event_type ORDER BY time), m AS (PARTITION BY event_type ORDER BY time ROWS BETWEEN 23 PRECEDING AND CURRENT ROW))
+SELECT event_type, time, y, pos, round(y_lag1, 6) AS y_lag1, round(y_lag2, 6) AS y_lag2, round(mean, 6) AS mean, pos >= n - ceil(n * 0.1) AS is_holdout FROM p""")
+def ordered_chain(spark, folder):
+    rows, order = order_index(keyed(spark, folder), TYPED)  # sorted and stored once for all four operators
+    rows = with_position(rows, order)
+    rows = windows.with_lags(rows, ["y"], 2, order)
+    rows = windows.trailing_mean(rows, "y", 24, order, "mean")
+    return rounded(windows.split_holdout(rows, order, 0.1).drop("_bucket"))
+
+
+@query("permuted_values", f"""WITH {KEYED_SQL}, p AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY time) - 1 AS pos,
+  count(*) OVER (PARTITION BY event_type) AS n FROM hk),
+s AS (SELECT *, list_reduce(list_prepend({{'x': pos, 'n': n, 'k': 0::BIGINT, 'm': 0::BIGINT, 's': 0::BIGINT}}, list_transform({[list(k) for k in shuffle_keys(11)]},
+    lambda k: {{'x': 0::BIGINT, 'n': n, 'k': k[1]::BIGINT, 'm': k[2]::BIGINT, 's': k[3]::BIGINT}})),
+  lambda a, b: {{'x': CASE WHEN ((greatest(a.x, (b.k - a.x) % a.n + CASE WHEN (b.k - a.x) % a.n < 0 THEN a.n ELSE 0 END) % {SHUFFLE_PRIME} * b.m + b.s) % {SHUFFLE_PRIME})
+      * ((greatest(a.x, (b.k - a.x) % a.n + CASE WHEN (b.k - a.x) % a.n < 0 THEN a.n ELSE 0 END) % {SHUFFLE_PRIME} * b.m + b.s) % {SHUFFLE_PRIME}) % {SHUFFLE_PRIME} % 2 = 1
+    THEN (b.k - a.x) % a.n + CASE WHEN (b.k - a.x) % a.n < 0 THEN a.n ELSE 0 END ELSE a.x END, 'n': a.n, 'k': b.k, 'm': b.m, 's': b.s}}).x AS other FROM p)
+SELECT s.event_type, s.time, s.y, q.y AS perm_y FROM s JOIN p q ON q.event_type = s.event_type AND q.pos = s.other""")
+def permuted_values(spark, folder):
+    return permuted(keyed(spark, folder), ["y"], TYPED, 11)
+
+
+_ODD_SQL = "o AS (SELECT event_type, time, CASE WHEN hour(time) = 3 AND day(time) = 5 THEN 'Infinity'::DOUBLE WHEN hour(time) = 7 AND day(time) = 9 THEN 'NaN'::DOUBLE ELSE y END AS y FROM hk)"
+
+
+def _with_odd_values(spark, folder) -> DataFrame:
+    odd = F.when((F.hour("time") == 3) & (F.dayofmonth("time") == 5), float("inf")).when((F.hour("time") == 7) & (F.dayofmonth("time") == 9), float("nan"))
+    return keyed(spark, folder).withColumn("y", odd.otherwise(F.col("y")))
+
+
+def _means_sql(w: int) -> str:
+    frame = f"OVER (PARTITION BY event_type ORDER BY time ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count(v) {frame} = {w} THEN round(avg(v) {frame}, 5) END AS mean{w}"
+
+
+@query("means_with_odd_values", f"WITH {KEYED_SQL}, {_ODD_SQL}, f AS (SELECT event_type, time, CASE WHEN isfinite(y) THEN y END AS v FROM o) "
+       f"SELECT event_type, time, {_means_sql(24)}, {_means_sql(256)}, {_means_sql(300)} FROM f")
+def means_with_odd_values(spark, folder):
+    rows, order = order_index(_with_odd_values(spark, folder), TYPED)
+    for w in (24, 256, 300):
+        rows = windows.trailing_mean(rows, "y", w, order, f"mean{w}")
+    return rounded(rows.drop("_bucket", "y"), 5)
+
+
+@query("quartiles_with_odd_values", f"WITH {KEYED_SQL}, {_ODD_SQL} SELECT event_type, round(quantile_cont(y, 0.25), 6) AS q0, round(quantile_cont(y, 0.5), 6) AS q1, "
+       "round(quantile_cont(y, 0.75), 6) AS q2 FROM o WHERE NOT isnan(y) GROUP BY 1")
+def quartiles_with_odd_values(spark, folder):
+    return rounded(describe.quantiles(_with_odd_values(spark, folder), "y", (0.25, 0.5, 0.75), ["event_type"]))

@@ -44,12 +44,13 @@ def _payload_rows(spark: SparkSession, path: str | Sequence[str], value: str, mu
     """
     schema = f"response struct<data: array<struct<period: string, `{value}`: string>>>"
     pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    return pages.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("response.data").alias("_at", "_row")).select(
-        "_file", "_at", F.col("_row.period").alias("period"), col_of("_row").getField(value).alias("value"))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")]
+    rows = pages.select(F.struct(*place).alias("_file"), F.posexplode("response.data").alias("_at", "_row"))
+    return rows.select("_file", "_at", F.col("_row.period").alias("period"), col_of("_row").getField(value).alias("value"))
 
 
 def _first_by_place(rows: DataFrame, key: str) -> DataFrame:
-    """First row per key in file, then place order."""
+    """First row per key in the order of files, of pages in a file and of places in a page."""
     kept = first_per_key(rows, [key], [F.col("_file"), F.col("_at"), F.col("value")])
     return kept.drop("_file", "_at")
 

@@ -1,10 +1,8 @@
-"""Writers of datasets and reports, and the store of fitted models."""
+"""Writers of datasets and reports."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame
 
 from tidecast.functions.timekeys import month_key
 from tidecast.sources.readers import MONTH_FOLDER
@@ -24,13 +22,3 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", time: str | No
         keyed.hint("rebalance", MONTH_FOLDER).write.mode(mode).partitionBy(MONTH_FOLDER).parquet(path)
     else:
         df.write.mode(mode).format(fmt).save(path)
-
-
-def save_models(tables: Mapping[str, DataFrame], path: str, mode: str = "error") -> None:
-    """Write every model table of a fitted pipeline under one folder."""
-    for name, df in tables.items():
-        df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
-
-
-def load_models(spark: SparkSession, path: str, names) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path.rstrip('/')}/{name}") for name in names}
