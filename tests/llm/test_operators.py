@@ -428,6 +428,39 @@ def test_surrogates_of_capitals_and_bank_codes(spark, tmp_path):
     assert re.fullmatch("[0-9a-f]{40}", new[14]) and new[14] != texts[14]
 
 
+def luhn(digits):
+    total = sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits))))
+    return total % 10 == 0
+
+
+def test_surrogates_keep_people_numbers_and_check_digits(spark, tmp_path):
+    """A plain reading of the new texts: one surrogate per entity, one entity per surrogate, valid check digits."""
+    people = ["Mr. John Smith", "Dr. John Smith", "Mrs. Mary Smith", "Prof. Mary Jones", "Dr. Kim Lee", "Mr. Kim Park", "Mrs. Kim Park"]
+    cards = ["4785 3805 9239 1139", "5500-0000-0000-0004", "3782 822463 10005"]
+    ibans = ["GB29 NWBK 6016 1331 9268 19", "DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606"]
+    mails = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    phones = ["+1 (743) 555-3824", "743-555-3824", "(743) 555-3824", "+44 20 7946 0958", "743-555-3825"]
+    texts = [f"{x} ." for x in [*people, *cards, *ibans, *mails, *phones]]
+    docs = documents(spark, tmp_path, [(i, t, None, None) for i, t in enumerate(texts)])
+    new = [r.text[:-2] for r in sorted(surrogates.replace_entities(docs, "k").collect(), key=lambda r: r.doc_id)]
+    given, surname = {}, {}
+    for old, got in zip(people, new):
+        title, first, last = got.split(" ")
+        assert title == old.split(" ")[0]
+        assert given.setdefault(old.split(" ")[1], first) == first and surname.setdefault(old.split(" ")[2], last) == last
+    assert len(set(given.values())) == 3 and len(set(surname.values())) == 4
+    assert given["John"].endswith("lin") and given["Mary"].endswith("rina") and given["Kim"].endswith("mir")
+    for got, old in zip(new[7:10], cards):
+        assert got != old and luhn(re.sub(r"\D", "", got)) and re.sub(r"\d", "0", got) == re.sub(r"\d", "0", old)
+    for got, old in zip(new[10:13], ibans):
+        plain = got.replace(" ", "")
+        assert got != old and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert len(set(new[13:39])) == 26 and not set(new[13:39]) & set(mails) and all("@" in m and m.endswith(".com") for m in new[13:39])
+    digits = [re.sub(r"\D", "", x) for x in new[39:]]
+    assert digits[0] == "1" + digits[1] and digits[1] == digits[2] and len({digits[1], digits[3], digits[4]}) == 3
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", new[39])
+
+
 def test_surrogates_stay_distinct(spark, tmp_path):
     """A format with few forms: 900 of 1,000,000 would meet by chance, and none may be an original."""
     entities = stored(spark, tmp_path, [("id", f"{i:03d}") for i in range(0, 900, 2)] + [("surname", f"n{i}") for i in range(700)], "kind string, entity string")

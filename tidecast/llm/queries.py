@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import secrets
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,8 +15,8 @@ from tidecast.session import configure
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
-#: Key of the surrogates; whoever holds it can tell which entity a surrogate stands for.
-KEY = os.environ.get("TIDECAST_PII_KEY", "tidecast")
+#: Key of the surrogates; whoever holds it can tell which entity a surrogate stands for.  Without one, each session draws its own.
+KEY = os.environ.get("TIDECAST_PII_KEY") or secrets.token_hex(32)
 
 
 def vocabulary() -> str:

@@ -4,6 +4,7 @@ named.  Built-in functions only.
 
 from __future__ import annotations
 
+import itertools
 import re
 from functools import reduce
 
@@ -62,7 +63,8 @@ SYLLABLES = {"latin": "ba be bo da de do fa ga ka ke ko la le lo ma me mo na ne
              "cyrillic": "ба бе бо да де до га ка ко ла ле ло ма ме мо на не но па ра ре ро са се со та те то ва ве во".split(),
              "greek": "βα βε βο δα δε δο γα κα κο λα λε λο μα με μο να νε νο πα ρα ρε ρο σα σε σο τα τε το φα φε φο".split()}
 ENDINGS = {"latin": ("lin", "rina", "mir"), "cyrillic": ("лин", "рина", "мир"), "greek": ("νος", "ρινα", "μις")}
-ATTEMPTS = 64
+#: Draws after which an address gets a longer local part, should the short ones of its domain be given away.
+LONGER_AFTER = 8
 
 
 def _byte(stream: Column, i) -> Column:
@@ -94,19 +96,40 @@ def _name(stream: Column, script: str, count: Column, ending: Column) -> Column:
     return F.concat(F.array_join(parts, ""), ending)
 
 
+def _with_luhn(digits: Column) -> Column:
+    """The digits with the last one as the check digit of the others."""
+    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
+    doubled = F.transform(F.split(F.reverse(body), "(?<=.)(?=.)"), lambda c, i: F.when(i % 2 == 1, c.cast("int")).otherwise(
+        F.when(c.cast("int") > 4, c.cast("int") * 2 - 9).otherwise(c.cast("int") * 2)))
+    total = F.aggregate(doubled, F.lit(0), lambda a, b: a + b)
+    return F.concat(body, ((10 - total % 10) % 10).cast("string"))
+
+
+def _with_mod97(iban: Column) -> Column:
+    """The account with the check digits, its third and fourth characters, that make it 1 modulo 97."""
+    turned = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 2), F.lit("00"))
+
+    def step(rest: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), (rest * 10 + c.try_cast("int")) % 97).otherwise((rest * 100 + F.ascii(c) - 55) % 97)
+
+    rest = F.aggregate(F.split(turned, "(?<=.)(?=.)"), F.lit(0), step)
+    return F.concat(F.substring(iban, 1, 2), F.lpad((98 - rest).cast("string"), 2, "0"), F.substring(iban, F.lit(5), F.length(iban)))
+
+
 def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     """The candidate of an attempt for an entity in its canonical form, which it is in as well."""
     stream = _stream(key, attempt, kind, entity)
     domain = F.substring_index(entity, "@", -1)
     tld = F.concat(F.lit("."), F.substring_index(domain, ".", -1))
     labels = F.substring(domain, F.lit(1), F.length(domain) - F.length(tld))
-    email = F.concat(_alike(F.substring_index(entity, "@", 1), stream), F.lit("@"),
+    more = F.concat(*[_letter(LATIN, _byte(stream, 63 - i)) for i in range(attempt // LONGER_AFTER)]) if attempt >= LONGER_AFTER else F.lit("")
+    email = F.concat(_alike(F.substring_index(entity, "@", 1), stream), more, F.lit("@"),
                      _alike(labels, _stream(key, 0, F.lit("domain"), domain)), tld)
     octets = F.concat_ws(".", *[(_byte(stream, i) % 254 + 1).cast("string") for i in range(4)])
     script = F.when(entity.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(entity.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
     out = (F.when(kind == "email", email).when(kind == "secret", F.substring(stream, F.lit(1), F.length(entity)))
-           .when(kind == "ip", octets).when(kind.isin("card", "phone"), _alike(entity, stream, kept=1))
-           .when(kind == "id", _alike(entity, stream)).when(kind == "iban", F.upper(_alike(entity, stream, kept=2))))
+           .when(kind == "ip", octets).when(kind == "card", _with_luhn(_alike(entity, stream, kept=1))).when(kind == "phone", _alike(entity, stream, kept=1))
+           .when(kind == "id", _alike(entity, stream)).when(kind == "iban", _with_mod97(F.upper(_alike(entity, stream, kept=2)))))
     for name in SYLLABLES:  # a later attempt takes longer names, so a free one is always found
         ends = dict(zip(("given m", "given f", "given n"), ENDINGS[name]))
         for what, ending in [*ends.items(), ("surname", "")]:
@@ -117,13 +140,14 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """kind, entity, surrogate: distinct over the table, and none is an entity that occurs in the texts.
 
-    Candidates that meet another's, an earlier surrogate or an original are drawn again with the next attempt; of those
-    that meet, the first in order keeps it.
+    Candidates that meet another's, an earlier surrogate or an original are drawn again with the next attempt, until all
+    have one; of those that meet, the first in order keeps it.  Names and addresses grow with the attempts, so their
+    formats don't run out.
     """
     entities = write_scratch(entities, "entities")
     pending, done = entities, None
     originals = entities.select(F.col("kind").alias("_k"), F.col("entity").alias("_s"))
-    for attempt in range(ATTEMPTS):
+    for attempt in itertools.count():
         drawn = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), key, attempt))
         used = originals if done is None else originals.unionByName(done.select(F.col("kind").alias("_k"), F.col("surrogate").alias("_s")))
         free = drawn.join(used, (F.col("kind") == F.col("_k")) & (F.col("surrogate") == F.col("_s")), "left_anti")
@@ -132,30 +156,41 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         pending = write_scratch(pending.join(won, ["kind", "entity"], "left_anti"), "pending")
         if not pending.take(1):
             return done
-    raise ValueError("some kind has more entities than its format has surrogates")
 
 
 def mentions(rows: DataFrame) -> DataFrame:
     """_row, _i (place among the row's mentions), mention, kind; and atoms: what surrogates are given to.
 
-    A person's atoms are given names, by the gender of the title, and the surname, so that a surname alone is the
-    same surname; any other mention is one atom, in lower case and without punctuation.
+    A person's atoms are given names, with the gender of the title as ``hint``, and the surname, so that a surname alone is
+    the same surname; any other mention is one atom, in lower case and without punctuation, a phone in its national
+    form where the country is +1.
     """
     found = rows.filter(F.size("_found") > 0).select("_row", F.posexplode("_found").alias("_i", "mention"))
     kind = reduce(lambda c, k: c.when(F.col("mention").rlike(f"^(?:{KINDS[k]})$"), k), list(KINDS)[1:],
                   F.when(F.col("mention").contains("@"), "email"))
     found = found.withColumn("kind", kind)
-    gender = F.when(F.col("mention").rlike(rf"^(?:{MALE})\.? "), "given m").when(F.col("mention").rlike(rf"^(?:{FEMALE})\.? "), "given f").otherwise("given n")
+    gender = F.when(F.col("mention").rlike(rf"^(?:{MALE})\.? "), "m").when(F.col("mention").rlike(rf"^(?:{FEMALE})\.? "), "f")
     names = F.split(F.regexp_replace("mention", TITLE, ""), " ")
-    people = F.transform(names, lambda n, i: F.struct(F.when(i == F.size(names) - 1, "surname").otherwise(gender).alias("kind"), F.lower(n).alias("entity")))
+    people = F.transform(names, lambda n, i: F.struct(F.when(i == F.size(names) - 1, "surname").otherwise("given").alias("kind"), F.lower(n).alias("entity"), gender.alias("hint")))
     digits = F.regexp_replace("mention", r"[^\p{L}0-9]", "")
-    canonical = F.when(F.col("kind").isin("email", "secret"), F.lower("mention")).when(F.col("kind").isin("ip", "id"), F.col("mention")).otherwise(digits)
-    one = F.array(F.struct(F.col("kind").alias("kind"), canonical.alias("entity")))
+    canonical = F.when(F.col("kind").isin("email", "secret"), F.lower("mention")).when(F.col("kind").isin("ip", "id"), F.col("mention")).when(
+        (F.col("kind") == "phone") & digits.rlike(r"^1\d{10}$") & F.col("mention").startswith("+1"), F.substring(digits, 2, 10)).otherwise(digits)
+    one = F.array(F.struct(F.col("kind").alias("kind"), canonical.alias("entity"), F.lit(None).cast("string").alias("hint")))
     return found.withColumn("atoms", F.when(F.col("kind") == "person", people).otherwise(one))
 
 
+def distinct_entities(found: DataFrame) -> DataFrame:
+    """kind and entity of all mentions; a given name's kind is the gender of its titles, anywhere, if they agree."""
+    atoms = found.select(F.explode("atoms").alias("_atom")).select("_atom.kind", "_atom.entity", "_atom.hint")
+    hints = atoms.groupBy("kind", "entity").agg(F.max(F.coalesce(F.col("hint") == "m", F.lit(False))).alias("m"), F.max(F.coalesce(F.col("hint") == "f", F.lit(False))).alias("f"))
+    gender = F.when(F.col("m") & ~F.col("f"), "given m").when(F.col("f") & ~F.col("m"), "given f").otherwise("given n")
+    return hints.select(F.when(F.col("kind") == "given", gender).otherwise(F.col("kind")).alias("kind"), "entity")
+
+
 def _formatted(mention: Column, kind: Column, given: Column) -> Column:
     """Put a surrogate into the format of a mention: its punctuation, blanks and case."""
+    places = F.length(F.regexp_replace(mention, r"[^\p{L}0-9]", ""))
+    given = F.when((kind == "phone") & (places == F.length(given) + 1), F.concat(F.lit("1"), given)).otherwise(given)
     chars = F.split(mention, "(?<=.)(?=.)")
     before = F.transform(chars, lambda c, i: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i), r"[^\p{L}0-9]", "")))
     filled = F.array_join(F.zip_with(chars, before, lambda c, n: F.when(c.rlike(r"[\p{L}0-9]"), F.substring(given, n + 1, F.lit(1))).otherwise(c)), "")
@@ -169,7 +204,7 @@ def replacements(found: DataFrame, assigned: DataFrame) -> DataFrame:
     """_row and the array of what to put in place of its mentions, in their order."""
     atoms = found.select("_row", "_i", "mention", F.col("kind").alias("_kind"), F.posexplode("atoms").alias("_j", "_atom"))
     atoms = atoms.select("_row", "_i", "mention", "_kind", "_j", "_atom.kind", "_atom.entity")
-    joined = atoms.join(assigned, ["kind", "entity"])
+    joined = atoms.join(assigned.withColumn("kind", F.regexp_replace("kind", "^given .$", "given")), ["kind", "entity"])
     word = F.get(F.split(F.regexp_replace("mention", TITLE, ""), " "), F.col("_j"))
     person = F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper("surrogate")).otherwise(F.initcap("surrogate"))
     piece = F.when(F.col("_kind") == "person", person).otherwise(_formatted(F.col("mention"), F.col("_kind"), F.col("surrogate")))
@@ -185,14 +220,14 @@ def replace_entities(docs: DataFrame, key: str, counted: str | None = None) -> D
 
     All texts are searched; surrogates are given to the distinct entities of the whole table, so an entity has one
     surrogate in every document, and two never share one.  The same key gives the same surrogates for the same
-    table.  A null text stays null, an empty one empty; rows are kept one for one, whatever their ids; other
-    columns pass through.
+    table.  Cards and accounts keep valid check digits.  A null text stays null, an empty one empty; a very long text is
+    searched whole; rows are kept one for one, whatever their ids, and repeated ones get the same text; an empty table
+    stays empty; other columns pass through, whatever their names.  A name without a title is not seen as a person's.
     """
     docs = stored(docs)
     found = with_row(docs, columns=["text"]).select("_row", F.regexp_extract_all("text", F.lit(EVERY), F.lit(0)).alias("_found"))
     found = write_scratch(mentions(found), "mentions")
-    entities = found.select(F.explode("atoms").alias("_atom")).select("_atom.kind", "_atom.entity").distinct()
-    new = replacements(found, assign(entities, key)).select(F.col("_row").alias("__pii_of"), F.col("_new").alias("__pii_new"))
+    new = replacements(found, assign(distinct_entities(found), key)).select(F.col("_row").alias("__pii_of"), F.col("_new").alias("__pii_new"))
     joined = with_row(docs, "__pii_row").join(new, F.col("__pii_row") == F.col("__pii_of"), "left")
     between = F.split("text", EVERY, -1)
     rebuilt = F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.get("__pii_new", i), F.lit("")))), "")
