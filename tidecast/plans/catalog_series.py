@@ -409,10 +409,10 @@ def _means_sql(w: int) -> str:
 
 
 @query("means_with_odd_values", f"WITH {KEYED_SQL}, {_ODD_SQL}, f AS (SELECT event_type, time, CASE WHEN isfinite(y) THEN y END AS v FROM o) "
-       f"SELECT event_type, time, {_means_sql(24)}, {_means_sql(256)}, {_means_sql(300)} FROM f")
+       f"SELECT event_type, time, {_means_sql(24)}, {_means_sql(255)}, {_means_sql(257)} FROM f")
 def means_with_odd_values(spark, folder):
     rows, order = order_index(_with_odd_values(spark, folder), TYPED)
-    for w in (24, 256, 300):
+    for w in (24, 255, 257):
         rows = windows.trailing_mean(rows, "y", w, order, f"mean{w}")
     return rounded(rows.drop("_bucket", "y"), 5)
 
