@@ -180,6 +180,44 @@ def test_equal_digests_are_told_apart(spark, monkeypatch):
 
 # order min-hash
 
+def chained_hash(*parts):
+    """Spark's xxhash64: every part is hashed with the hash of those before as its seed."""
+    h = 42
+    for x in parts:
+        h = xxhash.xxh64_intdigest(x if isinstance(x, bytes) else x.encode(), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_order_minhash(text):
+    """Fingerprint by lists and sorting: occurrence-numbered 3-mers, the two smallest hashes a bin, in text order."""
+    low = (1 << 24) - 1
+    tokens = re.findall(r"[^\x20\x09-\x0D]{1,8}", text)
+    grams = [(chained_hash(*tokens[i:i + 3]) >> 24, i) for i in range(len(tokens) - 2)] or ([(chained_hash(" ".join(tokens)) >> 24, 0)] if tokens else [])
+    seen, numbered = Counter(), []
+    for gram, place in grams:  # places rise, so occurrences are numbered in the order of the text
+        numbered.append((chained_hash(gram.to_bytes(8, "little", signed=True), seen[gram].to_bytes(4, "little")) & ~low | place))
+        seen[gram] += 1
+    bins = defaultdict(list)
+    for x in sorted(numbered):
+        if len(bins[x >> 58]) < 2:
+            bins[x >> 58].append(x)
+    out = ""
+    for number in sorted(bins):
+        hashes = [x >> 24 & (1 << 40) - 1 for x in sorted(bins[number], key=lambda x: (x & low, x >> 24 & (1 << 40) - 1))]
+        tuple_hash = chained_hash(*[x.to_bytes(8, "little") for x in hashes])
+        out += f"{(number + 32) << 32 | tuple_hash & 0xFFFFFFFF:010x}"
+    return out
+
+
+def test_order_minhash_equals_a_plain_one(awkward):
+    docs, rows = awkward
+    texts = {(d, len(t or "")): t or "" for d, t, *_ in rows}
+    got = ordermh.order_minhash(docs).select("doc_id", "n_chars", "fingerprint").collect()
+    assert len(got) == len(rows) and sum(len(r.fingerprint) > 600 for r in got) >= 1
+    for r in got:
+        assert r.fingerprint == plain_order_minhash(texts[r.doc_id, r.n_chars]), r.doc_id
+
+
 def test_order_minhash(spark, awkward, empty, tmp_path):
     docs, rows = awkward
     got = {(r.doc_id, r.n_chars, r.edited_sha256): r for r in ordermh.order_minhash(docs).collect()}
