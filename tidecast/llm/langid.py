@@ -211,13 +211,19 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score (0 to 1) for every row of ``docs``.
 
     The language with the shortest code for the whole text wins, ties by name.  A null text or one without a
-    letter is ``und`` with score 0, and so is every text when nothing was learned.  Only the text is looked at.
+    letter is ``und`` with score 0, and so is every text when nothing was learned.  Only the text is looked at.  A very
+    long text is coded whole, in slices; repeated rows get equal results; a null doc_id is not held out; an empty table
+    gives an empty result, and other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text", _letters())
     return _scored(rows, model, 2, 2).withColumnsRenamed({"__lang_pred": "lang_pred", "__score": "score"})
 
 
 def identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` that have a language; those that are ``und`` go."""
+    """The rows of ``docs`` that have a language; those that are ``und`` (null texts and texts without a letter) go.
+
+    Repeated rows stay each; very long texts are read whole; an empty table stays empty; all columns pass through,
+    whatever their names.
+    """
     rows = docs.select(*docs.columns, _letters())
     return _scored(rows, model, docs.columns.index("text"), len(docs.columns)).filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)

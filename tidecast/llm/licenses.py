@@ -126,7 +126,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) ->
     bands of one row then agrees with that probability, so some band does with 0.9998.  A template is reported if at least
     ``CONTAINMENT`` of its distinct shingles of five words occur around such a window; of several places the fullest,
     then the first.  Short templates (under five words) are one shingle.  Null and empty texts hold none; repeated
-    rows are scanned each; the templates are a small parameter and travel with the job.
+    rows are scanned each; a very long text is scanned window by window to its end; an empty table gives an empty result and
+    other columns are ignored.  The templates are a small parameter and travel with the job.
     """
     known = Templates(templates)
 

@@ -93,7 +93,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
 
     A message whose quotes come from nowhere, or without any, begins a thread.  A null text is empty; repeated rows
     are messages each, and rows that share conv_id and turn share their links; without conv_id or turn there are no
-    links; an empty table gives an empty result.
+    links; an empty table gives an empty result; a very long message is parsed whole, in one row; other columns are ignored.
     """
     messages = conversations.select("conv_id", "turn", "role", "text")
     links = write_scratch(quotation_links(messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")), "links")

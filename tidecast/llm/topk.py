@@ -83,7 +83,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embed
     weighted postings into a dense score array, a partition selects the k highest, and these are merged over row
     blocks.  Every row but the query's own takes part, so a repeated row is found; ties go to the smaller vec_id.
     Rows without id or with a null, NaN or infinite component take no part; of vectors of different lengths
-    the common components count; scores are exact below 2**63.  Fewer than k rows give fewer ranks.
+    the common components count; scores are exact below 2**63.  Fewer than k rows give fewer ranks.  A very long vector is a
+    row like others, an empty one scores 0 with every other; an empty table gives an empty result; other columns are ignored.
     """
     stored = write_scratch(quantised(vectors, vector), "vectors")
     queries = stored.filter(is_query)

@@ -152,7 +152,9 @@ def filter_urls(pages: DataFrame, rules: RuleList, default: str = "allow") -> Da
     A rule fits its host and every subdomain if the path starts with the rule's; the longest wins.  Without one
     ``rule`` is null and the verdict is ``default``.  The key of a rule is host and path together: a candidate
     can equal a rule only with the same host, since a path starts with a slash.  A null url, one without
-    ``://`` and an empty host fit no rule unless one is stored for them; repeated rows are judged each.
+    ``://`` and an empty host fit no rule unless one is stored for them; repeated rows are judged each, and so are rows without
+    page_id; a very long url costs its length, as only prefixes as long as some rule are looked up; two rules of one length
+    cannot both fit.  An empty table gives an empty result; other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
