@@ -10,6 +10,7 @@ from tidecast.functions.timekeys import HOUR_TEXT, col_of, hour_of, month_key, p
 from tidecast.operators.align import append
 from tidecast.operators.clean import clean_cells, filter_eq, first_per_key
 
+# The labels of the landed columns.
 TARGET = "Energy Demand (MWH)"
 PRICE = "Energy Price (cents/KWH)"
 EXTERNAL = "EIA Forecast (MWH)"
