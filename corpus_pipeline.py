@@ -1,7 +1,9 @@
 """The corpus pipeline: language, near duplicates, personal data, source mix, packing.
 
 Each stage is (name, function of (spark, docs, sf_dir)); its result is written and read again as the next one's docs.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``.  Null and empty texts have no language and go in the first stage; very
+long texts are handled whole in all; rows that repeat go in the second; an empty table stays empty through all stages, and
+further columns, whatever their names, pass through to the last.
 """
 
 from __future__ import annotations
