@@ -55,6 +55,56 @@ def test_decomposition_matches_a_direct_solve(spark, monkeypatch, partitions, bl
             np.testing.assert_allclose(got[decompose.COMPONENTS].sum(axis=1), got.yhat, rtol=1e-9)
 
 
+def plain_lasso(xx, xy, weight, sweeps=20_000):
+    b = np.zeros(len(xy))
+    for _ in range(sweeps):
+        for i in range(len(b)):
+            r = xy[i] - xx[i] @ b + xx[i, i] * b[i]
+            b[i] = np.sign(r) * max(abs(r) - weight[i], 0) / xx[i, i]
+    return b
+
+
+@pytest.mark.parametrize("seed,terms,weight", [(0, 5, 3.0), (1, 8, 20.0), (2, 8, 0.01), (3, 6, 1e9)])
+def test_lasso_matches_coordinate_descent(seed, terms, weight):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(60, terms)) + rng.normal(size=(60, 1))
+    y = x[:, 0] * 2 - x[:, 1] + rng.normal(size=60)
+    weights = weight * rng.uniform(0.5, 1.5, terms)
+    want = plain_lasso(x.T @ x, x.T @ y, weights, 2_000)
+    for start in (None, rng.normal(size=terms)):
+        got = gram.lasso(x.T @ x, x.T @ y, weights, start)
+        np.testing.assert_allclose(got, want, atol=1e-6)
+        assert ((got == 0) == (want == 0)).all()
+
+
+def test_lasso_of_repeated_and_empty_terms():
+    x = np.random.default_rng(4).normal(size=(30, 1)) @ np.ones((1, 3))
+    b = gram.lasso(x.T @ x, x.T @ x[:, 0], np.full(3, 0.5))
+    slope = x.T @ x @ b - x.T @ x[:, 0]
+    assert np.all(np.abs(slope) <= 0.5 + 1e-4) and b.sum() == pytest.approx(1 - 0.5 / (x[:, 0] @ x[:, 0]), abs=1e-4)
+    assert (gram.lasso(np.zeros((3, 3)), np.zeros(3), np.ones(3)) == 0).all()
+
+
+def test_sparse_trend_turns_where_the_series_does(spark):
+    n = 24 * 300
+    t = np.arange(n)
+    season = 5 * np.sin(2 * np.pi * t / 24) + np.random.default_rng(6).normal(0, 1, n)
+    broken = pd.DataFrame({"k": "a", "time": hours(n), "y": 100 + 0.05 * np.maximum(0, t - 0.4 * n) + season})
+    level = pd.DataFrame({"k": "b", "time": hours(n), "y": 100 + season})
+    unknown = pd.DataFrame({"k": "c", "time": hours(50), "y": np.nan})
+    df = frame(spark, pd.concat([broken, level, unknown], ignore_index=True))
+    models = decompose.fit_decomposition(df, ORDER, ["y"], [Penalties(), Penalties(sparse=True)])
+    changes = decompose.trend_changes(models, ["k"]).toPandas()
+    sparse = changes[changes.params_id == 1]
+    assert set(sparse.k) == {"a"} and 1 <= len(sparse) <= 3
+    assert len(changes[(changes.params_id == 0) & (changes.k == "a")]) == decompose.CHANGEPOINTS
+    assert sparse.change.sum() == pytest.approx(0.05 * 24, rel=0.1)
+    off = (sparse.time - hours(n)[int(0.4 * n)]).abs() / pd.Timedelta(days=1)
+    assert (off < 30).all()
+    out = decompose.decompose(df, models.filter("params_id = 1").withColumn("params_id", F.lit(0)), "y", ORDER).toPandas()
+    assert out[out.k == "a"].residual.std() < 1.2
+
+
 def test_decomposition_recovers_daily_shape(spark):
     n = 24 * 90
     pdf = pd.DataFrame({"time": hours(n), "y": seasonal(n, 5)})

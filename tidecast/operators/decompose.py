@@ -2,7 +2,8 @@
 
 The basis is fixed (see the constants), so a fit needs only cross-product sums per series and variable, and a
 prediction is a dot product of expressions with the stored coefficients.  Trend changes and seasonal terms
-are shrunk by ridge penalties whose strength follows the estimated noise.
+are shrunk by ridge penalties whose strength follows the estimated noise; with ``Penalties(sparse=True)`` the trend
+changes have a Laplace prior instead, which leaves most of them at zero and so tells where the trend turns.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.timekeys import col_of, epoch_days
 from tidecast.operators.attach import attach, join_on
-from tidecast.operators.gram import blocked_sums, by_key, key_schema, ridge, stack
+from tidecast.operators.gram import blocked_sums, by_key, key_schema, lasso, ridge, stack
 from tidecast.operators.position import Order
 
 # Period in days and number of sine/cosine pairs of each season, and the trend changes.
@@ -33,6 +34,7 @@ COMPONENTS = ["trend"] + [name for name, _, _ in SEASONS]
 class Penalties:
     changepoint_prior_scale: float = 0.001
     seasonality_prior_scale: float = 0.01
+    sparse: bool = False
 
 
 def changepoints() -> np.ndarray:
@@ -89,6 +91,20 @@ def _partial_sums(cols: dict[str, np.ndarray], home: dict) -> list[dict]:
     return rows
 
 
+def sparse_bends(xx: np.ndarray, xy: np.ndarray, ridges: np.ndarray, weight: float, start: np.ndarray) -> np.ndarray:
+    """Coefficients with an absolute penalty on the trend changes; the other terms are solved out of the sums first."""
+    bend = np.zeros(TERMS, bool)
+    bend[2:TREND_TERMS] = True
+    rest = ~bend
+    across = xx[np.ix_(rest, bend)]
+    solved = np.column_stack([ridge(xx[np.ix_(rest, rest)], c, ridges[rest]) for c in (*across.T, xy[rest])])
+    inner = xx[np.ix_(bend, bend)] - across.T @ solved[:, :-1]
+    beta = np.zeros(TERMS)
+    beta[bend] = lasso((inner + inner.T) / 2, xy[bend] - across.T @ solved[:, -1], np.full(CHANGEPOINTS, weight), start[bend])
+    beta[rest] = solved[:, -1] - solved[:, :-1] @ beta[bend]
+    return beta
+
+
 def _solve(keys: Sequence[str], names: Sequence[str] | None, penalties: Sequence[Penalties]):
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
@@ -101,9 +117,11 @@ def _solve(keys: Sequence[str], names: Sequence[str] | None, penalties: Sequence
             shape = np.zeros(TERMS)
             shape[2:TREND_TERMS] = p.changepoint_prior_scale ** -2
             shape[TREND_TERMS:] = p.seasonality_prior_scale ** -2
-            noise, beta = 0.01, np.zeros(TERMS)
+            # an absolute penalty at too high a noise would hold all bends at zero, and so the noise high
+            noise, beta = 1e-6 if p.sparse else 0.01, np.zeros(TERMS)
             for _ in range(20 if n else 0):
-                beta = ridge(xx, xy, noise * shape)
+                beta = (sparse_bends(xx, xy, noise * shape, noise / p.changepoint_prior_scale, beta) if p.sparse
+                        else ridge(xx, xy, noise * shape))
                 found = max((yy - 2 * beta @ xy + beta @ xx @ beta) / n, 1e-10)
                 if abs(found - noise) <= 1e-6 * noise:
                     break
@@ -138,6 +156,17 @@ def fit_decomposition(df: DataFrame, order: Order, values: Sequence[str] | str,
     return by_key(summed, keys, _solve(order.keys, names, penalties), schema)
 
 
+def trend_changes(models: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, params_id, variable, time, change)``: when the trend turns and by how much a day, without zero changes."""
+    bends = F.slice("beta", 3, CHANGEPOINTS)
+    places = ", ".join(f"{float(c)!r}D" for c in changepoints())
+    rows = models.select(*keys, "params_id", "variable", "t0", "span", F.posexplode(bends).alias("_i", "_change"))
+    days = F.col("t0") + F.expr(f"array({places})")[F.col("_i")] * F.col("span")
+    time = F.timestamp_add("SECOND", F.round(days * 86_400).cast("long"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return rows.filter("_change <> 0").select(
+        *keys, "params_id", "variable", time.alias("time"), F.try_divide("_change", "span").alias("change"))
+
+
 def packed(models: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key (penalty sets included): the coefficient arrays of its variables in order."""
     ordered = F.array_sort(F.collect_list(F.struct("out", "beta")))
