@@ -536,6 +536,52 @@ def test_top_k(spark, tmp_path):
     assert topk.top_k(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def plain_top_k(rows):
+    """query_id, rank, vec_id, score of rows (id, vector) without nulls, in whole numbers of any length."""
+    whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+    want = Counter()
+    for n, (q, a) in enumerate(whole):
+        if q % 50 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(whole) if m != n)[:5]
+            want.update((q, k, i, -s) for k, (s, i) in enumerate(scored, 1))
+    return want
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_top_k_blocks_meet_over_many_partitions(spark, tmp_path, adaptive):
+    """Both sides of a pair of blocks reach the same task although no partitions are joined into one."""
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(0, 0.3, (300, 6)))]
+    table = stored(spark, tmp_path, rows, "vec_id long, embedding array<float>", partitions=3)
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.enabled": adaptive, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for sizes in ((8192, 1024), (40, 2)):
+            got = topk.top_k(table, F.col("vec_id") % 50 == 0, block_rows=sizes[0], block_queries=sizes[1])
+            assert Counter(map(tuple, got.collect())) == plain_top_k(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_top_k_of_huge_components(spark, tmp_path):
+    """Products and sums beyond 64 bits neither wrap nor stop at 2**63; a score that fits no long is an error."""
+    rows = [(0, [1.0, 1.0]), (1, [-1e30, 0.0]), (2, [1e30, -1e30]), (3, [2.0**46, 3 / 256]), (4, [-2.0**55, -1.0]),
+            (5, [-1.0, 0.0]), (6, [0.0, -2.0]), (7, [-3.0, 0.5]), (50, [-1e30, -2.0])]
+    schema = "vec_id long, embedding array<float>"
+    table = stored(spark, tmp_path, rows[:-1], schema)
+    for blocks in (8192, 2):
+        got = topk.top_k(table, F.col("vec_id") % 50 == 0, block_rows=blocks).collect()
+        assert Counter(map(tuple, got)) == plain_top_k(rows[:-1])
+        assert {r.vec_id: r.score for r in got}[3] == 2**62 + 768
+    path = str(tmp_path / "huge")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.read.parquet(path), F.col("vec_id") % 50 == 0).collect()
+
+
 # language
 
 def plain_bits(text, counts, order=3):
