@@ -5,10 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from helpers import DOCS, awkward_documents, documents, stored, words
@@ -78,6 +82,37 @@ def test_intervals_are_all_phrases():
         assert dict(zip(texts, level.count)) == want
 
 
+def test_tasks_are_small_beside_the_heap(monkeypatch):
+    """What a task of each step holds at most in Python, carried on to a full shard or slice."""
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    monkeypatch.setattr(phrases, "BATCH", 1 << 12, raising=False)
+    r, n, peaks = random.Random(7), 1 << 16, {}
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(r.choices(words, weights=[1 / (i + 9) for i in range(3000)], k=512)) for _ in range(n // 512)]
+
+    def step(name, run, rows, full=phrases.SHARD_WORDS):
+        tracemalloc.start()
+        out = run()
+        peaks[name] = round(tracemalloc.get_traced_memory()[1] / rows * full / 1e6)
+        tracemalloc.stop()
+        return out
+
+    docs = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": pa.array([t.encode() for t in texts], pa.binary())})
+    index, = step("index", lambda: list(phrases._shard_rows(iter([docs]))), n)
+    sliced = step("hashes", lambda: pa.Table.from_batches(phrases._hash_slices(2)(iter([index]))), n)
+    row, = index.to_pylist()
+    row["bits"] = []
+    for p in range(2):
+        group = sliced.filter(pc.equal(sliced["slice"], p))
+        hashes = sum(map(len, group["counts"].to_pylist()))
+        row["bits"] += step("bits", lambda group=group: phrases._frequent_bits(group), hashes, phrases.SLICE_HASHES).to_pylist()
+    found = step("counts", lambda: pa.Table.from_batches(phrases._phrase_counts(2)(iter([pa.RecordBatch.from_pylist([row])]))), n)
+    want = Counter(" ".join(w[i:i + m]).encode() for w in map(str.split, texts) for m in range(1, 5) for i in range(len(w) - m + 1))
+    got = {x["phrase"]: x["a"] for x in found.to_pylist() if x["a"] >= phrases.LEAST}
+    assert got == {p: a for p, a in want.items() if a >= phrases.LEAST} and any(b" " in p for p in got)
+    assert max(peaks.values()) < 190, peaks
+
+
 # prefix trie
 
 def plain_trie(rows):

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
@@ -17,7 +18,9 @@ from tidecast.session import write_scratch
 LONGEST, LEAST, BEST = 4, 30, 2000
 SCALE, COVERED = 2_000_000, 80
 #: Words after which a task begins another shard, and hashes of words and pairs that one task adds up.
-SHARD_WORDS, SLICE_HASHES = 1 << 21, 1 << 22
+SHARD_WORDS, SLICE_HASHES = 1 << 21, 1 << 20
+#: Rows of a batch that a task hands out.
+BATCH = 1 << 16
 #: Capitals become small, tabs blanks, and what ends a piece becomes a line feed.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
@@ -32,7 +35,16 @@ def _pack(values: np.ndarray) -> bytes:
 
 def _unpack(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the different keys."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.cumsum(np.append(False, keys[1:] != keys[:-1]), dtype=np.int32)
+    return rank
 
 
 def bwt_of(ids: np.ndarray) -> np.ndarray:
@@ -40,10 +52,16 @@ def bwt_of(ids: np.ndarray) -> np.ndarray:
 
     Pairs are ranked first, then pairs of ranks; deeper order isn't needed to extend intervals to four words.
     """
-    width = int(ids.max()) + 1 if len(ids) else 1
-    _, rank = np.unique(ids * width + np.roll(ids, -1), return_inverse=True)
-    rank = rank.astype(np.int64)
-    order = np.argsort(rank * (int(rank.max()) + 1) + np.roll(rank, -2), kind="stable") if len(ids) else np.zeros(0, np.int64)
+    if not len(ids):
+        return ids
+
+    def paired(numbers: np.ndarray, step: int) -> np.ndarray:
+        keys = numbers.astype(np.int64)
+        keys *= int(numbers.max()) + 1
+        keys += np.roll(numbers, -step)
+        return keys
+
+    order = np.argsort(paired(_ranks(paired(ids, 1)), 2), kind="stable")
     return np.roll(ids, 1)[order]
 
 
@@ -65,30 +83,35 @@ def intervals(bwt: np.ndarray, longest: int, wanted=lambda length, levels: None)
     there are the extended intervals.  ``wanted(length, levels)`` may return which phrases of the last level to keep;
     only those are extended, to either side.
     """
-    order = np.argsort(bwt, kind="stable")
-    symbols = bwt[order]
-    place = np.flatnonzero(symbols > 0)          # separators are in no phrase
-    source, symbols = order[place], symbols[place]
-    inside = np.zeros(len(bwt), np.int64)        # the interval of the level before, per place; -1 outside
+    # places fit 32 bits, as a text has less than 2^31 bytes; a shard's arrays are most of a task's memory
+    source = np.argsort(bwt, kind="stable").astype(np.int32)
+    symbols = bwt[source]
+    skip = int(np.searchsorted(symbols, 1))      # separators come first and are in no phrase
+    source, symbols = source[skip:], symbols[skip:]
+    inside = np.zeros(len(bwt), np.int32)        # the interval of the level before, per place; -1 outside
     levels: list[Intervals] = []
     for length in range(1, longest + 1):
         rest = inside[source]
         ok = rest >= 0
         if length > 1:                           # the phrase without its last word must be wanted as well
-            ok &= inside[place] >= 0
-        at, symbol, rest = place[ok], symbols[ok], rest[ok]
+            ok &= inside[skip:] >= 0
+        at = np.flatnonzero(ok).astype(np.int32)
+        symbol, rest = symbols[at], rest[at]
         edge = np.ones(len(at), bool)
         edge[1:] = (symbol[1:] != symbol[:-1]) | (rest[1:] != rest[:-1])
-        begin = np.flatnonzero(edge)
-        start = at[begin]
-        level = Intervals(symbol[begin], rest[begin], start, np.diff(np.append(begin, len(at))), inside[start])
+        begin = np.flatnonzero(edge).astype(np.int32)
+        start = at[begin] + np.int32(skip)
+        level = Intervals(symbol[begin], rest[begin], start, np.diff(begin, append=np.int32(len(at))), inside[start])
         levels.append(level)
+        del symbol, rest
         keep = wanted(length, levels)
-        number = np.cumsum(edge) - 1
+        if length == longest:
+            break
+        number = np.cumsum(edge, dtype=np.int32) - np.int32(1)
         if keep is not None:
-            number = np.where(keep, np.arange(len(begin)), -1)[number]
-        inside = np.full(len(bwt), -1, np.int64)
-        inside[at] = number
+            number = np.where(keep, np.arange(len(begin), dtype=np.int32), np.int32(-1))[number]
+        inside = np.full(len(bwt), -1, np.int32)
+        inside[skip:][at] = number
     return levels
 
 
@@ -102,25 +125,28 @@ def _shard_rows(docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return defaultdict(lambda: defaultdict(count, {b"\n": 0, b"": 1})), [], 0
 
     def finished(ids_of, parts):
-        ids = np.concatenate([np.zeros(1, np.int64), *parts])
+        ids = np.concatenate([np.zeros(1, np.int32), *parts])
+        parts.clear()
         # ids by frequency, so that most are small
         seen = np.bincount(ids)
         seen[0] = 0
         rank = np.argsort(-seen, kind="stable")
-        number = np.zeros(len(seen), np.int64)
+        number = np.zeros(len(seen), np.int32)
         number[rank[rank > 1]] = np.arange(1, (rank > 1).sum() + 1)
         words, lang_of = [b""] * ((rank > 1).sum() + 1), np.zeros((rank > 1).sum() + 1, np.int64)
         langs = sorted(ids_of)
         for k, lang in enumerate(langs):
-            for word, i in ids_of[lang].items():
+            for word, i in ids_of.pop(lang).items():
                 if i > 1:
                     words[number[i]], lang_of[number[i]] = word, k
+        ends, words = np.cumsum([len(w) for w in words]), b"".join(words)
         ids = number[ids]
         bwt = bwt_of(ids)
         total = np.bincount(lang_of[ids[ids > 0]], minlength=len(langs))
+        del ids
         pairs = sum(len(level.count) for level in intervals(bwt, 2))
         row = {"shard": [shard], "langs": [langs], "lang_words": [total.tolist()], "lang_of": [_pack(lang_of)],
-               "words": [zstandard.ZstdCompressor(level=1).compress(b"".join(words))], "word_ends": [_pack(np.cumsum([len(w) for w in words]))],
+               "words": [zstandard.ZstdCompressor(level=1).compress(words)], "word_ends": [_pack(ends)],
                "bwt": [_pack(bwt)], "hashes": [pairs]}
         return pa.RecordBatch.from_pydict(row, pa.schema([("shard", pa.int64()), ("langs", pa.list_(pa.string())), ("lang_words", pa.list_(pa.int64())),
                                                           *[(c, pa.binary()) for c in ("lang_of", "words", "word_ends", "bwt")], ("hashes", pa.int64())]))
@@ -130,8 +156,8 @@ def _shard_rows(docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in docs:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             tokens = text.as_py().translate(_FOLD).replace(b"\n", b" \n ").split(b" ")
-            found = np.fromiter(map(ids_of[lang].__getitem__, tokens), np.int64, len(tokens))
-            parts += [found[found != 1], np.zeros(1, np.int64)]
+            found = np.fromiter(map(ids_of[lang].__getitem__, tokens), np.int32, len(tokens))
+            parts += [found[found != 1], np.zeros(1, np.int32)]
             held += len(parts[-2])
             if held >= SHARD_WORDS:
                 yield finished(ids_of, parts)
@@ -147,50 +173,75 @@ def fm_index(docs: DataFrame) -> DataFrame:
     return write_scratch(rows.mapInArrow(_shard_rows, INDEX), "index")
 
 
-def _opened(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray, list[str]]:
+def _opened(row: dict) -> tuple[pa.Array, np.ndarray, np.ndarray, list[str]]:
     joined = zstandard.ZstdDecompressor().decompress(row["words"]) if row["words"] else b""
-    ends = _unpack(row["word_ends"]).tolist()
-    return [joined[a:b] for a, b in zip([0, *ends], ends)], _unpack(row["lang_of"]), _unpack(row["bwt"]), row["langs"]
-
-
-def _hashes(words: list[bytes], lang_of: np.ndarray, langs: list[str], levels: list[Intervals]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words and pairs of a shard, the same in every shard."""
-    seeds = [xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) for g in langs]
-    of_word = np.array([xxhash.xxh64_intdigest(w, seeds[g] & 0xFFFFFFFF) for w, g in zip(words, lang_of.tolist())], np.uint64)
-    single = of_word[levels[0].first]
-    pair = of_word[levels[1].first] * _TIMES + single[levels[1].rest]
-    return single, (pair ^ pair >> np.uint64(29)) * _TIMES
+    ends = _unpack(row["word_ends"]).view(np.uint32)
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(joined)])
+    return words, _unpack(row["lang_of"]), _unpack(row["bwt"]), row["langs"]
+
+
+def _hashes(words: pa.Array, lang_of: np.ndarray, langs: list[str], levels: list[Intervals]) -> np.ndarray:
+    """64-bit hashes of the words of a shard, then of its pairs; the same in every shard."""
+    seeds = [xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) & 0xFFFFFFFF for g in langs]
+    of_word = np.empty(len(words), np.uint64)
+    for i in range(0, len(words), BATCH):
+        of_word[i:i + BATCH] = [xxhash.xxh64_intdigest(w, seeds[g]) for w, g in zip(words[i:i + BATCH].to_pylist(), lang_of[i:i + BATCH].tolist())]
+    singles = len(levels[0].first)
+    hashes = np.empty(singles + len(levels[1].first), np.uint64)
+    hashes[:singles] = of_word[levels[0].first]
+    pair = hashes[singles:]
+    pair[:] = of_word[levels[1].first]
+    pair *= _TIMES
+    pair += hashes[levels[1].rest]
+    pair ^= pair >> np.uint64(29)
+    pair *= _TIMES
+    return hashes
+
+
+def _sliced(hashes: np.ndarray, slices: int) -> tuple[np.ndarray, list[int]]:
+    """The order of the hashes, and where in it each slice begins and the last ends; a slice is a range of hashes."""
+    order = np.argsort(hashes).astype(np.int32)
+    bounds = np.array([(p << 64) // slices for p in range(1, slices)], np.uint64)
+    return order, [0, *np.searchsorted(hashes, bounds, sorter=order).tolist(), len(hashes)]
 
 
 def _hash_slices(slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words, lang_of, bwt, langs = _opened(row)
-                levels = intervals(bwt, 2)
-                hashes = np.concatenate(_hashes(words, lang_of, langs, levels))
-                counts = np.minimum(np.concatenate([levels[0].count, levels[1].count]), LEAST).astype(np.uint8)
-                part = (hashes >> np.uint64(32)) % np.uint64(slices)
-                order = np.lexsort((hashes, part))
-                ends = np.searchsorted(part[order], np.arange(slices + 1, dtype=np.uint64))
-                for p in range(slices):
-                    at = order[ends[p]:ends[p + 1]]
-                    yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]], pa.int64()), "slice": pa.array([p], pa.int64()),
-                                                      "hashes": pa.array([hashes[at].tobytes()], pa.binary()), "counts": pa.array([counts[at].tobytes()], pa.binary())})
+                yield from sliced(row)
+
+    def sliced(row: dict) -> Iterator[pa.RecordBatch]:
+        words, lang_of, bwt, langs = _opened(row)
+        levels = intervals(bwt, 2)
+        del bwt
+        hashes = _hashes(words, lang_of, langs, levels)
+        counts = np.minimum(np.concatenate([levels[0].count, levels[1].count]), LEAST).astype(np.uint8)
+        del words, lang_of, levels
+        order, ends = _sliced(hashes, slices)
+        first = 0
+        for p in range(1, slices + 1):
+            if p == slices or ends[p + 1] - ends[first] > BATCH:
+                some = [q for q in range(first, p) if ends[q] < ends[q + 1]]
+                at = [order[ends[q]:ends[q + 1]] for q in some]
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array([row["shard"]] * len(some), pa.int64()), "slice": pa.array(some, pa.int64()),
+                    "hashes": pa.array([hashes[a].tobytes() for a in at], pa.binary()), "counts": pa.array([counts[a].tobytes() for a in at], pa.binary())})
+                first = p
     return run
 
 
 def _frequent_bits(group: pa.Table) -> pa.Table:
     """Add up one slice of the hashes over all shards; a bit per hash and shard says whether it may be frequent."""
-    parts = [np.frombuffer(b, np.uint64) for b in group["hashes"].to_pylist()]
-    hashes, counts = np.concatenate(parts), np.concatenate([np.frombuffer(b, np.uint8) for b in group["counts"].to_pylist()])
+    hashes, counts = (np.frombuffer(b"".join(group[c].to_pylist()), kind) for c, kind in (("hashes", np.uint64), ("counts", np.uint8)))
     order = np.argsort(hashes)
     ordered = hashes[order]
-    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
-    sums = np.add.reduceat(counts[order].astype(np.int64), begin) if len(ordered) else np.zeros(0, np.int64)
+    begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    del ordered
+    sums = np.add.reduceat(counts[order], begin, dtype=np.int64)
     often = np.zeros(len(hashes), bool)
-    often[order] = np.repeat(sums >= LEAST, np.diff(np.append(begin, len(ordered))))
-    ends = np.cumsum([0, *map(len, parts)])
+    often[order] = np.repeat(sums >= LEAST, np.diff(begin, append=len(hashes)))
+    ends = np.cumsum([0, *pc.binary_length(group["counts"]).to_pylist()])
     bits = [np.packbits(often[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
     return pa.table({"shard": group["shard"], "slice": group["slice"], "bits": pa.array(bits, pa.binary())})
 
@@ -204,39 +255,40 @@ def _phrase_counts(slices: int):
     def counted(row: dict) -> Iterator[pa.RecordBatch]:
         words, lang_of, bwt, langs = _opened(row)
         levels = intervals(bwt, 2)
-        hashes = np.concatenate(_hashes(words, lang_of, langs, levels))
-        part = (hashes >> np.uint64(32)) % np.uint64(slices)
-        order = np.lexsort((hashes, part))
-        sizes = np.bincount(part.astype(np.int64), minlength=slices)
-        bits = {b["slice"]: b["bits"] for b in row["bits"]}
+        singles, pairs_start = len(levels[0].first), levels[1].start
+        hashes = _hashes(words, lang_of, langs, levels)
+        del levels
+        order, ends = _sliced(hashes, slices)
         often = np.zeros(len(hashes), bool)
-        often[order] = np.concatenate([np.unpackbits(np.frombuffer(bits[p], np.uint8))[:sizes[p]].astype(bool) for p in range(slices) if sizes[p]] or [np.zeros(0, bool)])
-        single, pair = often[:len(levels[0].count)], often[len(levels[0].count):]
+        del hashes
+        for b in row["bits"]:
+            at = order[ends[b["slice"]]:ends[b["slice"] + 1]]
+            often[at] = np.unpackbits(np.frombuffer(b["bits"], np.uint8), count=len(at))
+        del order
+        single, pair = often[:singles], often[singles:]
 
         def wanted(length: int, grown: list[Intervals]):
             if length == 1:
                 return single
             if length == 2:  # pairs of frequent words are fewer than all pairs: found by their place in the index
-                return pair[np.searchsorted(levels[1].start, grown[1].start)]
+                return pair[np.searchsorted(pairs_start, grown[1].start)]
             return None
 
         grown = intervals(bwt, LONGEST, wanted)
-        texts = None
+        del bwt
+        of_lang = pa.array(langs, pa.string())
         for length, level in enumerate(grown, 1):
-            if length == 1:
-                keep = single
-                texts = [words[i] for i in level.first.tolist()]
-                last_ids = level.first
-            else:
-                keep = wanted(2, grown) if length == 2 else np.ones(len(level.count), bool)
-                rest = level.rest.tolist()
-                texts = [words[i] + b" " + texts[r] for i, r in zip(level.first.tolist(), rest)]
-                last_ids = level.first
-            at = np.flatnonzero(keep)
-            for i in range(0, len(at), 1 << 16):
-                some = at[i:i + (1 << 16)]
+            keep = wanted(length, grown)
+            at = np.arange(len(level.count)) if keep is None else np.flatnonzero(keep)
+            for i in range(0, len(at), BATCH):
+                some = rest = at[i:i + BATCH]
+                parts = []
+                for shorter in grown[length - 1::-1]:  # the word in front, then those of the rest
+                    parts.append(words.take(pa.array(shorter.first[rest])).cast(pa.binary()))
+                    rest = shorter.rest[rest]
+                phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
                 yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array(np.array(langs, object)[lang_of[last_ids[some]]], pa.string()), "phrase": pa.array([texts[j] for j in some.tolist()], pa.binary()),
+                    "lang": of_lang.take(pa.array(lang_of[level.first[some]])), "phrase": phrase,
                     "words": pa.array(np.full(len(some), length), pa.int32()), "a": pa.array(level.count[some], pa.int64())})
     return run
 
