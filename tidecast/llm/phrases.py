@@ -289,7 +289,7 @@ def _phrase_counts(slices: int):
                 phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
                 yield pa.RecordBatch.from_pydict({
                     "lang": of_lang.take(pa.array(lang_of[level.first[some]])), "phrase": phrase,
-                    "words": pa.array(np.full(len(some), length), pa.int32()), "a": pa.array(level.count[some], pa.int64())})
+                    "a": pa.array(level.count[some], pa.int64())})
     return run
 
 
@@ -306,8 +306,9 @@ def frequent_phrases(index: DataFrame, least: int = LEAST) -> DataFrame:
     bits = sliced.groupBy("slice").applyInArrow(_frequent_bits, "shard long, slice long, bits binary")
     bits = bits.groupBy("shard").agg(F.collect_list(F.struct("slice", "bits")).alias("bits"))
     bits = write_scratch(bits, "bits")
-    found = index.join(bits, "shard").mapInArrow(_phrase_counts(slices), "lang string, phrase binary, words int, a long")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+    found = index.join(bits, "shard").mapInArrow(_phrase_counts(slices), "lang string, phrase binary, a long")
+    found = found.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+    return found.select("lang", "phrase", F.size(F.split(F.col("phrase").cast("string"), " ", -1)).alias("words"), "a")
 
 
 def collocations(docs: DataFrame, best: int = BEST, least: int = LEAST) -> DataFrame:
